@@ -165,3 +165,65 @@ SQL["cross_entropy"] = with_(*MODEL) + """
 SELECT split, count(*) AS n,
        round(avg(-ln(greatest(CASE WHEN label = 0 THEN score_pos ELSE score_neg END, 1e-12))), 6) AS loss
 FROM scored WHERE score_pos IS NOT NULL GROUP BY split"""
+
+# ---------------------------------------------------------------- dataset assembly
+
+INTERLEAVE = """iv0 AS (SELECT doc_id, split, sentiment, label,
+               row_number() OVER (PARTITION BY split, label ORDER BY doc_id) - 1 AS rn FROM reviews),
+sz AS (SELECT split, count(*) FILTER (WHERE label = 0) AS n_pos, count(*) FILTER (WHERE label = 1) AS n_neg,
+              least(count(*) FILTER (WHERE label = 0), count(*) FILTER (WHERE label = 1)) AS m,
+              count(*) AS total
+       FROM reviews GROUP BY split),
+iv AS (SELECT iv0.doc_id, iv0.split, iv0.sentiment, iv0.label,
+              CASE WHEN rn < m THEN 2 * rn + label ELSE 2 * m + (rn - m) END AS position
+       FROM iv0 JOIN sz ON iv0.split = sz.split),
+mb AS (SELECT *, position // 64 AS batch_id, position % 64 AS row_in_batch FROM iv)"""
+
+DATASET = [REVIEWS, INTERLEAVE]
+
+SQL["split_counts"] = with_(REVIEWS) + \
+    "SELECT split, sentiment, count(*) AS n_docs FROM reviews GROUP BY split, sentiment"
+
+SQL["class_union"] = with_(REVIEWS) + "SELECT doc_id, split, sentiment FROM reviews"
+
+SQL["interleave"] = with_(*DATASET) + \
+    "SELECT doc_id, split, sentiment, CAST(label AS BIGINT) AS label, position, position % 2 = 0 AS parity_positive FROM iv"
+
+SQL["minibatches"] = with_(*DATASET) + \
+    "SELECT doc_id, split, position, batch_id, row_in_batch FROM mb"
+
+LABELLED_KNOWN = [tokens_cte("rtok", "reviews"), known_cte("rknown", "rtok")]
+
+SQL["batch_lengths"] = with_(*BASE, *DATASET, *LABELLED_KNOWN) + """
+SELECT mb.split, mb.batch_id, count(*) AS n_docs, max(coalesce(c.n, 0)) AS max_known,
+       least(max(coalesce(c.n, 0)), 256) AS max_len
+FROM mb LEFT JOIN (SELECT doc_id, count(*) AS n FROM rknown GROUP BY doc_id) c ON mb.doc_id = c.doc_id
+GROUP BY mb.split, mb.batch_id"""
+
+SQL["label_steps"] = with_(*BASE, REVIEWS, tokens_cte("rtok", "reviews"),
+                           known_cte("rtrunc", "rtok", max_len=256)) + """
+SELECT doc_id, t, word, t = max(t) OVER (PARTITION BY doc_id) AS is_label_step FROM rtrunc"""
+
+SQL["doc_at_position"] = with_(*DATASET) + """
+SELECT iv.split, iv.position, iv.doc_id, iv.sentiment, r.text FROM iv JOIN reviews r ON iv.doc_id = r.doc_id"""
+
+SQL["minibatch_fetch"] = with_(*DATASET) + """
+SELECT mb.split, mb.batch_id, count(*) AS n_rows, min(position) AS first_position, max(position) AS last_position,
+       max(position) + 1 < max(sz.total) AS has_next
+FROM mb JOIN sz ON mb.split = sz.split GROUP BY mb.split, mb.batch_id"""
+
+SQL["epoch_schedule"] = with_(*DATASET) + """,
+per AS (SELECT split, batch_id, count(*) AS n_docs FROM mb WHERE split = 'train' GROUP BY split, batch_id),
+nb AS (SELECT split, count(*) AS n_batches FROM per GROUP BY split)
+SELECT CAST(e.epoch AS BIGINT) AS epoch, per.split, per.batch_id, per.n_docs,
+       (e.epoch - 1) * nb.n_batches + per.batch_id AS step
+FROM per JOIN nb ON per.split = nb.split CROSS JOIN range(1, 2) e(epoch)"""
+
+SQL["label_onehot"] = with_(REVIEWS) + """
+SELECT doc_id, CAST(label AS BIGINT) AS label,
+       CASE WHEN label = 0 THEN [1.0, 0.0]::DOUBLE[] ELSE [0.0, 1.0]::DOUBLE[] END AS onehot FROM reviews"""
+
+SQL["label_names"] = with_(REVIEWS) + """
+SELECT CAST(n.label AS BIGINT) AS label, n.label_name, coalesce(c.n_docs, 0) AS n_docs
+FROM (VALUES (0, 'positive'), (1, 'negative')) n(label, label_name)
+LEFT JOIN (SELECT label, count(*) AS n_docs FROM reviews GROUP BY label) c ON n.label = c.label"""

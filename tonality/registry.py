@@ -147,3 +147,101 @@ def q_classification_metrics(spark, sf):
 def q_cross_entropy(spark, sf):
     """Mean cross-entropy of the true class, per split."""
     return evaluate.cross_entropy(_scored_reviews(spark, sf))
+
+
+# ---------------------------------------------------------------- dataset assembly
+
+from .operators import dataset as ds  # noqa: E402
+
+
+def _meta(spark, sf):
+    return fixtures.reviews(spark, sf, with_text=False)
+
+
+def _minibatches(spark, sf):
+    return ds.minibatches(ds.interleave(_meta(spark, sf)))
+
+
+def _labelled_counts(spark, sf):
+    vt = vector_table(spark, sf)
+    rv = fixtures.reviews(spark, sf).select("doc_id", "text")
+    return tok.known_counts(rv, fixtures.tokens_of(rv), vt, spark)
+
+
+@query("split_counts")
+def q_split_counts(spark, sf):
+    """A1, F1, F2: documents per split and class."""
+    return ds.split_counts(_meta(spark, sf))
+
+
+@query("class_union")
+def q_class_union(spark, sf):
+    """Bag union of positive and negative documents, per split."""
+    rv = _meta(spark, sf)
+    return ds.class_union(rv, "train").unionByName(ds.class_union(rv, "test")).select(
+        "doc_id", "split", "sentiment")
+
+
+@query("interleave")
+def q_interleave(spark, sf):
+    """Alternating positions of positive and negative documents."""
+    iv = ds.interleave(_meta(spark, sf))
+    return iv.select("doc_id", "split", "sentiment", F.col("label").cast("bigint").alias("label"),
+                     "position", ds.parity_is_positive(F.col("position")).alias("parity_positive"))
+
+
+@query("minibatches")
+def q_minibatches(spark, sf):
+    """Minibatch number and row inside the batch."""
+    return _minibatches(spark, sf).select("doc_id", "split", "position", "batch_id", "row_in_batch")
+
+
+@query("batch_lengths")
+def q_batch_lengths(spark, sf):
+    """Longest known sequence per minibatch, capped at 256."""
+    return ds.batch_lengths(_minibatches(spark, sf),
+                            _labelled_counts(spark, sf).select("doc_id", "n_known"))
+
+
+@query("label_steps")
+def q_label_steps(spark, sf):
+    """The final real step of each labelled document carries the label."""
+    vt = vector_table(spark, sf)
+    rv = fixtures.reviews(spark, sf).select("doc_id", "text")
+    trunc = tok.truncated_tokens(fixtures.tokens_of(rv), vt, spark)
+    return ds.label_steps(trunc).select("doc_id", "t", "word", "is_label_step")
+
+
+@query("doc_at_position")
+def q_doc_at_position(spark, sf):
+    """the document (and its text) at every interleaved position."""
+    rv = fixtures.reviews(spark, sf)
+    iv = ds.interleave(rv.select("doc_id", "split", "sentiment", "label"))
+    return iv.join(rv.select("doc_id", "text"), "doc_id").select(
+        "split", "position", "doc_id", "sentiment", "text")
+
+
+@query("minibatch_fetch")
+def q_minibatch_fetch(spark, sf):
+    """Batch-by-batch fetch with the end-of-data flag."""
+    return ds.batch_fetch(_minibatches(spark, sf), _meta(spark, sf))
+
+
+@query("epoch_schedule")
+def q_epoch_schedule(spark, sf):
+    """L4: batches repeated per epoch (the reference trains one epoch)."""
+    mb = _minibatches(spark, sf).where(F.col("split") == "train")
+    return ds.epoch_schedule(mb, n_epochs=1)
+
+
+@query("label_onehot")
+def q_label_onehot(spark, sf):
+    """Class index and one-hot label of each labelled document."""
+    return _meta(spark, sf).select("doc_id", F.col("label").cast("bigint").alias("label"),
+                                   ds.label_onehot(F.col("label")).alias("onehot"))
+
+
+@query("label_names")
+def q_label_names(spark, sf):
+    """Class indexes, names and counts."""
+    return ds.label_names(spark, _meta(spark, sf))
