@@ -159,7 +159,6 @@ allrows AS (
 SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
        CAST(support AS BIGINT) AS support, round((SELECT accuracy FROM acc), 6) AS accuracy
 FROM allrows"""
-SQL["classification_metrics"] = SQL["classification_metrics"].replace("GROUP BY a.actual, p.predicted)\n,", "GROUP BY a.actual, p.predicted),")
 
 SQL["cross_entropy"] = with_(*MODEL) + """
 SELECT split, count(*) AS n,
@@ -227,3 +226,62 @@ SQL["label_names"] = with_(REVIEWS) + """
 SELECT CAST(n.label AS BIGINT) AS label, n.label_name, coalesce(c.n_docs, 0) AS n_docs
 FROM (VALUES (0, 'positive'), (1, 'negative')) n(label, label_name)
 LEFT JOIN (SELECT label, count(*) AS n_docs FROM reviews GROUP BY label) c ON n.label = c.label"""
+
+# ---------------------------------------------------------------- arrays and tensors
+
+MEMBERS = """rcount AS (SELECT doc_id, count(*) AS n_known FROM rknown GROUP BY doc_id),
+members0 AS (SELECT mb.doc_id, mb.split, mb.batch_id, mb.row_in_batch, mb.label, coalesce(c.n_known, 0) AS n_known
+             FROM mb LEFT JOIN rcount c ON mb.doc_id = c.doc_id),
+members AS (SELECT *, least(n_known, 256) AS n,
+                   least(max(n_known) OVER (PARTITION BY split, batch_id), 256) AS L FROM members0)"""
+
+ARRAYS = [*BASE, *DATASET, *LABELLED_KNOWN, MEMBERS]
+
+SQL["padded_sequences"] = with_(*ARRAYS) + """,
+stepsum AS (SELECT k.doc_id, k.t, round(list_sum(list_transform(w.vector, lambda x: x::DOUBLE)), 6) AS s
+            FROM rknown k JOIN word_vectors w ON k.word = w.word WHERE k.t <= 256),
+grid AS (SELECT m.doc_id, unnest(range(1, m.L + 1)) AS t FROM members m),
+lists AS (SELECT g.doc_id, list(coalesce(ss.s, 0.0) ORDER BY g.t) AS step_sums
+          FROM grid g LEFT JOIN stepsum ss ON g.doc_id = ss.doc_id AND g.t = ss.t GROUP BY g.doc_id)
+SELECT m.doc_id, m.split, m.batch_id, m.L, m.n, coalesce(l.step_sums, []::DOUBLE[]) AS step_sums
+FROM members m LEFT JOIN lists l ON m.doc_id = l.doc_id"""
+
+SQL["sequence_masks"] = with_(*ARRAYS) + """
+SELECT doc_id, L, n,
+       CAST(list_transform(range(L), lambda s: CASE WHEN s < n THEN 1 ELSE 0 END) AS BIGINT[]) AS feature_mask,
+       CAST(list_transform(range(L), lambda s: CASE WHEN s = n - 1 THEN 1 ELSE 0 END) AS BIGINT[]) AS label_mask
+FROM members"""
+
+SQL["label_tensor"] = with_(*ARRAYS) + """
+SELECT doc_id, L, n,
+       list_transform(range(L), lambda s: CASE WHEN s = n - 1 THEN
+           (CASE WHEN label = 0 THEN [1.0, 0.0]::DOUBLE[] ELSE [0.0, 1.0]::DOUBLE[] END)
+           ELSE [0.0, 0.0]::DOUBLE[] END) AS labels
+FROM members"""
+
+SQL["sequence_transpose"] = with_(*TRUNC) + """,
+long AS (SELECT k.doc_id, k.t, unnest(w.vector) AS v, generate_subscripts(w.vector, 1) AS i
+         FROM trunc k JOIN word_vectors w ON k.word = w.word),
+per AS (SELECT doc_id, i, round(sum(CAST(v AS DOUBLE)), 6) AS s, count(*) AS n_steps FROM long GROUP BY doc_id, i)
+SELECT doc_id, count(*) AS n_dims, max(n_steps) AS n_steps, list(s ORDER BY i) AS dim_sums FROM per GROUP BY doc_id"""
+
+SQL["inference_shape"] = with_(*BASE) + """,
+c AS (SELECT d.doc_id, coalesce(x.n_tokens, 0) AS n_tokens, coalesce(x.n_known, 0) AS n_known
+      FROM documents d LEFT JOIN (
+        SELECT doc_id, count(*) AS n_tokens,
+               count(*) FILTER (WHERE word IN (SELECT word FROM word_vectors)) AS n_known
+        FROM tokens GROUP BY doc_id) x ON d.doc_id = x.doc_id)
+SELECT doc_id, n_tokens, n_known, greatest(256, n_known) AS out_len, least(256, n_known) AS filled FROM c"""
+
+SQL["last_step"] = with_(*ARRAYS, known_cte("trunc", "tokens", max_len=256),
+                         pooled_cte("trunc"), CENTROID) + """,
+stepz AS (SELECT k.doc_id, k.t, round(1 / (1 + exp(-(sum(CAST(v AS DOUBLE) * w.w) + (SELECT b FROM bias)))), 6) AS o
+          FROM (SELECT k.doc_id, k.t, unnest(wv.vector) AS v, generate_subscripts(wv.vector, 1) AS i
+                FROM rknown k JOIN word_vectors wv ON k.word = wv.word WHERE k.t <= 256) k
+          JOIN wts w ON k.i = w.i GROUP BY k.doc_id, k.t),
+padz AS (SELECT round(1 / (1 + exp(-(SELECT b FROM bias))), 6) AS o)
+SELECT m.doc_id, m.L, m.n,
+       CASE WHEN m.L = 0 THEN NULL WHEN m.n = m.L THEN (SELECT o FROM stepz s WHERE s.doc_id = m.doc_id AND s.t = m.n)
+            ELSE (SELECT o FROM padz) END AS last_padded,
+       CASE WHEN m.n > 0 THEN (SELECT o FROM stepz s WHERE s.doc_id = m.doc_id AND s.t = m.n) END AS last_real
+FROM members m"""

@@ -245,3 +245,80 @@ def q_label_onehot(spark, sf):
 def q_label_names(spark, sf):
     """Class indexes, names and counts."""
     return ds.label_names(spark, _meta(spark, sf))
+
+
+# ---------------------------------------------------------------- arrays and tensors
+
+from .functions import arrays as A  # noqa: E402
+from .operators import tensors as tz  # noqa: E402
+
+
+def _members(spark, sf):
+    vt = vector_table(spark, sf)
+    return vt, tz.batch_members(spark, sf, vt)
+
+
+@query("padded_sequences")
+def q_padded_sequences(spark, sf):
+    """X1 (compact form): padding target, own length and the sum of each padded step."""
+    vt, m = _members(spark, sf)
+    p = m.withColumn("features", A.pad_sequence("seq", "L", vt.dim))
+    return p.select("doc_id", "split", "batch_id", "L", "n",
+                    F.transform("features", lambda v: F.round(A.array_sum(v), 6)).alias("step_sums"))
+
+
+@query("sequence_masks")
+def q_sequence_masks(spark, sf):
+    """Feature mask (1 on real steps) and label mask (1 at the last real step)."""
+    _, m = _members(spark, sf)
+    return m.select("doc_id", "L", "n",
+                    A.feature_mask("n", "L").cast("array<bigint>").alias("feature_mask"),
+                    A.label_mask("n", "L").cast("array<bigint>").alias("label_mask"))
+
+
+@query("label_tensor")
+def q_label_tensor(spark, sf):
+    """One-hot label at the last real step, zeros elsewhere."""
+    _, m = _members(spark, sf)
+    return m.select("doc_id", "L", "n",
+                    A.label_tensor("n", "L", ds.label_onehot(F.col("label"))).alias("labels"))
+
+
+@query("sequence_transpose")
+def q_sequence_transpose(spark, sf):
+    """[time, dim] -> [dim, time]; checked by its shape and per-dimension sums."""
+    vt = vector_table(spark, sf)
+    seqs = tz.doc_sequences(tok.truncated_tokens(fixtures.tokens(spark, sf), vt, spark), vt, spark)
+    tr = seqs.select("doc_id", A.transpose("seq", vt.dim).alias("tr"))
+    return tr.select("doc_id", F.size("tr").cast("bigint").alias("n_dims"),
+                     F.size(F.element_at("tr", 1)).cast("bigint").alias("n_steps"),
+                     F.transform("tr", lambda r: F.round(A.array_sum(r), 6)).alias("dim_sums"))
+
+
+@query("training_dataset")
+def q_training_dataset(spark, sf):
+    """One row per minibatch holding features, labels and both masks."""
+    vt, m = _members(spark, sf)
+    return tz.training_batches(m, vt.dim)
+
+
+@query("inference_shape")
+def q_inference_shape(spark, sf):
+    """Scoring-time tensor length and filled steps of every document."""
+    vt = vector_table(spark, sf)
+    docs = fixtures.read_table(spark, sf, "documents").select("doc_id", "text")
+    return tz.inference_shape(tok.known_counts(docs, fixtures.tokens_of(docs), vt, spark))
+
+
+@query("last_step")
+def q_last_step(spark, sf):
+    """Per-step centroid outputs over the padded sequence; read-out at the padded
+    end (the reference's) and at the last real step (the masked one)."""
+    vt, m = _members(spark, sf)
+    model = train_centroid(spark, sf, vt)
+    feats = A.pad_sequence("seq", "L", vt.dim)
+    outs = F.transform(feats, lambda v: F.round(1.0 / (1.0 + F.exp(-model.logit(v))), 6))
+    o = m.select("doc_id", "L", "n", outs.alias("outs"))
+    return o.select("doc_id", "L", "n",
+                    A.last_step("outs").alias("last_padded"),
+                    A.step_at("outs", "n").alias("last_real"))
