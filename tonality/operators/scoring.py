@@ -122,7 +122,7 @@ def score_texts(df: DataFrame, vt: VectorTable, model: CentroidModel, spark: Spa
                                             F.col("verdict").alias("sentiment"))
     out = df.join(scored, id_col, "left")
     invalid = F.col(text_col).isNull() | F.col("n_known").isNull()
-    return (out.withColumn("n_known", F.coalesce("n_known", F.lit(0)).cast("bigint"))
-            .withColumn("status", F.when(invalid, F.lit(INVALID_INPUT)).otherwise(F.lit(STATUS_OK)))
+    return (out.withColumn("status", F.when(invalid, F.lit(INVALID_INPUT)).otherwise(F.lit(STATUS_OK)))
+            .withColumn("n_known", F.coalesce("n_known", F.lit(0)).cast("bigint"))
             .withColumn("output", echo_output(F.col(text_col),
                                               verdict_text(F.col("score_pos"), F.col("score_neg")))))

@@ -285,3 +285,65 @@ SELECT m.doc_id, m.L, m.n,
             ELSE (SELECT o FROM padz) END AS last_padded,
        CASE WHEN m.n > 0 THEN (SELECT o FROM stepz s WHERE s.doc_id = m.doc_id AND s.t = m.n) END AS last_real
 FROM members m"""
+
+# ---------------------------------------------------------------- projections and batch scoring
+
+from .sources.fixtures import EMAIL_COLUMNS  # noqa: E402
+
+_FILLED = {"Id": "CAST(conv_id AS DOUBLE)", "MetadataSubject": "role",
+           "ExtractedReleaseInPartOrFull": "role", "ExtractedBodyText": "text",
+           "SenderPersonId": "CAST(turn AS DOUBLE)"}
+_SQLTYPE = {"double": "DOUBLE", "string": "VARCHAR", "timestamp": "TIMESTAMP"}
+MESSAGES27 = "msgs27 AS (SELECT " + ", ".join(
+    f"{_FILLED.get(n, 'NULL::' + _SQLTYPE[t])} AS {n}" for n, t in EMAIL_COLUMNS) + " FROM conversations)"
+
+MSGS = """msgs AS (SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS msg_key,
+                concat_ws(' ', coalesce(role, ''), coalesce(text, '')) AS raw_email FROM conversations)"""
+
+
+def score_select(src: str, key: str, text: str, n_tab: str, z_tab: str, extra: str = "") -> str:
+    """Final projection of the shared scoring path (status, verdict, echoed output)."""
+    return f"""
+, sc0 AS (SELECT s.{key}, s.{text}, coalesce(nt.n, 0) AS n_known, nt.n AS n_raw,
+                round(1 / (1 + exp(-zz.z)), 6) AS score_pos, round(1 / (1 + exp(zz.z)), 6) AS score_neg
+         FROM {src} s LEFT JOIN {n_tab} nt ON s.{key} = nt.{key} LEFT JOIN {z_tab} zz ON s.{key} = zz.{key}),
+sc AS (SELECT *, CASE WHEN score_pos IS NULL OR score_neg IS NULL THEN NULL
+                      WHEN score_pos >= score_neg THEN 'Positive' ELSE 'Negative' END AS sentiment,
+              CASE WHEN {text} IS NULL OR n_raw IS NULL THEN {INVALID} ELSE 'OK' END AS status
+       FROM sc0),
+sc2 AS (SELECT *, CASE WHEN score_pos IS NULL OR score_neg IS NULL THEN {INVALID}
+                       ELSE 'Sentiment: ' || sentiment || ' [p(positive)=' || printf('%.6f', score_pos)
+                            || ' p(negative)=' || printf('%.6f', score_neg) || ']' END AS verdict_line
+        FROM sc),
+scored_texts AS (SELECT *, coalesce({text}, '') || chr(10) || verdict_line AS output FROM sc2)
+"""
+
+
+DOC_SCORES = MODEL + [logit_cte("dz", "pooled_long")]
+
+SQL["project_messages"] = with_(MESSAGES27) + "SELECT MetadataSubject, ExtractedBodyText FROM msgs27"
+
+SQL["categorical_code"] = """
+SELECT conv_id, turn, role,
+       CAST(CASE role WHEN 'system' THEN 0 WHEN 'user' THEN 1 WHEN 'assistant' THEN 2 END AS BIGINT) AS role_code
+FROM conversations"""
+
+SQL["typed_columns"] = with_(MESSAGES27) + "SELECT * FROM msgs27"
+
+SQL["concat_message"] = with_(MSGS) + "SELECT msg_key, raw_email FROM msgs"
+
+SQL["email_sentiment"] = with_(*MODEL, MSGS, tokens_cte("mtok", "msgs", "msg_key", "raw_email"),
+                               known_cte("mtrunc", "mtok", "msg_key", 256),
+                               pooled_cte("mtrunc", "msg_key", "m_"),
+                               logit_cte("mz", "m_pooled_long", "msg_key")) + \
+    score_select("msgs", "msg_key", "raw_email", "m_doc_n", "mz") + """
+SELECT msg_key, raw_email, n_known, score_pos, score_neg, sentiment, status, output FROM scored_texts"""
+
+SQL["score_adhoc"] = with_(*DOC_SCORES) + score_select("documents", "doc_id", "text", "doc_n", "dz") + """
+SELECT doc_id, text, score_pos, score_neg, sentiment, status, output FROM scored_texts"""
+
+SQL["score_status"] = with_(*DOC_SCORES) + score_select("documents", "doc_id", "text", "doc_n", "dz") + """
+SELECT doc_id, n_known, status FROM scored_texts"""
+
+SQL["verdict_text"] = with_(*DOC_SCORES) + score_select("reviews", "doc_id", "text", "doc_n", "dz") + """
+SELECT doc_id, sentiment, verdict_line, output FROM scored_texts"""

@@ -322,3 +322,77 @@ def q_last_step(spark, sf):
     return o.select("doc_id", "L", "n",
                     A.last_step("outs").alias("last_padded"),
                     A.step_at("outs", "n").alias("last_real"))
+
+
+# ---------------------------------------------------------------- projections and batch scoring
+
+from .operators import messages as msg  # noqa: E402
+from .operators import project as pj  # noqa: E402
+from .operators.scoring import score_texts  # noqa: E402
+
+
+@query("project_messages")
+def q_project_messages(spark, sf):
+    """The e-mail transform keeps MetadataSubject and ExtractedBodyText."""
+    return pj.email_transform()(fixtures.messages(spark, sf))
+
+
+@query("categorical_code")
+def q_categorical_code(spark, sf):
+    """Role -> its position in the declared domain (null outside)."""
+    conv = fixtures.read_table(spark, sf, "conversations")
+    return conv.select("conv_id", "turn", "role",
+                       pj.category_code("role", fixtures.ROLE_DOMAIN).alias("role_code"))
+
+
+@query("typed_columns")
+def q_typed_columns(spark, sf):
+    """The 27 text columns typed by the declared schema."""
+    return pj.declared_types(pj.as_strings(fixtures.messages(spark, sf)))
+
+
+@query("concat_message")
+def q_concat_message(spark, sf):
+    """Remaining columns joined with one space."""
+    return msg.message_texts(fixtures.messages(spark, sf))
+
+
+def _model(spark, sf):
+    vt = vector_table(spark, sf)
+    return vt, train_centroid(spark, sf, vt)
+
+
+@query("email_sentiment")
+def q_email_sentiment(spark, sf):
+    """M4: score every message of the e-mail table."""
+    vt, model = _model(spark, sf)
+    return msg.email_sentiment(fixtures.messages(spark, sf), vt, model, spark)
+
+
+@query("score_adhoc")
+def q_score_adhoc(spark, sf):
+    """Score free texts (every document) with status and echoed output."""
+    vt, model = _model(spark, sf)
+    docs = fixtures.read_table(spark, sf, "documents").select("doc_id", "text")
+    return score_texts(docs, vt, model, spark).select(
+        "doc_id", "text", "score_pos", "score_neg", "sentiment", "status", "output")
+
+
+@query("score_status")
+def q_score_status(spark, sf):
+    """invalid-input predicate per document."""
+    vt, model = _model(spark, sf)
+    docs = fixtures.read_table(spark, sf, "documents").select("doc_id", "text")
+    return score_texts(docs, vt, model, spark).select("doc_id", "n_known", "status")
+
+
+@query("verdict_text")
+def q_verdict_text(spark, sf):
+    """Verdict line and echoed output for every labelled document."""
+    vt, model = _model(spark, sf)
+    rv = fixtures.reviews(spark, sf).select("doc_id", "text")
+    from .functions.text import verdict_text
+    s = score_texts(rv, vt, model, spark)
+    return s.select("doc_id", "sentiment",
+                    verdict_text(F.col("score_pos"), F.col("score_neg")).alias("verdict_line"),
+                    "output")
