@@ -347,3 +347,20 @@ SELECT doc_id, n_known, status FROM scored_texts"""
 
 SQL["verdict_text"] = with_(*DOC_SCORES) + score_select("reviews", "doc_id", "text", "doc_n", "dz") + """
 SELECT doc_id, sentiment, verdict_line, output FROM scored_texts"""
+
+# ---------------------------------------------------------------- sources and sinks (round trips)
+
+SQL["corpus_scan"] = with_(REVIEWS) + "SELECT doc_id, text, split, sentiment FROM reviews"
+
+SQL["text_file_scan"] = "SELECT doc_id, text FROM documents"
+
+SQL["email_csv_scan"] = with_(MESSAGES27) + "SELECT * FROM msgs27"
+
+SQL["gzip_scan"] = with_(*BASE) + "SELECT word, CAST(vector AS DOUBLE[]) AS vector FROM word_vectors"
+
+SQL["archive_members"] = with_(REVIEWS) + """
+SELECT 'aclImdb/' || split || '/' || CASE WHEN label = 0 THEN 'pos' ELSE 'neg' END || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS member,
+       doc_id, split, sentiment, text, CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes
+FROM reviews"""
+
+SQL["materialize_once"] = with_(REVIEWS) + "SELECT doc_id, text, split, sentiment FROM reviews"

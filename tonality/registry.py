@@ -396,3 +396,96 @@ def q_verdict_text(spark, sf):
     return s.select("doc_id", "sentiment",
                     verdict_text(F.col("score_pos"), F.col("score_neg")).alias("verdict_line"),
                     "output")
+
+
+# ---------------------------------------------------------------- sources and sinks (round trips)
+
+from .plans import staging  # noqa: E402
+from .session import fresh_path  # noqa: E402
+from .sources import archives as ar  # noqa: E402
+from .sources import corpus as cp  # noqa: E402
+from .sources import email_csv as ec  # noqa: E402
+from .sources import vectors as sv  # noqa: E402
+from .sources.tables import row_count  # noqa: E402
+
+# Documents per tar.gz archive in the archive fixture (bounds each writer group).
+DOCS_PER_ARCHIVE = 500
+
+
+@query("corpus_scan")
+def q_corpus_scan(spark, sf):
+    """Labelled corpus written one file per document, scanned back."""
+    root = fresh_path(spark, "corpus")
+    cp.write_corpus(fixtures.reviews(spark, sf), root)
+    return cp.scan_corpus(spark, root)
+
+
+@query("text_file_scan")
+def q_text_file_scan(spark, sf):
+    """Every document as its own text file, each read back whole."""
+    root = fresh_path(spark, "texts")
+    cp.write_text_files(fixtures.read_table(spark, sf, "documents").select("doc_id", "text"), root)
+    return cp.scan_text_files(spark, root)
+
+
+@query("email_csv_scan")
+def q_email_csv_scan(spark, sf):
+    """The e-mail table as quoted multi-line CSV, read with the declared schema."""
+    path = fresh_path(spark, "emails")
+    ec.write_email_csv(fixtures.messages(spark, sf), path)
+    return ec.read_email_csv(spark, path)
+
+
+@query("gzip_scan")
+def q_gzip_scan(spark, sf):
+    """S6, S5 text form: word vectors as gzip text, decompressed by suffix on read."""
+    vt = vector_table(spark, sf)
+    path = fresh_path(spark, "vectors-txt")
+    sv.write_vector_text(vt.frame(spark), path, compression="gzip")
+    back = sv.read_vector_text(spark, path + "/*.gz")
+    return back.select("word", _vec_double().alias("vector"))
+
+
+@query("archive_members")
+def q_archive_members(spark, sf):
+    """The labelled corpus packed into tar.gz archives, members read back as rows."""
+    root = fresh_path(spark, "archives")
+    rv = fixtures.reviews(spark, sf)
+    n_arch = max(1, -(-row_count(spark, sf, "labels") // DOCS_PER_ARCHIVE))
+    cls = F.when(F.col("label") == 0, F.lit("pos")).otherwise(F.lit("neg"))
+    members = rv.select(
+        F.pmod(F.xxhash64("doc_id"), F.lit(n_arch)).alias("bucket"),
+        F.concat_ws("/", F.lit("aclImdb"), F.col("split"), cls,
+                    F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))).alias("member"),
+        F.encode(F.col("text"), "UTF-8").alias("content"))
+    ar.write_archives(members, root, "bucket").collect()  # one row per archive
+    back = ar.read_archive_members(spark, root)
+    path = F.concat(F.lit("/"), F.col("member"))
+    return back.select(
+        "member",
+        F.regexp_extract(path, r"/(\d+)[^/]*$", 1).cast("bigint").alias("doc_id"),
+        F.regexp_extract(path, cp.SPLIT_RX, 1).alias("split"),
+        F.when(F.regexp_extract(path, cp.CLASS_RX, 1) == "pos", F.lit("positive"))
+        .otherwise(F.lit("negative")).alias("sentiment"),
+        F.decode("content", "UTF-8").alias("text"),
+        F.octet_length("content").cast("bigint").alias("n_bytes"))
+
+
+@query("materialize_once")
+def q_materialize_once(spark, sf):
+    """The labelled corpus staged once; a second call finds _SUCCESS and skips."""
+    path = fresh_path(spark, "staged-reviews")
+    make = lambda: fixtures.reviews(spark, sf).select("doc_id", "text", "split", "sentiment")
+    staging.materialize_once(spark, make, path)
+    return staging.materialize_once(spark, make, path)
+
+
+@query("inputs_ready")
+def q_inputs_ready(spark, sf):
+    """Vectors, corpus and model must all be present before scoring."""
+    vt, model = _model(spark, sf)
+    corpus = fresh_path(spark, "ready-corpus")
+    staging.materialize_once(spark, lambda: fixtures.reviews(spark, sf), corpus)
+    model_path = fresh_path(spark, "ready-model")
+    model.save(spark, model_path)
+    return staging.require_inputs(spark, {"vectors": vt.path, "corpus": corpus, "model": model_path})
