@@ -97,11 +97,22 @@ def labelled_pooled(spark: SparkSession, sf_dir: str, vt: VectorTable,
 
 
 def train_centroid(spark: SparkSession, sf_dir: str, vt: VectorTable,
-                   max_len: int | None = MAX_LENGTH) -> CentroidModel:
-    lp = labelled_pooled(spark, sf_dir, vt, max_len)
+                   max_len: int | None = MAX_LENGTH, lp: DataFrame | None = None) -> CentroidModel:
+    lp = labelled_pooled(spark, sf_dir, vt, max_len) if lp is None else lp
     return fit_centroid(lp.where((F.col("split") == "train") & (F.col("n") > 0)), vt.dim)
 
 
+def stored_centroid(spark: SparkSession, sf_dir: str, vt: VectorTable) -> CentroidModel:
+    """Train once, reuse after (M7): the model is kept next to the staged vocabulary
+    and trained only when no complete stored copy exists."""
+    from ..plans.staging import is_complete
+
+    path = vt.path.rstrip("/") + "-centroid-model"
+    if not is_complete(spark, path):
+        train_centroid(spark, sf_dir, vt).save(spark, path)
+    return CentroidModel.load(spark, path)
+
+
 def score_pooled(pooled: DataFrame, model: CentroidModel) -> DataFrame:
     return model.transform(pooled)
 

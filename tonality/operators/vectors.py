@@ -24,7 +24,10 @@ def sequence_vectors(trunc: DataFrame, vt: VectorTable, spark: SparkSession) ->
 def mean_vector(vector_col: str, dim: int):
     """Aggregate expression: element-wise mean of fixed-length vectors, as array<double>."""
     if dim <= WIDE_DIM:
-        return F.array(*[F.avg(F.col(vector_col)[i].cast("double")) for i in range(dim)])
+        # sum / count per dimension: one buffer per dimension plus one shared count
+        # keeps the aggregate under the code generator's field limit.
+        n = F.count(F.col(vector_col))
+        return F.array(*[F.sum(F.col(vector_col)[i].cast("double")) / n for i in range(dim)])
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import evaluate, tokens as tok, vectors as vec
-from .operators.scoring import labelled_pooled, train_centroid
+from .operators.scoring import labelled_pooled, stored_centroid, train_centroid
 from .operators.vectors import round_array
 from .sources import fixtures
 from .sources.vectors import vector_table
@@ -66,7 +66,7 @@ def q_oov_words(spark, sf):
 def q_known_token_counts(spark, sf):
     """A2: tokens and known tokens per document, zero included."""
     vt = vector_table(spark, sf)
-    docs = fixtures.read_table(spark, sf, "documents").select("doc_id", "text")
+    docs = fixtures.documents(spark, sf)
     return tok.known_counts(docs, fixtures.tokens_of(docs), vt, spark)
 
 
@@ -112,9 +112,11 @@ def q_vector_dimension(spark, sf):
 # ---------------------------------------------------------------- centroid scoring & evaluation
 
 def _scored_reviews(spark, sf):
+    """Fit the centroid model and score with it, over one checkpointed pooled set
+    (the lineage is cut so fitting and scoring do not tokenise twice)."""
     vt = vector_table(spark, sf)
-    model = train_centroid(spark, sf, vt)
-    lp = labelled_pooled(spark, sf, vt)
+    lp = labelled_pooled(spark, sf, vt).checkpoint()
+    model = train_centroid(spark, sf, vt, lp=lp)
     return model.transform(lp)
 
 
@@ -306,7 +308,7 @@ def q_training_dataset(spark, sf):
 def q_inference_shape(spark, sf):
     """Scoring-time tensor length and filled steps of every document."""
     vt = vector_table(spark, sf)
-    docs = fixtures.read_table(spark, sf, "documents").select("doc_id", "text")
+    docs = fixtures.documents(spark, sf)
     return tz.inference_shape(tok.known_counts(docs, fixtures.tokens_of(docs), vt, spark))
 
 
@@ -315,7 +317,7 @@ def q_last_step(spark, sf):
     """Per-step centroid outputs over the padded sequence; read-out at the padded
     end (the reference's) and at the last real step (the masked one)."""
     vt, m = _members(spark, sf)
-    model = train_centroid(spark, sf, vt)
+    model = stored_centroid(spark, sf, vt)
     feats = A.pad_sequence("seq", "L", vt.dim)
     outs = F.transform(feats, lambda v: F.round(1.0 / (1.0 + F.exp(-model.logit(v))), 6))
     o = m.select("doc_id", "L", "n", outs.alias("outs"))
@@ -359,7 +361,7 @@ def q_concat_message(spark, sf):
 
 def _model(spark, sf):
     vt = vector_table(spark, sf)
-    return vt, train_centroid(spark, sf, vt)
+    return vt, stored_centroid(spark, sf, vt)
 
 
 @query("email_sentiment")
@@ -373,7 +375,7 @@ def q_email_sentiment(spark, sf):
 def q_score_adhoc(spark, sf):
     """Score free texts (every document) with status and echoed output."""
     vt, model = _model(spark, sf)
-    docs = fixtures.read_table(spark, sf, "documents").select("doc_id", "text")
+    docs = fixtures.documents(spark, sf)
     return score_texts(docs, vt, model, spark).select(
         "doc_id", "text", "score_pos", "score_neg", "sentiment", "status", "output")
 
@@ -382,7 +384,7 @@ def q_score_adhoc(spark, sf):
 def q_score_status(spark, sf):
     """invalid-input predicate per document."""
     vt, model = _model(spark, sf)
-    docs = fixtures.read_table(spark, sf, "documents").select("doc_id", "text")
+    docs = fixtures.documents(spark, sf)
     return score_texts(docs, vt, model, spark).select("doc_id", "n_known", "status")
 
 
@@ -424,7 +426,7 @@ def q_corpus_scan(spark, sf):
 def q_text_file_scan(spark, sf):
     """Every document as its own text file, each read back whole."""
     root = fresh_path(spark, "texts")
-    cp.write_text_files(fixtures.read_table(spark, sf, "documents").select("doc_id", "text"), root)
+    cp.write_text_files(fixtures.documents(spark, sf), root)
     return cp.scan_text_files(spark, root)
 
 
@@ -489,3 +491,61 @@ def q_inputs_ready(spark, sf):
     model_path = fresh_path(spark, "ready-model")
     model.save(spark, model_path)
     return staging.require_inputs(spark, {"vectors": vt.path, "corpus": corpus, "model": model_path})
+
+
+# ---------------------------------------------------------------- distributed classifier
+
+from .operators import classifier as clf  # noqa: E402
+
+
+def _train_test(spark, sf):
+    vt = vector_table(spark, sf)
+    lp = labelled_pooled(spark, sf, vt)
+    return lp.where(F.col("split") == "train"), lp.where(F.col("split") == "test")
+
+
+@query("train_classifier")
+def q_train_classifier(spark, sf):
+    """M1: logistic regression on pooled vectors (train split), scored on the test split."""
+    vt = vector_table(spark, sf)
+    lp = labelled_pooled(spark, sf, vt).checkpoint()
+    train, test = lp.where(F.col("split") == "train"), lp.where(F.col("split") == "test")
+    model = clf.fit_logistic(train)
+    return clf.score_logistic(model, test).select(
+        "doc_id", "split", F.col("sentiment").alias("actual"), "n", "score_pos", "score_neg",
+        F.col("verdict").alias("predicted"))
+
+
+@query("loss_history")
+def q_loss_history(spark, sf):
+    """Training loss per iteration."""
+    train, _ = _train_test(spark, sf)
+    return clf.loss_history(spark, clf.fit_logistic(train.checkpoint()))
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, sf):
+    """Train once, store, reload; parameters and configuration equal."""
+    train, _ = _train_test(spark, sf)
+    path = fresh_path(spark, "model")
+    model, trained_first = clf.fit_or_load(spark, path, train)
+    again, trained_second = clf.fit_or_load(spark, path, train)
+    _, rt = clf.save_and_verify(model, fresh_path(spark, "model-copy"))
+    return spark.createDataFrame(
+        [(trained_first, trained_second, rt.params_equal, rt.config_equal,
+          clf.params_equal(model, again))],
+        "trained_first boolean, trained_second boolean, params_equal boolean, "
+        "config_equal boolean, reload_equal boolean")
+
+
+@query("seeded_training")
+def q_seeded_training(spark, sf):
+    """M8: the same seed and input give the same parameters, for both linear models."""
+    vt = vector_table(spark, sf)
+    train, _ = _train_test(spark, sf)
+    a, b = clf.fit_logistic(train), clf.fit_logistic(train)
+    c1, c2 = train_centroid(spark, sf, vt), train_centroid(spark, sf, vt)
+    return spark.createDataFrame(
+        [("logistic", clf.params_equal(a, b)),
+         ("centroid", c1.weights == c2.weights and c1.bias == c2.bias)],
+        "model string, identical boolean")

@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 
 from ..functions.text import LABEL_NAMES, normalise, split_pieces
 from ..plans.broadcast import bounded_broadcast
+from ..plans.partitioning import spread
 from ..plans.ranking import global_ordinal
-from .tables import read_table, row_count
+from .tables import read_table, row_count, table_path
 
 # Fixed rule of the fixture: every fifth document id is held out for testing.
 TEST_MODULUS = 5
@@ -52,12 +53,18 @@ def split_of(doc_id) -> F.Column:
     return F.when(F.pmod(doc_id, F.lit(TEST_MODULUS)) == 0, F.lit("test")).otherwise(F.lit("train"))
 
 
+def documents(spark: SparkSession, sf_dir: str, cols=("doc_id", "text")) -> DataFrame:
+    """The documents table, spread on doc_id when its scan is narrower than the cluster."""
+    scan = read_table(spark, sf_dir, "documents")
+    return spread(scan, "doc_id", table_path(sf_dir, "documents")).select(*cols)
+
+
 def reviews(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
     """doc_id, text, split, sentiment, label (0 = positive, 1 = negative)."""
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
     labels = bounded_broadcast(labels, row_count(spark, sf_dir, "labels") * LABEL_ROW_BYTES)
-    docs = read_table(spark, sf_dir, "documents")
     cols = ["doc_id", "text"] if with_text else ["doc_id"]
+    docs = documents(spark, sf_dir, cols) if with_text else read_table(spark, sf_dir, "documents")
     return (docs.select(*cols).join(labels, "doc_id")
             .select(*cols,
                     split_of(F.col("doc_id")).alias("split"),
@@ -70,6 +77,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 27-column e-mail table: role is subject and release category, text is body,
     conv_id and turn fill the numeric id columns that the transform drops."""
     conv = read_table(spark, sf_dir, "conversations")
+    conv = spread(conv, "conv_id", table_path(sf_dir, "conversations"))
     filled = {
         "Id": F.col("conv_id").cast("double"),
         "MetadataSubject": F.col("role"),
@@ -91,7 +99,7 @@ def tokens_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens_of(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return tokens_of(documents(spark, sf_dir))
 
 
 def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
