@@ -364,3 +364,6 @@ SELECT 'aclImdb/' || split || '/' || CASE WHEN label = 0 THEN 'pos' ELSE 'neg' E
 FROM reviews"""
 
 SQL["materialize_once"] = with_(REVIEWS) + "SELECT doc_id, text, split, sentiment FROM reviews"
+
+SQL["stream_scores"] = with_(*DOC_SCORES) + score_select("documents", "doc_id", "text", "doc_n", "dz") + """
+SELECT doc_id, n_known, score_pos, score_neg, sentiment, status FROM scored_texts"""

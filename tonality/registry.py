@@ -549,3 +549,17 @@ def q_seeded_training(spark, sf):
         [("logistic", clf.params_equal(a, b)),
          ("centroid", c1.weights == c2.weights and c1.bias == c2.bias)],
         "model string, identical boolean")
+
+
+# ---------------------------------------------------------------- streaming
+
+from .streaming import scores as st  # noqa: E402
+
+
+@query("stream_scores")
+def q_stream_scores(spark, sf):
+    """M6: the documents table read as a file stream and scored micro-batch by micro-batch."""
+    vt, model = _model(spark, sf)
+    schema = fixtures.read_table(spark, sf, "documents").select("doc_id", "text").schema
+    out = st.run_to_completion(spark, sf, schema, vt, model, glob="documents.parquet")
+    return out.select("doc_id", "n_known", "score_pos", "score_neg", "sentiment", "status")
