@@ -563,3 +563,42 @@ def q_stream_scores(spark, sf):
     schema = fixtures.read_table(spark, sf, "documents").select("doc_id", "text").schema
     out = st.run_to_completion(spark, sf, schema, vt, model, glob="documents.parquet")
     return out.select("doc_id", "n_known", "score_pos", "score_neg", "sentiment", "status")
+
+
+# ---------------------------------------------------------------- recurrent sequence model
+
+from .operators import sequence_model as sm  # noqa: E402
+
+# Hidden width used by the registered queries: the reference's 256.
+SEQ_HIDDEN = sm.REFERENCE_HIDDEN
+
+
+def _train_members(spark, sf, vt):
+    return tz.batch_members(spark, sf, vt).where(F.col("split") == "train")
+
+
+@query("train_sequence_model")
+def q_train_sequence_model(spark, sf):
+    """M2: recurrent model trained by synchronous parameter averaging; loss per round."""
+    vt = vector_table(spark, sf)
+    _, hist = sm.train(spark, _train_members(spark, sf, vt), vt.dim, hidden=SEQ_HIDDEN)
+    return hist
+
+
+def stored_sequence_model(spark, sf, vt):
+    """Train once, reuse after (M7) for the recurrent model."""
+    path = vt.path.rstrip("/") + f"-lstm-h{SEQ_HIDDEN}"
+    if not staging.is_complete(spark, path):
+        model, _ = sm.train(spark, _train_members(spark, sf, vt), vt.dim, hidden=SEQ_HIDDEN)
+        model.save(spark, path)
+    return sm.SequenceModel.load(spark, path)
+
+
+@query("score_sequences")
+def q_score_sequences(spark, sf):
+    """M3: recurrent-model scores of every document (read-out at the last real step)."""
+    vt = vector_table(spark, sf)
+    model = stored_sequence_model(spark, sf, vt)
+    seqs = tz.doc_sequences(tok.truncated_tokens(fixtures.tokens(spark, sf), vt, spark), vt, spark)
+    return sm.score(seqs, model).select("doc_id", "score_pos", "score_neg",
+                                        F.col("verdict").alias("sentiment"))
