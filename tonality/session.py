@@ -24,6 +24,10 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Rows holding padded sequences are wide: keep Arrow batches modest.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    # One BLAS thread per Python worker: the workers already fill the cores.
+    "spark.executorEnv.OMP_NUM_THREADS": "1",
+    "spark.executorEnv.OPENBLAS_NUM_THREADS": "1",
+    "spark.executorEnv.MKL_NUM_THREADS": "1",
 }
 
 
