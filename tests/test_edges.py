@@ -30,8 +30,9 @@ def test_unscorable_texts_get_invalid_status(spark, vocab):
     vt = vocab([("good", [1.0, 0.0]), ("bad", [0.0, 1.0])])
     model = CentroidModel([1.0, -1.0], 0.0)
     df = _texts(spark, [(1, ""), (2, "123 ... ,,, !!"), (3, "unknown words only"),
-                        (4, None), (5, "Good, GOOD! bad")])
+                        (4, None), (5, "Good, GOOD! bad"), (None, "good")])
     got = {r.doc_id: r for r in score_texts(df, vt, model, spark).collect()}
+    assert len(got) == 6 and got[None].status == INVALID_INPUT  # a row without a key is kept
     for k in (1, 2, 3, 4):
         assert got[k].status == INVALID_INPUT and got[k].score_pos is None and got[k].n_known == 0
         assert got[k].output.endswith("\n" + INVALID_INPUT)

@@ -22,6 +22,8 @@ from .tokens import MAX_LENGTH, truncated_tokens
 from .vectors import mean_vector, pooled_vectors
 
 STATUS_OK = "OK"
+# Bumped whenever training changes, so stored models from older code are not reused.
+MODEL_VERSION = 1
 
 
 def dot(weights: list[float], vec: Column) -> Column:
@@ -107,7 +109,7 @@ def stored_centroid(spark: SparkSession, sf_dir: str, vt: VectorTable) -> Centro
     and trained only when no complete stored copy exists."""
     from ..plans.staging import is_complete
 
-    path = vt.path.rstrip("/") + "-centroid-model"
+    path = vt.path.rstrip("/") + f"-centroid-model-v{MODEL_VERSION}"
     if not is_complete(spark, path):
         train_centroid(spark, sf_dir, vt).save(spark, path)
     return CentroidModel.load(spark, path)
@@ -126,12 +128,18 @@ def score_texts(df: DataFrame, vt: VectorTable, model: CentroidModel, spark: Spa
     output.  A null text or a text with no known word gets the invalid-input status
     and null scores instead of an error (F6).
     """
-    toks = fixtures.tokens_of(df.select(id_col, text_col), id_col, text_col)
+    # Rows with a key go through one plan whose text side and token side share the
+    # same filtered exchange (so it is computed once); rows without a key cannot be
+    # joined and are appended as invalid input.
+    keyed = df.where(F.col(id_col).isNotNull())
+    toks = fixtures.tokens_of(keyed.select(id_col, text_col), id_col, text_col)
     pooled = pooled_vectors(truncated_tokens(toks, vt, spark, max_len, id_col), vt, spark, id_col)
     scored = model.transform(pooled).select(id_col, F.col("n").alias("n_known"),
                                             "score_pos", "score_neg",
                                             F.col("verdict").alias("sentiment"))
-    out = df.join(scored, id_col, "left")
+    unkeyed = df.where(F.col(id_col).isNull()).select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in scored.schema.fields if f.name != id_col])
+    out = keyed.join(scored, id_col, "left").unionByName(unkeyed)
     invalid = F.col(text_col).isNull() | F.col("n_known").isNull()
     return (out.withColumn("status", F.when(invalid, F.lit(INVALID_INPUT)).otherwise(F.lit(STATUS_OK)))
             .withColumn("n_known", F.coalesce("n_known", F.lit(0)).cast("bigint"))

@@ -17,7 +17,8 @@ _WIDTH: dict[str, int] = {}
 
 
 def scan_width(df: DataFrame, key: str) -> int:
-    """Partitions of a plain file scan (computing them lists files; no job runs)."""
+    """Partitions of a scan, or of a narrow projection of one (computing them lists
+    files; no job runs).  ``key`` names the scan for memoisation."""
     if key not in _WIDTH:
         _WIDTH[key] = df.rdd.getNumPartitions()
     return _WIDTH[key]

@@ -368,7 +368,8 @@ def _model(spark, sf):
 def q_email_sentiment(spark, sf):
     """M4: score every message of the e-mail table."""
     vt, model = _model(spark, sf)
-    return msg.email_sentiment(fixtures.messages(spark, sf), vt, model, spark)
+    return msg.email_sentiment(fixtures.messages(spark, sf), vt, model, spark,
+                               scan_key=fixtures.table_path(sf, "conversations") + "#msg")
 
 
 @query("score_adhoc")
@@ -587,7 +588,7 @@ def q_train_sequence_model(spark, sf):
 
 def stored_sequence_model(spark, sf, vt):
     """Train once, reuse after (M7) for the recurrent model."""
-    path = vt.path.rstrip("/") + f"-lstm-h{SEQ_HIDDEN}"
+    path = vt.path.rstrip("/") + f"-lstm-h{SEQ_HIDDEN}-v{sm.MODEL_VERSION}"
     if not staging.is_complete(spark, path):
         model, _ = sm.train(spark, _train_members(spark, sf, vt), vt.dim, hidden=SEQ_HIDDEN)
         model.save(spark, path)

@@ -77,7 +77,6 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 27-column e-mail table: role is subject and release category, text is body,
     conv_id and turn fill the numeric id columns that the transform drops."""
     conv = read_table(spark, sf_dir, "conversations")
-    conv = spread(conv, "conv_id", table_path(sf_dir, "conversations"))
     filled = {
         "Id": F.col("conv_id").cast("double"),
         "MetadataSubject": F.col("role"),
