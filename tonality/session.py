@@ -43,6 +43,7 @@ def build_session(master: str = "local[8]", app: str = "tonality",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     scratch_root(spark)
+    ship_package(spark)
     return spark
 
 
@@ -93,3 +94,33 @@ def is_local_fs(path: str) -> bool:
 def ensure_dir(path: str) -> str:
     os.makedirs(local_path(path), exist_ok=True)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tonality`` importable in executors' Python workers (once per application).
+
+    The package is zipped and registered with ``addPyFile`` -- Spark's own code
+    distribution (what ``spark-submit --py-files`` does) -- so Arrow/pandas task
+    functions resolve wherever the executors run.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tonality-pyfiles-"), "tonality.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _, files in os.walk(pkg):
+            if "__pycache__" in base:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
