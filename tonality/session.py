@@ -21,6 +21,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast policy: no static broadcast from file-size estimates (compressed sizes are
+    # not bounds); joins broadcast up front only through hints whose size is measured or
+    # bounded by construction, and AQE may convert a join at run time from the measured
+    # size of a finished shuffle.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Rows holding padded sequences are wide: keep Arrow batches modest.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
