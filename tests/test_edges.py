@@ -130,15 +130,15 @@ def test_tar_with_directory_entry_and_parent_member(spark):
     root = local_path(fresh_path(spark, "tar-edge"))
     os.makedirs(root)
     with tarfile.open(f"{root}/a.tar.gz", "w:gz") as tf:
-        d = tarfile.TarInfo("aclImdb/train/pos")
+        d = tarfile.TarInfo("corpus/train/pos")
         d.type = tarfile.DIRTYPE
         tf.addfile(d)
-        for name, data in (("aclImdb/train/pos/1_9.txt", b"fine film"), ("../escape.txt", b"x")):
+        for name, data in (("corpus/train/pos/1_9.txt", b"fine film"), ("../escape.txt", b"x")):
             info = tarfile.TarInfo(name)
             info.size = len(data)
             tf.addfile(info, io.BytesIO(data))
     rows = {r.member: bytes(r.content) for r in ar.read_archive_members(spark, root).collect()}
-    assert rows == {"aclImdb/train/pos/1_9.txt": b"fine film", "../escape.txt": b"x"}
+    assert rows == {"corpus/train/pos/1_9.txt": b"fine film", "../escape.txt": b"x"}
     assert not os.path.exists(os.path.join(os.path.dirname(root), "escape.txt"))
 
 

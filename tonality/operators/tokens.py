@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..sources.vectors import VectorTable
 
-# Truncation length of a sequence (number of known words kept).
+# Fixed value: truncation length of a sequence (number of known words kept).
 MAX_LENGTH = 256
 
 

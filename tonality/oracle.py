@@ -128,22 +128,28 @@ SQL["linear_scores"] = with_(*MODEL) + """
 SELECT doc_id, split, sentiment AS actual, n, score_pos, score_neg, verdict AS predicted FROM scored"""
 
 CONFUSION = """cm AS (
-  SELECT a.actual, p.predicted, count(s.doc_id) AS n
-  FROM (VALUES ('positive'), ('negative')) a(actual)
-  CROSS JOIN (VALUES ('positive'), ('negative')) p(predicted)
+  SELECT a.actual, a.predicted, count(s.doc_id) AS n
+  FROM (VALUES ('positive', 'positive'), ('positive', 'negative'),
+               ('negative', 'positive'), ('negative', 'negative')) a(actual, predicted)
   LEFT JOIN (SELECT * FROM scored WHERE split = 'test' AND verdict IS NOT NULL) s
-    ON s.sentiment = a.actual AND lower(s.verdict) = p.predicted
-  GROUP BY a.actual, p.predicted)"""
+    ON s.sentiment = a.actual AND lower(s.verdict) = a.predicted
+  GROUP BY a.actual, a.predicted)"""
 
 SQL["confusion_matrix"] = with_(*MODEL, CONFUSION) + "SELECT actual, predicted, n FROM cm"
 
 SQL["classification_metrics"] = with_(*MODEL, CONFUSION) + """,
 per AS (
-  SELECT c.cls AS class,
-         sum(CASE WHEN actual = c.cls AND predicted = c.cls THEN n ELSE 0 END) AS tp,
-         sum(CASE WHEN actual <> c.cls AND predicted = c.cls THEN n ELSE 0 END) AS fp,
-         sum(CASE WHEN actual = c.cls AND predicted <> c.cls THEN n ELSE 0 END) AS fn
-  FROM cm CROSS JOIN (VALUES ('positive'), ('negative')) c(cls) GROUP BY c.cls),
+  SELECT 'positive' AS class,
+         sum(CASE WHEN actual = 'positive' AND predicted = 'positive' THEN n ELSE 0 END) AS tp,
+         sum(CASE WHEN actual <> 'positive' AND predicted = 'positive' THEN n ELSE 0 END) AS fp,
+         sum(CASE WHEN actual = 'positive' AND predicted <> 'positive' THEN n ELSE 0 END) AS fn
+  FROM cm
+  UNION ALL
+  SELECT 'negative' AS class,
+         sum(CASE WHEN actual = 'negative' AND predicted = 'negative' THEN n ELSE 0 END) AS tp,
+         sum(CASE WHEN actual <> 'negative' AND predicted = 'negative' THEN n ELSE 0 END) AS fp,
+         sum(CASE WHEN actual = 'negative' AND predicted <> 'negative' THEN n ELSE 0 END) AS fn
+  FROM cm),
 m AS (
   SELECT class,
          CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) END AS precision,
@@ -214,9 +220,9 @@ FROM mb JOIN sz ON mb.split = sz.split GROUP BY mb.split, mb.batch_id"""
 SQL["epoch_schedule"] = with_(*DATASET) + """,
 per AS (SELECT split, batch_id, count(*) AS n_docs FROM mb WHERE split = 'train' GROUP BY split, batch_id),
 nb AS (SELECT split, count(*) AS n_batches FROM per GROUP BY split)
-SELECT CAST(e.epoch AS BIGINT) AS epoch, per.split, per.batch_id, per.n_docs,
-       (e.epoch - 1) * nb.n_batches + per.batch_id AS step
-FROM per JOIN nb ON per.split = nb.split CROSS JOIN range(1, 2) e(epoch)"""
+SELECT epoch, split, batch_id, n_docs, (epoch - 1) * n_batches + batch_id AS step FROM (
+  SELECT CAST(unnest(range(1, 2)) AS BIGINT) AS epoch, per.split, per.batch_id, per.n_docs, nb.n_batches
+  FROM per JOIN nb ON per.split = nb.split)"""
 
 SQL["label_onehot"] = with_(REVIEWS) + """
 SELECT doc_id, CAST(label AS BIGINT) AS label,
@@ -359,7 +365,7 @@ SQL["email_csv_scan"] = with_(MESSAGES27) + "SELECT * FROM msgs27"
 SQL["gzip_scan"] = with_(*BASE) + "SELECT word, CAST(vector AS DOUBLE[]) AS vector FROM word_vectors"
 
 SQL["archive_members"] = with_(REVIEWS) + """
-SELECT 'aclImdb/' || split || '/' || CASE WHEN label = 0 THEN 'pos' ELSE 'neg' END || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS member,
+SELECT 'corpus/' || split || '/' || CASE WHEN label = 0 THEN 'pos' ELSE 'neg' END || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS member,
        doc_id, split, sentiment, text, CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes
 FROM reviews"""
 

@@ -458,7 +458,7 @@ def q_archive_members(spark, sf):
     cls = F.when(F.col("label") == 0, F.lit("pos")).otherwise(F.lit("neg"))
     members = rv.select(
         F.pmod(F.xxhash64("doc_id"), F.lit(n_arch)).alias("bucket"),
-        F.concat_ws("/", F.lit("aclImdb"), F.col("split"), cls,
+        F.concat_ws("/", F.lit("corpus"), F.col("split"), cls,
                     F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))).alias("member"),
         F.encode(F.col("text"), "UTF-8").alias("content"))
     ar.write_archives(members, root, "bucket").collect()  # one row per archive

@@ -25,7 +25,7 @@ LABEL_ROW_BYTES = 64
 # Categorical domain of the message role, in code order.
 ROLE_DOMAIN = ("system", "user", "assistant")
 
-# The e-mail table's declared columns, in file order, with their types.
+# The e-mail table's declared columns, in file order, with their types.
 EMAIL_COLUMNS = (
     ("Id", "double"), ("DocNumber", "string"), ("MetadataSubject", "string"),
     ("MetadataTo", "string"), ("MetadataFrom", "string"), ("MetadataDateSent", "timestamp"),
