@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tonality.plans.ranking import global_ordinal, ordinal_within
+from tonality.plans.ranking import global_ordinal, ordinal_within, top_by_count_candidates
 
 
 def test_global_ordinal_matches_row_number(spark):
@@ -23,3 +23,13 @@ def test_ordinal_within_groups(spark):
     w = Window.partitionBy("g").orderBy("k", "id")
     want = {r.id: r.o - 1 for r in df.select("id", F.row_number().over(w).alias("o")).collect()}
     assert got == want
+
+
+def test_top_by_count_candidates_keeps_exact_top_k(spark):
+    rows = [(f"w{i:03d}", c) for i, c in enumerate([9, 7, 7, 7, 5, 5, 3, 1, 1, 1, 1])]
+    df = spark.createDataFrame(rows, "word string, n long")
+    for k in (1, 2, 4, 5, 7, 11, 50):
+        got = global_ordinal(top_by_count_candidates(df, k), [F.col("n").desc(), "word"], "r")
+        full = global_ordinal(df, [F.col("n").desc(), "word"], "r")
+        assert ({r.word: r.r for r in got.where(F.col("r") < k).collect()}
+                == {r.word: r.r for r in full.where(F.col("r") < k).collect()})

@@ -56,3 +56,20 @@ def ordinal_within(df: DataFrame, groups: Sequence[str], order: Sequence[Column
     return (ranked.join(tiny(starts), list(groups))
             .withColumn(out, F.col("_ow_g") - F.col("_ow_start"))
             .drop("_ow_g", "_ow_start"))
+
+
+def top_by_count_candidates(counts: DataFrame, k: int, count_col: str = "n") -> DataFrame:
+    """Rows that can rank among the first ``k`` by ``count_col`` descending.
+
+    With c_k the k-th largest count, every row ranked before position k has a count
+    >= c_k, and at most k - 1 rows have a count > c_k; so keeping ``count >= c_k``
+    keeps all of the top k plus the ties at c_k, and ranks among the kept rows equal
+    global ranks.  c_k comes from the histogram of counts (one row per distinct count
+    value: at most sqrt(2 x total) rows when the counts sum to ``total``) through a
+    scalar subquery, so the long tail is never sorted.  Fewer than k rows keeps all.
+    """
+    hist = counts.groupBy(count_col).agg(F.count(F.lit(1)).alias("_tk_k"))
+    upto = Window.orderBy(F.col(count_col).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    threshold = (hist.withColumn("_tk_cum", F.sum("_tk_k").over(upto))
+                 .where(F.col("_tk_cum") >= k).agg(F.max(count_col)))
+    return counts.where(F.col(count_col) >= F.coalesce(threshold.scalar(), F.lit(0)))

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ..functions.text import LABEL_NAMES, normalise, split_pieces
 from ..plans.broadcast import bounded_broadcast
 from ..plans.partitioning import spread
-from ..plans.ranking import global_ordinal
+from ..plans.ranking import global_ordinal, top_by_count_candidates
 from .tables import read_table, row_count, table_path
 
 # Fixed rule of the fixture: every fifth document id is held out for testing.
@@ -111,12 +111,14 @@ def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """word, vec_id, vector: the rank of a word by (count desc, word asc) is its vec_id.
 
     The rank comes from a distributed sort (``global_ordinal``), never a
-    single-partition window; the embedding side joins on the rank.
+    single-partition window, over only the words that can rank below the number of
+    vectors (``top_by_count_candidates``); the embedding side joins on the rank.
     """
-    ranked = global_ordinal(word_counts(spark, sf_dir),
-                            [F.col("n").desc(), F.col("word").asc()], out="rank")
+    n_vectors = row_count(spark, sf_dir, "embeddings")
+    # Only words that can rank below n_vectors are sorted (histogram threshold).
+    candidates = top_by_count_candidates(word_counts(spark, sf_dir), n_vectors)
+    ranked = global_ordinal(candidates, [F.col("n").desc(), F.col("word").asc()], out="rank")
     emb = read_table(spark, sf_dir, "embeddings").select(
         F.col("vec_id"), F.col("embedding").alias("vector"))
-    n_vectors = row_count(spark, sf_dir, "embeddings")
     ranked = ranked.where(F.col("rank") < F.lit(n_vectors))
     return ranked.join(emb, ranked["rank"] == emb["vec_id"]).select("word", "vec_id", "vector")
