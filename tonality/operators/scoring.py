@@ -90,7 +90,12 @@ def labelled_pooled(spark: SparkSession, sf_dir: str, vt: VectorTable,
                     max_len: int | None = MAX_LENGTH) -> DataFrame:
     """(doc_id, split, sentiment, label, n, pooled) for labelled documents; documents
     without a known word keep ``n = 0`` and a null ``pooled``."""
-    rv = fixtures.reviews(spark, sf_dir)
+    return pooled_corpus(fixtures.reviews(spark, sf_dir), vt, spark, max_len)
+
+
+def pooled_corpus(rv: DataFrame, vt: VectorTable, spark: SparkSession,
+                  max_len: int | None = MAX_LENGTH) -> DataFrame:
+    """Any labelled corpus (doc_id, text, split, sentiment, label) -> pooled rows."""
     toks = fixtures.tokens_of(rv.select("doc_id", "text"))
     pooled = pooled_vectors(truncated_tokens(toks, vt, spark, max_len), vt, spark)
     meta = rv.select("doc_id", "split", "sentiment", "label")

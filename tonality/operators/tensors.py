@@ -31,7 +31,12 @@ def batch_members(spark: SparkSession, sf_dir: str, vt: VectorTable,
                   max_len: int | None = tok.MAX_LENGTH) -> DataFrame:
     """Labelled documents with split, label, batch_id, row_in_batch, n (own length),
     L (batch padding target) and seq (possibly empty)."""
-    rv = fixtures.reviews(spark, sf_dir)
+    return corpus_members(fixtures.reviews(spark, sf_dir), vt, spark, max_len)
+
+
+def corpus_members(rv: DataFrame, vt: VectorTable, spark: SparkSession,
+                   max_len: int | None = tok.MAX_LENGTH) -> DataFrame:
+    """``batch_members`` for any labelled corpus (doc_id, text, split, sentiment, label)."""
     mb = ds.minibatches(ds.interleave(rv.select("doc_id", "split", "sentiment", "label")))
     toks = fixtures.tokens_of(rv.select("doc_id", "text"))
     seqs = doc_sequences(tok.truncated_tokens(toks, vt, spark, max_len), vt, spark)
