@@ -6,7 +6,6 @@ import io
 import os
 import tarfile
 
-from pyspark.sql import functions as F
 
 from tonality.functions.text import INVALID_INPUT
 from tonality.operators import dataset as ds

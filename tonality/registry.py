@@ -13,11 +13,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions import arrays as A
+from .functions.text import verdict_text
+from .operators import classifier as clf
+from .operators import dataset as ds
 from .operators import evaluate, tokens as tok, vectors as vec
-from .operators.scoring import labelled_pooled, stored_centroid, train_centroid
+from .operators import messages as msg
+from .operators import project as pj
+from .operators import sequence_model as sm
+from .operators import tensors as tz
+from .operators.scoring import labelled_pooled, score_texts, stored_centroid, train_centroid
 from .operators.vectors import round_array
+from .plans import staging
+from .session import fresh_path
+from .sources import archives as ar
+from .sources import corpus as cp
+from .sources import email_csv as ec
 from .sources import fixtures
+from .sources import vectors as sv
+from .sources.tables import row_count
 from .sources.vectors import vector_table
+from .streaming import scores as st
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -153,8 +169,6 @@ def q_cross_entropy(spark, sf):
 
 # ---------------------------------------------------------------- dataset assembly
 
-from .operators import dataset as ds  # noqa: E402
-
 
 def _meta(spark, sf):
     return fixtures.reviews(spark, sf, with_text=False)
@@ -251,9 +265,6 @@ def q_label_names(spark, sf):
 
 # ---------------------------------------------------------------- arrays and tensors
 
-from .functions import arrays as A  # noqa: E402
-from .operators import tensors as tz  # noqa: E402
-
 
 def _members(spark, sf):
     vt = vector_table(spark, sf)
@@ -328,10 +339,6 @@ def q_last_step(spark, sf):
 
 # ---------------------------------------------------------------- projections and batch scoring
 
-from .operators import messages as msg  # noqa: E402
-from .operators import project as pj  # noqa: E402
-from .operators.scoring import score_texts  # noqa: E402
-
 
 @query("project_messages")
 def q_project_messages(spark, sf):
@@ -394,7 +401,6 @@ def q_verdict_text(spark, sf):
     """Verdict line and echoed output for every labelled document."""
     vt, model = _model(spark, sf)
     rv = fixtures.reviews(spark, sf).select("doc_id", "text")
-    from .functions.text import verdict_text
     s = score_texts(rv, vt, model, spark)
     return s.select("doc_id", "sentiment",
                     verdict_text(F.col("score_pos"), F.col("score_neg")).alias("verdict_line"),
@@ -403,13 +409,6 @@ def q_verdict_text(spark, sf):
 
 # ---------------------------------------------------------------- sources and sinks (round trips)
 
-from .plans import staging  # noqa: E402
-from .session import fresh_path  # noqa: E402
-from .sources import archives as ar  # noqa: E402
-from .sources import corpus as cp  # noqa: E402
-from .sources import email_csv as ec  # noqa: E402
-from .sources import vectors as sv  # noqa: E402
-from .sources.tables import row_count  # noqa: E402
 
 # Documents per tar.gz archive in the archive fixture (bounds each writer group).
 DOCS_PER_ARCHIVE = 500
@@ -496,8 +495,6 @@ def q_inputs_ready(spark, sf):
 
 # ---------------------------------------------------------------- distributed classifier
 
-from .operators import classifier as clf  # noqa: E402
-
 
 def _train_test(spark, sf):
     vt = vector_table(spark, sf)
@@ -554,8 +551,6 @@ def q_seeded_training(spark, sf):
 
 # ---------------------------------------------------------------- streaming
 
-from .streaming import scores as st  # noqa: E402
-
 
 @query("stream_scores")
 def q_stream_scores(spark, sf):
@@ -568,7 +563,6 @@ def q_stream_scores(spark, sf):
 
 # ---------------------------------------------------------------- recurrent sequence model
 
-from .operators import sequence_model as sm  # noqa: E402
 
 # Hidden width used by the registered queries: the reference's 256.
 SEQ_HIDDEN = sm.REFERENCE_HIDDEN
