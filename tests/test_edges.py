@@ -167,3 +167,17 @@ def test_missing_input_raises_with_name(spark):
     import pytest
     with pytest.raises(FileNotFoundError, match="model"):
         staging.require_inputs(spark, {"model": fresh_path(spark, "nothing-here")})
+
+
+def test_wide_vectors_pool_through_summarizer(spark, vocab):
+    import numpy as np
+
+    from tonality.operators.vectors import WIDE_DIM, pooled_vectors
+    dim = WIDE_DIM + 2
+    rng = np.random.default_rng(3)
+    vecs = {w: rng.normal(size=dim) for w in ("a", "b", "c")}
+    vt = vocab([(w, v.astype(np.float32).tolist()) for w, v in vecs.items()])
+    toks = fixtures.tokens_of(_texts(spark, [(1, "a b b zz c")]))
+    got = np.array(pooled_vectors(tok.truncated_tokens(toks, vt, spark), vt, spark).first().pooled)
+    want = np.mean([vecs[w].astype(np.float32) for w in ("a", "b", "b", "c")], axis=0)
+    assert got.shape == (dim,) and np.allclose(got, want, atol=1e-6)

@@ -21,16 +21,19 @@ from .broadcast import tiny
 def global_ordinal(df: DataFrame, order: Sequence[Column | str], out: str = "ordinal") -> DataFrame:
     """Add ``out``: the 0-based position of each row in ``order`` (must be a total order).
 
-    Plan: Exchange rangepartitioning -> Sort -> (index in partition) joined with a
-    broadcast table of per-partition offsets.  The sorted exchange is shared by both
+    Plan: Exchange rangepartitioning (fixed count) -> Sort -> (index in partition)
+    joined with a broadcast table of per-partition offsets.  The sorted exchange is shared by both
     branches (ReuseExchange), and a total order makes the numbering deterministic if
     a stage is recomputed.
     """
-    tagged = df.orderBy(*order).select(
-        "*",
-        F.spark_partition_id().alias("_ord_pid"),
-        F.monotonically_increasing_id().alias("_ord_mid"),
-    )
+    # An explicit partition count: AQE never coalesces a by-number repartition, so the
+    # partition ids seen by the offsets branch and the numbering branch are the same
+    # by construction (the exchange itself is shared through ReuseExchange).
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tagged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .select("*",
+                      F.spark_partition_id().alias("_ord_pid"),
+                      F.monotonically_increasing_id().alias("_ord_mid")))
     sizes = tagged.groupBy("_ord_pid").agg(
         F.count(F.lit(1)).alias("_ord_n"), F.min("_ord_mid").alias("_ord_first"))
     before = Window.orderBy("_ord_pid").rowsBetween(Window.unboundedPreceding, -1)
