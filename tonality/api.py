@@ -84,7 +84,7 @@ def train_and_evaluate(spark: SparkSession, corpus: DataFrame, vt: sv.VectorTabl
                 fit_centroid(train, vt.dim).save(spark, model_path)
             scored = CentroidModel.load(spark, model_path).transform(test)
         else:
-            model, _ = clf.fit_or_load(spark, model_path, train)
+            model, _ = clf.fit_or_load(spark, model_path, train, dim=vt.dim)
             scored = clf.score_logistic(model, test)
     cm = ev.confusion_matrix(scored)
     return Trained(kind, model_path, ev.classification_metrics(cm), cm)

@@ -30,3 +30,22 @@ def spread(df: DataFrame, key_col: str, scan_key: str) -> DataFrame:
     if scan_width(df, scan_key) >= target:
         return df
     return df.repartition(key_col)
+
+
+# Target bytes per partition for data that an iterative job re-reads every iteration.
+ITERATIVE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def right_size(df: DataFrame, row_bytes: int, target: int = ITERATIVE_PARTITION_BYTES) -> DataFrame:
+    """Coalesce a (checkpointed or cached) input of an iterative job to about
+    ``rows x row_bytes / target`` partitions.
+
+    Every iteration of L-BFGS or of the averaging rounds is a job with one task per
+    partition, so a few-megabyte training set spread over many partitions spends its
+    time scheduling; at scale the formula still yields thousands of partitions.
+    Only ever reduces the partition count (no shuffle).
+    """
+    rows = df.count()
+    want = max(1, -(-rows * row_bytes // target))
+    have = df.rdd.getNumPartitions()
+    return df.coalesce(want) if want < have else df

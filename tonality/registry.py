@@ -508,7 +508,7 @@ def q_train_classifier(spark, sf):
     vt = vector_table(spark, sf)
     lp = labelled_pooled(spark, sf, vt).checkpoint()
     train, test = lp.where(F.col("split") == "train"), lp.where(F.col("split") == "test")
-    model = clf.fit_logistic(train)
+    model = clf.fit_logistic(train, dim=vt.dim)
     return clf.score_logistic(model, test).select(
         "doc_id", "split", F.col("sentiment").alias("actual"), "n", "score_pos", "score_neg",
         F.col("verdict").alias("predicted"))
@@ -517,8 +517,9 @@ def q_train_classifier(spark, sf):
 @query("loss_history")
 def q_loss_history(spark, sf):
     """Training loss per iteration."""
-    train, _ = _train_test(spark, sf)
-    return clf.loss_history(spark, clf.fit_logistic(train.checkpoint()))
+    vt = vector_table(spark, sf)
+    train = labelled_pooled(spark, sf, vt).where(F.col("split") == "train").checkpoint()
+    return clf.loss_history(spark, clf.fit_logistic(train, dim=vt.dim))
 
 
 @query("model_roundtrip")
