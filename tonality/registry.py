@@ -497,8 +497,9 @@ def q_inputs_ready(spark, sf):
 
 
 def _train_test(spark, sf):
+    """Checkpointed pooled train and test splits (the lineage is cut once)."""
     vt = vector_table(spark, sf)
-    lp = labelled_pooled(spark, sf, vt)
+    lp = labelled_pooled(spark, sf, vt).checkpoint()
     return lp.where(F.col("split") == "train"), lp.where(F.col("split") == "test")
 
 
@@ -525,10 +526,11 @@ def q_loss_history(spark, sf):
 @query("model_roundtrip")
 def q_model_roundtrip(spark, sf):
     """Train once, store, reload; parameters and configuration equal."""
+    vt = vector_table(spark, sf)
     train, _ = _train_test(spark, sf)
     path = fresh_path(spark, "model")
-    model, trained_first = clf.fit_or_load(spark, path, train)
-    again, trained_second = clf.fit_or_load(spark, path, train)
+    model, trained_first = clf.fit_or_load(spark, path, train, dim=vt.dim)
+    again, trained_second = clf.fit_or_load(spark, path, train, dim=vt.dim)
     _, rt = clf.save_and_verify(model, fresh_path(spark, "model-copy"))
     return spark.createDataFrame(
         [(trained_first, trained_second, rt.params_equal, rt.config_equal,
@@ -542,7 +544,7 @@ def q_seeded_training(spark, sf):
     """M8: the same seed and input give the same parameters, for both linear models."""
     vt = vector_table(spark, sf)
     train, _ = _train_test(spark, sf)
-    a, b = clf.fit_logistic(train), clf.fit_logistic(train)
+    a, b = clf.fit_logistic(train, dim=vt.dim), clf.fit_logistic(train, dim=vt.dim)
     c1, c2 = train_centroid(spark, sf, vt), train_centroid(spark, sf, vt)
     return spark.createDataFrame(
         [("logistic", clf.params_equal(a, b)),
