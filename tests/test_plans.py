@@ -44,3 +44,21 @@ def test_no_nested_loop_or_cartesian_joins(spark, key):
 def test_scoring_reuses_the_document_exchange(spark):
     plan = _final_plan(E.queries()["score_adhoc"](spark, SMOKE))
     assert "ReusedExchange" in plan
+
+
+def test_hybrid_hot_word_join_gives_the_same_rows(spark):
+    """Vocabulary above the broadcast bound: hot words broadcast, the rest shuffled."""
+    from tonality.sources.vectors import HOT_CONF_KEY
+    keys = ["known_tokens", "pooled_vectors", "token_vector_lookup", "oov_words", "known_token_counts"]
+    want = {k: sorted(map(tuple, E.queries()[k](spark, SMOKE).collect()), key=repr) for k in keys}
+    spark.conf.set(CONF_KEY, "1")
+    spark.conf.set(HOT_CONF_KEY, str(60 * 1024))  # a few dozen hot words
+    try:
+        for k in keys:
+            df = E.queries()[k](spark, SMOKE)
+            assert sorted(map(tuple, df.collect()), key=repr) == want[k], k
+        plan = _final_plan(E.queries()["pooled_vectors"](spark, SMOKE))
+        assert "Union" in plan and "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.unset(CONF_KEY)
+        spark.conf.unset(HOT_CONF_KEY)

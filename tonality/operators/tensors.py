@@ -20,7 +20,7 @@ from . import tokens as tok
 def doc_sequences(trunc: DataFrame, vt: VectorTable, spark: SparkSession,
                   id_col: str = "doc_id") -> DataFrame:
     """(id, n, seq): vectors of the truncated known words in step order."""
-    return (trunc.join(vt.vectors(spark), "word")
+    return (vt.join(trunc, spark, "inner")
             .groupBy(id_col)
             .agg(F.sort_array(F.collect_list(F.struct("t", "vector"))).alias("_s"))
             .select(id_col, F.size("_s").cast("bigint").alias("n"),

@@ -22,7 +22,7 @@ def known_tokens(toks: DataFrame, vt: VectorTable, spark: SparkSession,
 
     Left-semi join on ``word`` (J1), then ``row_number`` by ``pos`` per text (W4).
     """
-    known = toks.join(vt.words(spark), "word", "left_semi")
+    known = vt.join(toks, spark, "left_semi", with_vectors=False)
     w = Window.partitionBy(id_col).orderBy("pos")
     return known.select(id_col, "pos", "word", F.row_number().over(w).cast("bigint").alias("t"))
 
@@ -43,10 +43,9 @@ def known_counts(docs: DataFrame, toks: DataFrame, vt: VectorTable, spark: Spark
     """(id, n_tokens, n_known) for every text, zero when none (A2).
 
     Both counts come from one aggregate over the tokens tagged known/unknown by a
-    left-outer lookup, so the tokens are scanned and shuffled once.
+    left-outer lookup carrying a flag, so the tokens are scanned once.
     """
-    words = vt.words(spark).withColumn("_known", F.lit(1))
-    tagged = toks.join(words, "word", "left")
+    tagged = vt.join(toks, spark, "left", with_vectors=False, flag="_known")
     per_doc = tagged.groupBy(id_col).agg(
         F.count(F.lit(1)).alias("n_tokens"),
         F.count("_known").alias("n_known"))
@@ -58,13 +57,13 @@ def known_counts(docs: DataFrame, toks: DataFrame, vt: VectorTable, spark: Spark
 
 def oov_words(toks: DataFrame, vt: VectorTable, spark: SparkSession) -> DataFrame:
     """(word, n): words without a vector and how often they occur (J4, left anti)."""
-    return (toks.join(vt.words(spark), "word", "left_anti")
+    return (vt.join(toks, spark, "left_anti", with_vectors=False)
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 
 def token_vector_lookup(toks: DataFrame, vt: VectorTable, spark: SparkSession) -> DataFrame:
     """Every token with its vector or null (J3, left outer)."""
-    return toks.join(vt.vectors(spark), "word", "left")
+    return vt.join(toks, spark, "left")
 
 
 def sequence_arrays(trunc: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -18,7 +18,7 @@ WIDE_DIM = 128
 
 def sequence_vectors(trunc: DataFrame, vt: VectorTable, spark: SparkSession) -> DataFrame:
     """(doc_id, t, word, vector): vectors fetched only after truncation."""
-    return trunc.join(vt.vectors(spark), "word")
+    return vt.join(trunc, spark, "inner")
 
 
 def mean_vector(vector_col: str, dim: int):
@@ -37,7 +37,7 @@ def mean_vector(vector_col: str, dim: int):
 def pooled_vectors(trunc: DataFrame, vt: VectorTable, spark: SparkSession,
                    id_col: str = "doc_id") -> DataFrame:
     """(id, n, pooled): mean of the unmasked (truncated, known) word vectors."""
-    seq = trunc.join(vt.vectors(spark), "word")
+    seq = vt.join(trunc, spark, "inner")
     return seq.groupBy(id_col).agg(
         F.count(F.lit(1)).cast("bigint").alias("n"),
         mean_vector("vector", vt.dim).alias("pooled"))

@@ -18,29 +18,38 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.broadcast import bounded_broadcast
+from ..plans.broadcast import bounded_broadcast, broadcast_limit
 from ..plans.staging import materialize_once, staged_path
 from . import fixtures
 from .tables import fingerprint, table_path
 
 # Hash-relation overhead per broadcast row, generous.
 ROW_OVERHEAD = 48
+# Byte budget for the broadcast "hot word" side of a hybrid join (see VectorTable.join).
+HOT_CONF_KEY = "tonality.hotWords.maxBytes"
+HOT_DEFAULT = 64 * 1024 * 1024
 
 
 @dataclass(frozen=True)
 class VectorTable:
+    """A staged (word, vec_id, vector) table; ``vec_id`` is the frequency rank
+    (0 = most frequent word), which is what word-vector files are ordered by."""
+
     path: str
     n_words: int
     dim: int
     max_word_bytes: int
 
+    def row_bytes(self, with_vectors: bool) -> int:
+        return self.max_word_bytes + ROW_OVERHEAD + (4 * self.dim if with_vectors else 0)
+
     @property
     def word_bytes(self) -> int:
-        return self.n_words * (self.max_word_bytes + ROW_OVERHEAD)
+        return self.n_words * self.row_bytes(False)
 
     @property
     def vector_bytes(self) -> int:
-        return self.n_words * (self.max_word_bytes + 4 * self.dim + ROW_OVERHEAD)
+        return self.n_words * self.row_bytes(True)
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """word, vec_id, vector"""
@@ -54,6 +63,37 @@ class VectorTable:
         """word, vector, broadcast when their measured size allows."""
         return bounded_broadcast(self.frame(spark).select("word", "vector"), self.vector_bytes)
 
+    def join(self, df: DataFrame, spark: SparkSession, how: str = "inner",
+             with_vectors: bool = True, flag: str | None = None) -> DataFrame:
+        """Join token rows to the vocabulary on ``word``.
+
+        Whole side within the broadcast limit: one broadcast hash join.  Otherwise a
+        hybrid that keeps hot words out of the shuffle: the ``H`` most frequent words
+        (H bounded by the hot-word byte budget) are broadcast and joined in place, and
+        only the remaining tokens -- those not among the hot words -- are shuffled
+        against the rest of the vocabulary.  Frequent words are exactly the skewed
+        keys, so the shuffle side carries neither the bulk of the tokens nor the hot
+        keys.  ``how``: inner, left, left_semi or left_anti.  ``flag`` adds a column
+        that is 1 on matched rows (null on unmatched rows of a left join).
+        """
+        cols = (["word", "vector"] if with_vectors else ["word"]) + (
+            [F.lit(1).alias(flag)] if flag else [])
+        whole = self.vector_bytes if with_vectors else self.word_bytes
+        limit = broadcast_limit(spark)
+        if whole <= limit:
+            return df.join(F.broadcast(self.frame(spark).select(*cols)), "word", how)
+        budget = int(spark.conf.get(HOT_CONF_KEY, str(HOT_DEFAULT)))
+        n_hot = min(self.n_words, budget // self.row_bytes(with_vectors))
+        table = self.frame(spark)
+        hot = F.broadcast(table.where(F.col("vec_id") < n_hot).select(*cols))
+        hot_words = F.broadcast(table.where(F.col("vec_id") < n_hot).select("word"))
+        cold = table.where(F.col("vec_id") >= n_hot).select(*cols)
+        rest = df.join(hot_words, "word", "left_anti")
+        if how == "left_anti":
+            return rest.join(cold, "word", "left_anti")
+        hot_part = df.join(hot, "word", "left_semi" if how == "left_semi" else "inner")
+        return hot_part.unionByName(rest.join(cold, "word", how))
+
 
 _TABLES: dict[tuple, VectorTable] = {}
 
@@ -80,8 +120,16 @@ def vector_table(spark: SparkSession, sf_dir: str) -> VectorTable:
 
 
 def stage_vectors(spark: SparkSession, df: DataFrame, path: str) -> VectorTable:
-    """Stage any (word, vector) frame and measure it."""
-    materialize_once(spark, lambda: df, path)
+    """Stage any (word, vector[, vec_id]) frame and measure it.
+
+    Without ``vec_id`` the row order of the input (file order for a vector file,
+    which lists words by frequency) becomes the rank."""
+    if "vec_id" not in df.columns:
+        from ..plans.ranking import global_ordinal
+
+        df = global_ordinal(df.withColumn("_file_pos", F.monotonically_increasing_id()),
+                            [F.col("_file_pos")], out="vec_id").drop("_file_pos")
+    materialize_once(spark, lambda: df.select("word", "vec_id", "vector"), path)
     return measure(spark, path)
 
 
