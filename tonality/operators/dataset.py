@@ -132,6 +132,12 @@ def batch_fetch(mb: DataFrame, rv: DataFrame) -> DataFrame:
             .drop("total"))
 
 
+def fetch_batch(mb: DataFrame, split: str, batch_id: int) -> DataFrame:
+    """The rows of one minibatch in order; empty past the end."""
+    return (mb.where((F.col("split") == split) & (F.col("batch_id") == batch_id))
+            .orderBy("row_in_batch"))
+
+
 def epoch_schedule(mb: DataFrame, n_epochs: int = 1) -> DataFrame:
     """(epoch, step, split, batch_id, n_docs): every batch once per epoch, in order (L4).
 
