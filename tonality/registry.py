@@ -600,3 +600,14 @@ def q_score_sequences(spark, sf):
     seqs = tz.doc_sequences(tok.truncated_tokens(fixtures.tokens(spark, sf), vt, spark), vt, spark)
     return sm.score(seqs, model).select("doc_id", "score_pos", "score_neg",
                                         F.col("verdict").alias("sentiment"))
+
+
+@query("sequence_evaluation")
+def q_sequence_evaluation(spark, sf):
+    """A4, A5 for M2/M3: the stored recurrent model scored on the test split."""
+    vt = vector_table(spark, sf)
+    model = stored_sequence_model(spark, sf, vt)
+    members = tz.batch_members(spark, sf, vt).where(F.col("split") == "test")
+    scored = sm.score(members.select("doc_id", "seq"), model).join(
+        members.select("doc_id", "sentiment"), "doc_id")
+    return evaluate.classification_metrics(evaluate.confusion_matrix(scored))
