@@ -35,3 +35,29 @@ def test_padded_read_out_matches_reference_shape(spark):
         want_pad = L.forward(model.flat, Xp, np.array([7]), D, H)[0][0, 0]
         assert abs(last[k] - want_last) < 1e-5 and abs(padded[k] - want_pad) < 1e-5
     assert last != padded
+
+
+def test_running_stream_picks_up_new_files(spark):
+    """A processing-time stream scores files as they arrive in its folder."""
+    from tonality.operators.scoring import CentroidModel
+    from tonality.session import fresh_path
+    from tonality.streaming import scores as st
+    from tonality.sources.vectors import stage_vectors
+
+    vt = stage_vectors(spark, spark.createDataFrame([("good", 0, [1.0]), ("bad", 1, [-1.0])],
+                                                    "word string, vec_id bigint, vector array<float>"),
+                       fresh_path(spark, "stream-vocab"))
+    model = CentroidModel([2.0], 0.0)
+    src, sink, ckpt = (fresh_path(spark, n) for n in ("stream-src", "stream-out", "stream-ckpt"))
+    schema = "doc_id long, text string"
+    spark.createDataFrame([(1, "good good")], schema).write.parquet(src + "/a")
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(src)
+    q = st.score_stream(stream, vt, model, sink, ckpt, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        spark.createDataFrame([(2, "bad"), (3, "nothing known")], schema).write.parquet(src + "/b")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r.doc_id: (r.sentiment, r.status) for r in spark.read.parquet(sink).collect()}
+    assert got[1][0] == "Positive" and got[2][0] == "Negative" and got[3][1].startswith("Invalid")

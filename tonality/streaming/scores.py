@@ -35,18 +35,23 @@ def text_stream(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def score_stream(stream: DataFrame, vt: VectorTable, model: CentroidModel, sink: str,
-                 checkpoint: str, id_col: str = "doc_id", text_col: str = "text"):
-    """Start the scoring query; returns the StreamingQuery (trigger: available now)."""
+                 checkpoint: str, id_col: str = "doc_id", text_col: str = "text",
+                 processing_time: str | None = None):
+    """Start the scoring query; returns the StreamingQuery.
+
+    Default trigger: everything available now, then stop.  ``processing_time``
+    (e.g. ``"5 seconds"``) keeps the query running like the reference's text box,
+    scoring whatever arrived since the last micro-batch."""
     spark = stream.sparkSession
 
     def each(batch: DataFrame, epoch_id: int) -> None:
         scored = score_texts(batch.select(id_col, text_col), vt, model, spark, id_col, text_col)
         scored.select(*RESULT_COLUMNS).write.mode("overwrite").parquet(f"{sink}/batch={epoch_id}")
 
-    return (stream.writeStream.foreachBatch(each)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start())
+    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    writer = (writer.trigger(processingTime=processing_time) if processing_time
+              else writer.trigger(availableNow=True))
+    return writer.start()
 
 
 def run_to_completion(spark: SparkSession, source: str, schema: T.StructType, vt: VectorTable,
