@@ -1,8 +1,9 @@
 """Vocabulary joins over token streams.
 
 Token frames are long: (doc_id, pos, word).  The vocabulary side is the staged
-``VectorTable``; it is broadcast only when its measured size allows, otherwise the
-join shuffles on ``word`` and AQE splits hot words.
+``VectorTable``; ``VectorTable.join`` broadcasts it when its measured size allows,
+otherwise it broadcasts only the most frequent words and shuffles the remaining
+tokens against the rest, so hot words stay out of the shuffle.
 """
 
 from __future__ import annotations
