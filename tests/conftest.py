@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,8 +13,7 @@ SMOKE = "/root/testdata/sf0.001"
 def spark():
     from tonality.session import build_session
 
-    s = build_session(master="local[4]", shuffle_partitions=8,
-                      extra={"spark.local.dir": tempfile.mkdtemp(prefix="tonality-test-")})
+    s = build_session(master="local[4]", shuffle_partitions=8)
     yield s
     s.stop()
 
