@@ -373,3 +373,28 @@ SQL["materialize_once"] = with_(REVIEWS) + "SELECT doc_id, text, split, sentimen
 
 SQL["stream_scores"] = with_(*DOC_SCORES) + score_select("documents", "doc_id", "text", "doc_n", "dz") + """
 SELECT doc_id, n_known, score_pos, score_neg, sentiment, status FROM scored_texts"""
+
+SQL["training_dataset"] = with_(*ARRAYS) + """,
+dims AS (SELECT max(len(vector)) AS d FROM word_vectors),
+grid AS (SELECT m.doc_id, m.n, m.label, unnest(range(1, m.L + 1)) AS t FROM members m),
+steps AS (
+  SELECT g.doc_id, g.t,
+         coalesce(CAST(w.vector AS DOUBLE[]), list_transform(range((SELECT d FROM dims)), lambda i: 0.0)) AS v,
+         CASE WHEN g.t = g.n THEN (CASE WHEN g.label = 0 THEN [1.0, 0.0]::DOUBLE[] ELSE [0.0, 1.0]::DOUBLE[] END)
+              ELSE [0.0, 0.0]::DOUBLE[] END AS y,
+         CAST(CASE WHEN g.t <= g.n THEN 1 ELSE 0 END AS BIGINT) AS fm,
+         CAST(CASE WHEN g.t = g.n THEN 1 ELSE 0 END AS BIGINT) AS lm
+  FROM grid g
+  LEFT JOIN rknown k ON k.doc_id = g.doc_id AND k.t = g.t
+  LEFT JOIN word_vectors w ON k.word = w.word),
+per_doc AS (SELECT doc_id, list(v ORDER BY t) AS f, list(y ORDER BY t) AS l,
+                   list(fm ORDER BY t) AS fmask, list(lm ORDER BY t) AS lmask
+            FROM steps GROUP BY doc_id),
+docs AS (SELECT m.split, m.batch_id, m.row_in_batch,
+                coalesce(p.f, []::DOUBLE[][]) AS f, coalesce(p.l, []::DOUBLE[][]) AS l,
+                coalesce(p.fmask, []::BIGINT[]) AS fmask, coalesce(p.lmask, []::BIGINT[]) AS lmask
+         FROM members m LEFT JOIN per_doc p ON m.doc_id = p.doc_id)
+SELECT split, batch_id, count(*) AS n_docs,
+       list(f ORDER BY row_in_batch) AS features, list(l ORDER BY row_in_batch) AS labels,
+       list(fmask ORDER BY row_in_batch) AS features_mask, list(lmask ORDER BY row_in_batch) AS labels_mask
+FROM docs GROUP BY split, batch_id"""

@@ -312,7 +312,13 @@ def q_sequence_transpose(spark, sf):
 def q_training_dataset(spark, sf):
     """One row per minibatch holding features, labels and both masks."""
     vt, m = _members(spark, sf)
-    return tz.training_batches(m, vt.dim)
+    b = tz.training_batches(m, vt.dim)
+    return b.select(
+        "split", "batch_id", "n_docs",
+        F.col("dataset.features").cast("array<array<array<double>>>").alias("features"),
+        F.col("dataset.labels").alias("labels"),
+        F.col("dataset.features_mask").cast("array<array<bigint>>").alias("features_mask"),
+        F.col("dataset.labels_mask").cast("array<array<bigint>>").alias("labels_mask"))
 
 
 @query("inference_shape")
