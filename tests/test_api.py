@@ -52,3 +52,15 @@ def test_logistic_and_lstm_programs(spark):
     for kind, extra in (("logistic", {}), ("lstm", {"hidden": 8})):
         res = api.train_and_evaluate(spark, corpus, vt, fresh_path(spark, f"api-{kind}"), kind=kind, **extra)
         assert sum(r.n for r in res.confusion.collect()) > 0
+
+
+def test_command_line_train_and_score_text(spark, capsys):
+    from tonality.__main__ import main
+    root, vec = _files(spark)
+    model = fresh_path(spark, "cli-model")
+    main(["train", "--corpus", root, "--vectors", vec, "--model", model, "--kind", "centroid"])
+    out = capsys.readouterr().out
+    assert "positive" in out and "macro" in out
+    main(["score-text", "--vectors", vec, "--model", model, "the the the", ""])
+    lines = [ln for ln in capsys.readouterr().out.splitlines() if ln.startswith(("Sentiment:", "Invalid"))]
+    assert len(lines) == 2 and lines[0].startswith("Sentiment: ") and lines[1].startswith("Invalid")
