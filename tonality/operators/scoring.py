@@ -115,9 +115,15 @@ def stored_centroid(spark: SparkSession, sf_dir: str, vt: VectorTable) -> Centro
     from ..plans.staging import is_complete
 
     path = vt.path.rstrip("/") + f"-centroid-model-v{MODEL_VERSION}"
-    if not is_complete(spark, path):
-        train_centroid(spark, sf_dir, vt).save(spark, path)
-    return CentroidModel.load(spark, path)
+    if path not in _STORED:
+        if not is_complete(spark, path):
+            train_centroid(spark, sf_dir, vt).save(spark, path)
+        _STORED[path] = CentroidModel.load(spark, path)
+    return _STORED[path]
+
+
+# Stored models are immutable once complete: loaded once per process.
+_STORED: dict[str, CentroidModel] = {}
 
 
 def score_pooled(pooled: DataFrame, model: CentroidModel) -> DataFrame:

@@ -592,10 +592,16 @@ def q_train_sequence_model(spark, sf):
 def stored_sequence_model(spark, sf, vt):
     """Train once, reuse after (M7) for the recurrent model."""
     path = vt.path.rstrip("/") + f"-lstm-h{SEQ_HIDDEN}-v{sm.MODEL_VERSION}"
-    if not staging.is_complete(spark, path):
-        model, _ = sm.train(spark, _train_members(spark, sf, vt), vt.dim, hidden=SEQ_HIDDEN)
-        model.save(spark, path)
-    return sm.SequenceModel.load(spark, path)
+    if path not in _STORED_SEQ:
+        if not staging.is_complete(spark, path):
+            model, _ = sm.train(spark, _train_members(spark, sf, vt), vt.dim, hidden=SEQ_HIDDEN)
+            model.save(spark, path)
+        _STORED_SEQ[path] = sm.SequenceModel.load(spark, path)
+    return _STORED_SEQ[path]
+
+
+# Stored recurrent models are immutable once complete: loaded once per process.
+_STORED_SEQ: dict[str, sm.SequenceModel] = {}
 
 
 @query("score_sequences")
