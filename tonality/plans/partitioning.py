@@ -25,9 +25,12 @@ def scan_width(df: DataFrame, key: str) -> int:
 
 
 def spread(df: DataFrame, key_col: str, scan_key: str) -> DataFrame:
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if scan_width(df, scan_key) >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        width = scan_width(df, scan_key)
+    except Exception:  # noqa: BLE001 - sessions without the RDD API (Spark Connect)
+        return df
+    if width >= target:
         return df
     return df.repartition(key_col)
 
@@ -47,5 +50,8 @@ def right_size(df: DataFrame, row_bytes: int, target: int = ITERATIVE_PARTITION_
     """
     rows = df.count()
     want = max(1, -(-rows * row_bytes // target))
-    have = df.rdd.getNumPartitions()
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without the RDD API (Spark Connect)
+        return df
     return df.coalesce(want) if want < have else df

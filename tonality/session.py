@@ -114,8 +114,11 @@ def ship_package(spark: SparkSession) -> None:
     """
     import zipfile
 
-    sc = spark.sparkContext
-    app = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect: ship code with the session's artifacts instead
+        return
     if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
