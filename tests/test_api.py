@@ -64,3 +64,21 @@ def test_command_line_train_and_score_text(spark, capsys):
     main(["score-text", "--vectors", vec, "--model", model, "the the the", ""])
     lines = [ln for ln in capsys.readouterr().out.splitlines() if ln.startswith(("Sentiment:", "Invalid"))]
     assert len(lines) == 2 and lines[0].startswith("Sentiment: ") and lines[1].startswith("Invalid")
+
+
+def test_bucketed_documents_score_without_exchange(spark):
+    from tonality.operators.scoring import score_texts, stored_centroid
+    vt = vector_table(spark, SMOKE)
+    model = stored_centroid(spark, SMOKE, vt)
+    docs = fixtures.documents(spark, SMOKE)
+    path = fresh_path(spark, "bucketed")
+    table = api.bucket_documents(spark, docs, 4, path)
+    out = score_texts(table, vt, model, spark)
+    rows = sorted(map(tuple, out.collect()))
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ShuffleQueryStage" not in plan and "Exchange hashpartitioning" not in plan
+    assert rows == sorted(map(tuple, score_texts(docs, vt, model, spark).collect()))
+    # the staged table is reused: registering it again reads the same folder
+    spark.sql("DROP TABLE IF EXISTS tonality_bucketed_" + __import__("hashlib").sha1(path.encode()).hexdigest()[:12])
+    again = api.bucket_documents(spark, docs, 4, path)
+    assert again.count() == 200

@@ -90,6 +90,14 @@ def train_and_evaluate(spark: SparkSession, corpus: DataFrame, vt: sv.VectorTabl
     return Trained(kind, model_path, ev.classification_metrics(cm), cm)
 
 
+def bucket_documents(spark: SparkSession, docs: DataFrame, n_buckets: int, path: str | None = None) -> DataFrame:
+    """(doc_id, text) rewritten once as a table bucketed by doc_id; scoring and pooling
+    over it need no exchange.  ``path`` defaults to a new folder in the shared scratch."""
+    from .sources.bucketed import bucketed_documents
+
+    return bucketed_documents(spark, docs, path or fresh_path(spark, "documents-bucketed"), n_buckets)
+
+
 def score_email_csv(spark: SparkSession, csv_path: str, vt: sv.VectorTable, model: CentroidModel,
                     header: bool = False) -> DataFrame:
     """The declared 27-column CSV -> (msg_key, raw_email, scores, sentiment, status, output)."""
