@@ -62,3 +62,15 @@ def test_hybrid_hot_word_join_gives_the_same_rows(spark):
     finally:
         spark.conf.unset(CONF_KEY)
         spark.conf.unset(HOT_CONF_KEY)
+
+
+def test_spread_only_touches_narrow_scans(spark):
+    from tonality.plans.partitioning import spread
+    from tonality.session import fresh_path
+    wide_path, narrow_path = fresh_path(spark, "wide"), fresh_path(spark, "narrow")
+    spark.range(0, 4000, numPartitions=16).withColumnRenamed("id", "doc_id").write.parquet(wide_path)
+    spark.range(0, 4000, numPartitions=1).withColumnRenamed("id", "doc_id").write.parquet(narrow_path)
+    wide = spread(spark.read.parquet(wide_path), "doc_id", wide_path)
+    narrow = spread(spark.read.parquet(narrow_path), "doc_id", narrow_path)
+    assert "Exchange" not in wide._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" in narrow._jdf.queryExecution().executedPlan().toString()
