@@ -623,3 +623,18 @@ def q_sequence_evaluation(spark, sf):
     scored = sm.score(members.select("doc_id", "seq"), model).join(
         members.select("doc_id", "sentiment"), "doc_id")
     return evaluate.classification_metrics(evaluate.confusion_matrix(scored))
+
+
+@query("score_sequences_padded")
+def q_score_sequences_padded(spark, sf):
+    """M3 with the reference's read-out (Q3): each sequence is zero-padded to
+    max(256, known words) steps and the output is read at the last padded step."""
+    vt = vector_table(spark, sf)
+    model = stored_sequence_model(spark, sf, vt)
+    docs = fixtures.documents(spark, sf)
+    toks = fixtures.tokens_of(docs)
+    seqs = tz.doc_sequences(tok.truncated_tokens(toks, vt, spark), vt, spark)
+    counts = tok.known_counts(docs, toks, vt, spark).select("doc_id", "n_known")
+    rows = seqs.join(counts, "doc_id")
+    return sm.score(rows, model, read_out="padded").select(
+        "doc_id", "score_pos", "score_neg", F.col("verdict").alias("sentiment"))
