@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from . import poisson_mix
+from .poisson_mix import op8_poisson_mix
+from .splitters import op9_splitters
 from .token_orc import op1_token_orc
 from .wu_manber import op5_wu_manber
 
 QUERIES = {
     "op1_token_orc": op1_token_orc,
     "op5_wu_manber": op5_wu_manber,
+    "op8_poisson_mix": op8_poisson_mix,
+    "op9_splitters": op9_splitters,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_poisson_mix": poisson_mix.SQL,
+}
