@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from . import poisson_mix
+from . import poisson_mix, tool_calls
 from .poisson_mix import op8_poisson_mix
 from .splitters import op9_splitters
 from .token_orc import op1_token_orc
+from .tool_calls import op4_tool_calls
 from .wu_manber import op5_wu_manber
 
 QUERIES = {
     "op1_token_orc": op1_token_orc,
+    "op4_tool_calls": op4_tool_calls,
     "op5_wu_manber": op5_wu_manber,
     "op8_poisson_mix": op8_poisson_mix,
     "op9_splitters": op9_splitters,
 }
 
 SQL: dict[str, str] = {
+    "op4_tool_calls": tool_calls.SQL,
     "op8_poisson_mix": poisson_mix.SQL,
 }
