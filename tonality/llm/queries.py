@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import poisson_mix, tool_calls
+from . import poisson_mix, tool_calls, voronoi_knn
 from .poisson_mix import op8_poisson_mix
 from .splitters import op9_splitters
 from .token_orc import op1_token_orc
 from .tool_calls import op4_tool_calls
+from .voronoi_knn import op3_voronoi_knn
 from .wu_manber import op5_wu_manber
 
 QUERIES = {
     "op1_token_orc": op1_token_orc,
+    "op3_voronoi_knn": op3_voronoi_knn,
     "op4_tool_calls": op4_tool_calls,
     "op5_wu_manber": op5_wu_manber,
     "op8_poisson_mix": op8_poisson_mix,
@@ -18,6 +20,7 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op3_voronoi_knn": voronoi_knn.SQL,
     "op4_tool_calls": tool_calls.SQL,
     "op8_poisson_mix": poisson_mix.SQL,
 }
