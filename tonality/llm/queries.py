@@ -7,11 +7,13 @@ from .poisson_mix import op8_poisson_mix
 from .splitters import op9_splitters
 from .token_orc import op1_token_orc
 from .tool_calls import op4_tool_calls
+from .toxicity import op2_toxicity
 from .voronoi_knn import op3_voronoi_knn
 from .wu_manber import op5_wu_manber
 
 QUERIES = {
     "op1_token_orc": op1_token_orc,
+    "op2_toxicity": op2_toxicity,
     "op3_voronoi_knn": op3_voronoi_knn,
     "op4_tool_calls": op4_tool_calls,
     "op5_wu_manber": op5_wu_manber,
