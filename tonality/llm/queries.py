@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import poisson_mix, tool_calls, voronoi_knn
+from .jaccard_join import op6_jaccard_join
 from .poisson_mix import op8_poisson_mix
 from .splitters import op9_splitters
 from .token_orc import op1_token_orc
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_voronoi_knn": op3_voronoi_knn,
     "op4_tool_calls": op4_tool_calls,
     "op5_wu_manber": op5_wu_manber,
+    "op6_jaccard_join": op6_jaccard_join,
     "op8_poisson_mix": op8_poisson_mix,
     "op9_splitters": op9_splitters,
 }
