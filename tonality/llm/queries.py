@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import poisson_mix, tool_calls, voronoi_knn
 from .jaccard_join import op6_jaccard_join
+from .maxent_lm import op7_maxent_lm
 from .poisson_mix import op8_poisson_mix
 from .splitters import op9_splitters
 from .token_orc import op1_token_orc
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_tool_calls": op4_tool_calls,
     "op5_wu_manber": op5_wu_manber,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_maxent_lm": op7_maxent_lm,
     "op8_poisson_mix": op8_poisson_mix,
     "op9_splitters": op9_splitters,
 }
