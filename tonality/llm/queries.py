@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import poisson_mix, tool_calls, voronoi_knn
+from .fuzzy_lines import op10_fuzzy_lines
 from .jaccard_join import op6_jaccard_join
 from .maxent_lm import op7_maxent_lm
 from .poisson_mix import op8_poisson_mix
@@ -23,6 +24,7 @@ QUERIES = {
     "op7_maxent_lm": op7_maxent_lm,
     "op8_poisson_mix": op8_poisson_mix,
     "op9_splitters": op9_splitters,
+    "op10_fuzzy_lines": op10_fuzzy_lines,
 }
 
 SQL: dict[str, str] = {
