@@ -142,13 +142,43 @@ def test_tar_with_directory_entry_and_parent_member(spark):
 
 
 def test_reference_corpus_layout(spark):
-    root = local_path(fresh_path(spark, "corpus-edge"))
-    for split, cls, name, text in (("train", "pos", "0_9.txt", "great"), ("test", "neg", "12_1.txt", "awful\n")):
-        os.makedirs(f"{root}/{split}/{cls}", exist_ok=True)
-        with open(f"{root}/{split}/{cls}/{name}", "w") as fh:
-            fh.write(text)
-    got = {r.doc_id: (r.split, r.sentiment, r.text) for r in scan_corpus(spark, root, strip_newline=False).collect()}
-    assert got == {0: ("train", "positive", "great"), 12: ("test", "negative", "awful\n")}
+    """File names repeat in all four folders, and the root's own path holds folder names."""
+    root = local_path(fresh_path(spark, "corpus-edge")) + "/train/x/pos/root"
+    want = set()
+    for split in ("train", "test"):
+        for cls, name in (("pos", "positive"), ("neg", "negative")):
+            os.makedirs(f"{root}/{split}/{cls}", exist_ok=True)
+            for k in ("0_9.txt", "1_2.txt", "plain.txt"):
+                with open(f"{root}/{split}/{cls}/{k}", "w") as fh:
+                    fh.write(f"{split} {cls} {k}\n")
+                want.add((split, name, f"{split} {cls} {k}\n"))
+    got = scan_corpus(spark, root, strip_newline=False).collect()
+    assert len({r.doc_id for r in got}) == len(got) == 12
+    assert {(r.split, r.sentiment, r.text) for r in got} == want
+
+
+def test_messages_without_ids_are_scored_alone(spark, vocab):
+    vt = vocab([("good", [1.0]), ("bad", [-1.0])])
+    model = CentroidModel([1.0], 0.0)
+    df = spark.createDataFrame([("", "good good"), ("", "bad bad bad"), ("", "good good"), (None, "bad"), ("x", None)],
+                               "doc_id string, text string")
+    got = sorted((r.text or "", r.n_known, r.sentiment, r.status) for r in
+                 score_texts(df, vt, model, spark, unique_ids=False).collect())
+    assert got == [("", 0, None, INVALID_INPUT), ("bad", 1, "Negative", "OK"), ("bad bad bad", 3, "Negative", "OK"),
+                   ("good good", 2, "Positive", "OK"), ("good good", 2, "Positive", "OK")]
+
+
+def test_verdict_and_loss_are_taken_before_rounding(spark):
+    import math
+
+    from tonality.operators.evaluate import cross_entropy
+
+    df = spark.createDataFrame([([-1e-7], 1, "a"), ([20.0], 1, "b")], "pooled array<double>, label int, split string")
+    rows = CentroidModel([1.0], 0.0).transform(df)
+    first = rows.where("split = 'a'").first()
+    assert (first.score_pos, first.score_neg, first.verdict) == (0.5, 0.5, "Negative")
+    loss = {r.split: r.loss for r in cross_entropy(rows).collect()}
+    assert math.isclose(loss["b"], 20.0, abs_tol=1e-6)
 
 
 def test_half_written_table_is_rewritten(spark):

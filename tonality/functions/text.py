@@ -53,10 +53,13 @@ def fixed6(x: Column) -> Column:
     return F.format_string("%.6f", F.round(x, 6))
 
 
-def verdict_text(score_pos: Column, score_neg: Column) -> Column:
-    """``Sentiment: X [p(positive)=a p(negative)=b]``, or the invalid-input message."""
+def verdict_text(score_pos: Column, score_neg: Column, result: Column | None = None) -> Column:
+    """``Sentiment: X [p(positive)=a p(negative)=b]``, or the invalid-input message.
+
+    ``result``: the verdict, where the scores given here are already rounded."""
+    result = verdict(score_pos, score_neg) if result is None else result
     return F.when(score_pos.isNull() | score_neg.isNull(), F.lit(INVALID_INPUT)).otherwise(
-        F.concat(F.lit("Sentiment: "), verdict(score_pos, score_neg),
+        F.concat(F.lit("Sentiment: "), result,
                  F.lit(" [p(positive)="), fixed6(score_pos),
                  F.lit(" p(negative)="), fixed6(score_neg), F.lit("]")))
 

@@ -50,7 +50,7 @@ def class_sizes(rv: DataFrame) -> DataFrame:
 
 def interleave(rv: DataFrame) -> DataFrame:
     """Adds ``rn`` (rank in split x class by doc_id, from 0) and ``position``."""
-    ranked = ordinal_within(rv, ["split", "label"], [F.col("doc_id")], out="rn")
+    ranked = ordinal_within(rv, ["split", "label"], ["doc_id"], out="rn")
     # One row per split: bounded by construction.
     sizes = tiny(class_sizes(rv).select("split", "m"))
     pos = F.when(F.col("rn") < F.col("m"), 2 * F.col("rn") + F.col("label")).otherwise(

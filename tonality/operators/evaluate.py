@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from ..functions.text import LABEL_NAMES
 from ..plans.broadcast import tiny
 
-EPS = 1e-12
-
-
 def _spine(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(a, p) for a in LABEL_NAMES for p in LABEL_NAMES],
                                  "actual string, predicted string")
@@ -85,9 +82,12 @@ def classification_metrics(cm: DataFrame) -> DataFrame:
 
 
 def cross_entropy(scored: DataFrame, group: str = "split") -> DataFrame:
-    """(group, n, loss): mean of -ln p(true class) over scored rows."""
-    p_true = F.when(F.col("label") == 0, F.col("score_pos")).otherwise(F.col("score_neg"))
-    return (scored.where(F.col("score_pos").isNotNull())
+    """(group, n, loss): mean of -ln p(true class) over scored rows.
+
+    Taken from the logit z of the positive class as ln(1 + exp(-+z)), which stays exact
+    where the probability itself would be rounded to 0 or 1."""
+    wrong = F.when(F.col("label") == 0, -F.col("z")).otherwise(F.col("z"))
+    loss = F.greatest(wrong, F.lit(0.0)) + F.log1p(F.exp(-F.abs(F.col("z"))))
+    return (scored.where(F.col("z").isNotNull())
             .groupBy(group)
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.round(F.avg(-F.log(F.greatest(p_true, F.lit(EPS)))), 6).alias("loss")))
+            .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(loss), 6).alias("loss")))

@@ -48,13 +48,14 @@ class CentroidModel:
         return dot(self.weights, pooled) + F.lit(float(self.bias))
 
     def transform(self, df: DataFrame, pooled_col: str = "pooled", digits: int = 6) -> DataFrame:
-        """Adds z, score_pos, score_neg (rounded to ``digits``) and verdict."""
+        """Adds z, the verdict (from the unrounded pair), and score_pos, score_neg as
+        printed values rounded to ``digits``."""
         z = self.logit(F.col(pooled_col))
         p, q = softmax_pair(F.col("z"))
         return (df.withColumn("z", z)
+                .withColumn("verdict", verdict(p, q))
                 .withColumn("score_pos", F.round(p, digits))
-                .withColumn("score_neg", F.round(q, digits))
-                .withColumn("verdict", verdict(F.col("score_pos"), F.col("score_neg"))))
+                .withColumn("score_neg", F.round(q, digits)))
 
     # -- persistence (S11/S12): one-row parquet of named parameters
     def save(self, spark: SparkSession, path: str) -> None:
@@ -126,19 +127,28 @@ def stored_centroid(spark: SparkSession, sf_dir: str, vt: VectorTable) -> Centro
 _STORED: dict[str, CentroidModel] = {}
 
 
-def score_pooled(pooled: DataFrame, model: CentroidModel) -> DataFrame:
-    return model.transform(pooled)
-
-
 def score_texts(df: DataFrame, vt: VectorTable, model: CentroidModel, spark: SparkSession,
                 id_col: str = "doc_id", text_col: str = "text",
-                max_len: int | None = MAX_LENGTH) -> DataFrame:
+                max_len: int | None = MAX_LENGTH, unique_ids: bool = True) -> DataFrame:
     """Score every row of ``df`` (M5).
 
     Output: the input columns plus n_known, score_pos, score_neg, sentiment, status,
     output.  A null text or a text with no known word gets the invalid-input status
     and null scores instead of an error (F6).
+
+    ``unique_ids=False`` makes no use of ``id_col``: each distinct text is scored once and
+    its rows, whatever their ids, get that score.
     """
+    if not unique_ids:
+        key = "_text_key"
+        keyed = df.withColumn(key, F.md5(F.col(text_col).cast("binary")))
+        once = keyed.where(F.col(key).isNotNull()).select(key, text_col).dropDuplicates([key])
+        scored = score_texts(once, vt, model, spark, key, text_col, max_len)
+        new = [c for c in scored.columns if c not in (key, text_col)]
+        out = keyed.join(scored.select(key, *new), key, "left").drop(key)
+        return (out.withColumn("status", F.coalesce("status", F.lit(INVALID_INPUT)))
+                .withColumn("n_known", F.coalesce("n_known", F.lit(0)).cast("bigint"))
+                .withColumn("output", F.coalesce("output", echo_output(F.col(text_col), F.lit(INVALID_INPUT)))))
     # Rows with a key go through one plan whose text side and token side share the
     # same filtered exchange (so it is computed once); rows without a key cannot be
     # joined and are appended as invalid input.
@@ -155,4 +165,5 @@ def score_texts(df: DataFrame, vt: VectorTable, model: CentroidModel, spark: Spa
     return (out.withColumn("status", F.when(invalid, F.lit(INVALID_INPUT)).otherwise(F.lit(STATUS_OK)))
             .withColumn("n_known", F.coalesce("n_known", F.lit(0)).cast("bigint"))
             .withColumn("output", echo_output(F.col(text_col),
-                                              verdict_text(F.col("score_pos"), F.col("score_neg")))))
+                                              verdict_text(F.col("score_pos"), F.col("score_neg"),
+                                                           F.col("sentiment")))))

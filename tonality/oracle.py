@@ -71,10 +71,10 @@ SCORED = """lp AS (SELECT r.doc_id, r.split, r.sentiment, r.label, coalesce(dn.n
        FROM reviews r LEFT JOIN doc_n dn ON r.doc_id = dn.doc_id),
 zs AS (SELECT pl.doc_id, sum(pl.m * w.w) + (SELECT b FROM bias) AS z
        FROM pooled_long pl JOIN wts w ON pl.i = w.i GROUP BY pl.doc_id),
-scored0 AS (SELECT lp.*, round(1 / (1 + exp(-z)), 6) AS score_pos, round(1 / (1 + exp(z)), 6) AS score_neg
+scored0 AS (SELECT lp.*, zs.z, round(1 / (1 + exp(-z)), 6) AS score_pos, round(1 / (1 + exp(z)), 6) AS score_neg
             FROM lp LEFT JOIN zs ON lp.doc_id = zs.doc_id),
-scored AS (SELECT *, CASE WHEN score_pos IS NULL OR score_neg IS NULL THEN NULL
-                          WHEN score_pos >= score_neg THEN 'Positive' ELSE 'Negative' END AS verdict
+scored AS (SELECT *, CASE WHEN z IS NULL THEN NULL
+                          WHEN 1 / (1 + exp(-z)) >= 1 / (1 + exp(z)) THEN 'Positive' ELSE 'Negative' END AS verdict
            FROM scored0)"""
 
 
@@ -168,8 +168,8 @@ FROM allrows"""
 
 SQL["cross_entropy"] = with_(*MODEL) + """
 SELECT split, count(*) AS n,
-       round(avg(-ln(greatest(CASE WHEN label = 0 THEN score_pos ELSE score_neg END, 1e-12))), 6) AS loss
-FROM scored WHERE score_pos IS NOT NULL GROUP BY split"""
+       round(avg(greatest(CASE WHEN label = 0 THEN -z ELSE z END, 0) + ln(1 + exp(-abs(z)))), 6) AS loss
+FROM scored WHERE z IS NOT NULL GROUP BY split"""
 
 # ---------------------------------------------------------------- dataset assembly
 
@@ -310,11 +310,11 @@ MSGS = """msgs AS (SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHA
 def score_select(src: str, key: str, text: str, n_tab: str, z_tab: str, extra: str = "") -> str:
     """Final projection of the shared scoring path (status, verdict, echoed output)."""
     return f"""
-, sc0 AS (SELECT s.{key}, s.{text}, coalesce(nt.n, 0) AS n_known, nt.n AS n_raw,
+, sc0 AS (SELECT s.{key}, s.{text}, coalesce(nt.n, 0) AS n_known, nt.n AS n_raw, zz.z,
                 round(1 / (1 + exp(-zz.z)), 6) AS score_pos, round(1 / (1 + exp(zz.z)), 6) AS score_neg
          FROM {src} s LEFT JOIN {n_tab} nt ON s.{key} = nt.{key} LEFT JOIN {z_tab} zz ON s.{key} = zz.{key}),
-sc AS (SELECT *, CASE WHEN score_pos IS NULL OR score_neg IS NULL THEN NULL
-                      WHEN score_pos >= score_neg THEN 'Positive' ELSE 'Negative' END AS sentiment,
+sc AS (SELECT *, CASE WHEN z IS NULL THEN NULL
+                      WHEN 1 / (1 + exp(-z)) >= 1 / (1 + exp(z)) THEN 'Positive' ELSE 'Negative' END AS sentiment,
               CASE WHEN {text} IS NULL OR n_raw IS NULL THEN {INVALID} ELSE 'OK' END AS status
        FROM sc0),
 sc2 AS (SELECT *, CASE WHEN score_pos IS NULL OR score_neg IS NULL THEN {INVALID}

@@ -409,7 +409,7 @@ def q_verdict_text(spark, sf):
     rv = fixtures.reviews(spark, sf).select("doc_id", "text")
     s = score_texts(rv, vt, model, spark)
     return s.select("doc_id", "sentiment",
-                    verdict_text(F.col("score_pos"), F.col("score_neg")).alias("verdict_line"),
+                    verdict_text(F.col("score_pos"), F.col("score_neg"), F.col("sentiment")).alias("verdict_line"),
                     "output")
 
 
@@ -610,6 +610,8 @@ def q_score_sequences(spark, sf):
     vt = vector_table(spark, sf)
     model = stored_sequence_model(spark, sf, vt)
     seqs = tz.doc_sequences(tok.truncated_tokens(fixtures.tokens(spark, sf), vt, spark), vt, spark)
+    # Every document comes back; one without a known word has null scores.
+    seqs = fixtures.documents(spark, sf).select("doc_id").join(seqs, "doc_id", "left")
     return sm.score(seqs, model).select("doc_id", "score_pos", "score_neg",
                                         F.col("verdict").alias("sentiment"))
 
@@ -635,6 +637,6 @@ def q_score_sequences_padded(spark, sf):
     toks = fixtures.tokens_of(docs)
     seqs = tz.doc_sequences(tok.truncated_tokens(toks, vt, spark), vt, spark)
     counts = tok.known_counts(docs, toks, vt, spark).select("doc_id", "n_known")
-    rows = seqs.join(counts, "doc_id")
+    rows = counts.join(seqs, "doc_id", "left")
     return sm.score(rows, model, read_out="padded").select(
         "doc_id", "score_pos", "score_neg", F.col("verdict").alias("sentiment"))

@@ -2,8 +2,10 @@
 
 Layout read: ``{root}/{train|test}/{pos|neg}/<file>`` (also accepted with
 Hive-style folder names ``split=train/sentiment=pos/...``, which is what the
-round-trip writer produces).  ``wholetext`` makes each file one row; split, class
-and id come from the path through ``_metadata.file_path``.
+round-trip writer produces).  ``wholetext`` makes each file one row; split and class
+are the last two folders above the file (whatever the root's own path holds).  File names
+repeat from folder to folder, so a document's id is a hash of its path unless a
+``doc_id=<n>`` folder names it.
 """
 
 from __future__ import annotations
@@ -14,9 +16,8 @@ from pyspark.sql import functions as F
 from ..functions.text import LABEL_NAMES
 
 # Fixed path patterns.
-SPLIT_RX = r"/(?:split=)?(train|test)/"
-CLASS_RX = r"/(?:sentiment=)?(pos|neg)/"
-ID_RX = r"(?:doc_id=(\d+)/[^/]*$)|(?:/(\d+)[^/]*$)"
+TREE_RX = r"/(?:split=)?(train|test)/(?:sentiment=)?(pos|neg)/(?:doc_id=-?\d+/)?[^/]*$"
+ID_RX = r"/doc_id=(-?\d+)/[^/]*$"
 
 
 def strip_final_newline(value: Column) -> Column:
@@ -25,9 +26,8 @@ def strip_final_newline(value: Column) -> Column:
 
 
 def _doc_id_from_path(path: Column) -> Column:
-    a = F.regexp_extract(path, ID_RX, 1)
-    b = F.regexp_extract(path, ID_RX, 2)
-    return F.when(a != "", a).otherwise(F.when(b != "", b)).cast("bigint")
+    named = F.regexp_extract(path, ID_RX, 1)
+    return F.when(named != "", named.cast("bigint")).otherwise(F.xxhash64(path))
 
 
 def read_text_files(spark: SparkSession, root: str, strip_newline: bool = True) -> DataFrame:
@@ -41,10 +41,10 @@ def read_text_files(spark: SparkSession, root: str, strip_newline: bool = True)
 def scan_corpus(spark: SparkSession, root: str, strip_newline: bool = True) -> DataFrame:
     """(doc_id, text, split, sentiment) from a labelled corpus tree."""
     files = read_text_files(spark, root, strip_newline)
-    cls = F.regexp_extract("path", CLASS_RX, 1)
+    cls = F.regexp_extract("path", TREE_RX, 2)
     return (files.where(cls != "")
             .select(_doc_id_from_path(F.col("path")).alias("doc_id"), "text",
-                    F.regexp_extract("path", SPLIT_RX, 1).alias("split"),
+                    F.regexp_extract("path", TREE_RX, 1).alias("split"),
                     F.when(cls == "pos", F.lit(LABEL_NAMES[0])).otherwise(F.lit(LABEL_NAMES[1]))
                     .alias("sentiment")))
 

@@ -117,7 +117,7 @@ def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_vectors = row_count(spark, sf_dir, "embeddings")
     # Only words that can rank below n_vectors are sorted (histogram threshold).
     candidates = top_by_count_candidates(word_counts(spark, sf_dir), n_vectors)
-    ranked = global_ordinal(candidates, [F.col("n").desc(), F.col("word").asc()], out="rank")
+    ranked = global_ordinal(candidates, ["n", "word"], out="rank", descending=["n"])
     emb = read_table(spark, sf_dir, "embeddings").select(
         F.col("vec_id"), F.col("embedding").alias("vector"))
     ranked = ranked.where(F.col("rank") < F.lit(n_vectors))

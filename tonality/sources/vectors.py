@@ -127,8 +127,10 @@ def stage_vectors(spark: SparkSession, df: DataFrame, path: str) -> VectorTable:
     if "vec_id" not in df.columns:
         from ..plans.ranking import global_ordinal
 
-        df = global_ordinal(df.withColumn("_file_pos", F.monotonically_increasing_id()),
-                            [F.col("_file_pos")], out="vec_id").drop("_file_pos")
+        # The file position is written down once, then numbered: it is data from there on.
+        placed = materialize_once(
+            spark, lambda: df.withColumn("_file_pos", F.monotonically_increasing_id()), path + "-placed")
+        df = global_ordinal(placed, ["_file_pos"], out="vec_id").drop("_file_pos")
     materialize_once(spark, lambda: df.select("word", "vec_id", "vector"), path)
     return measure(spark, path)
 

@@ -45,7 +45,8 @@ def score_stream(stream: DataFrame, vt: VectorTable, model: CentroidModel, sink:
     spark = stream.sparkSession
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        scored = score_texts(batch.select(id_col, text_col), vt, model, spark, id_col, text_col)
+        scored = score_texts(batch.select(id_col, text_col), vt, model, spark, id_col, text_col,
+                             unique_ids=False)
         scored.select(*RESULT_COLUMNS).write.mode("overwrite").parquet(f"{sink}/batch={epoch_id}")
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
