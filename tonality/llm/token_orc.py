@@ -20,6 +20,7 @@ minimum and maximum and by the Bloom filter.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import zlib
@@ -36,13 +37,14 @@ from .common import prepare
 STRIPE_BYTES = 16 << 20
 ROW_INDEX_STRIDE = 1000
 #: Pieces remembered by one worker, and their characters.
-MEMO_PIECES = 200_000
+MEMO_PIECES = 400_000
 MEMO_CHARS = 8 << 20
 
 DATA_SCHEMA = "doc_id bigint, n_tokens bigint, file_offset bigint, tokens array<int>"
 
 _GAP = re.compile(r"(?<=\S) (?=\S)")
-_WIDE_GAP = re.compile(r"\s\s|\A\s|\s\Z")
+#: Characters per call of the library.
+CALL_CHARS = 2000
 
 
 class PieceEncoder:
@@ -52,6 +54,10 @@ class PieceEncoder:
     non-space characters always begins a new word, so a text may be cut there and the
     ids of the pieces joined: the result equals encoding the whole text.  Natural text
     repeats its words, so most pieces come from a (bounded) memo.
+
+    New pieces go to the library in runs that are texts themselves: " a b c".  As each
+    piece starts with the run's only kind of space, the ids whose token starts with a
+    space part the run again.
     """
 
     def __init__(self, path: str):
@@ -59,58 +65,88 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        space = "\u0120"  # how byte-level vocabularies write the byte 0x20
+        self.opens[[i for t, i in vocabulary.items() if t.startswith(space)]] = True
         self.clear()
 
     def clear(self) -> None:
+        #: Pieces after a space by their text; pieces at the start of a text in ``heads``.
         self.memo: dict[str, int] = {}
-        self.pending: list[str] = []
+        self.heads: dict[str, int] = {}
         self.chars = 0
         self.flat = np.empty(0, np.int32)
         self.starts = np.empty(0, np.int64)
         self.lens = np.empty(0, np.int64)
 
-    def _index(self, piece: str) -> int:
-        at = self.memo.get(piece)
-        if at is None:
-            at = self.memo[piece] = len(self.memo)
-            self.pending.append(piece)
-            self.chars += len(piece)
-        return at
-
-    def _encode_pending(self) -> None:
-        got = self.tokenizer.encode_batch_fast(self.pending, add_special_tokens=False)
-        ids = [e.ids for e in got]
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        starts = len(self.flat) + np.cumsum(lens) - lens
-        flat = np.fromiter((i for one in ids for i in one), np.int32, int(lens.sum()))
+    def _call(self, strings: list[str]) -> list[np.ndarray]:
+        got = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
+        return [np.asarray(e.ids, np.int32) for e in got]
+
+    def _keep(self, flat: np.ndarray, lens: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lens) - lens])
         self.flat = np.concatenate([self.flat, flat])
-        self.starts = np.concatenate([self.starts, starts])
         self.lens = np.concatenate([self.lens, lens])
-        self.pending = []
+
+    def _learn(self, fresh: list[str], head: bool) -> None:
+        """Encode pieces not yet known, in the order of their numbers."""
+        into = self.heads if head else self.memo
+        plain = [] if head else [p for p in fresh if p and " " not in p and p == p.strip()]
+        rest = fresh if len(plain) < len(fresh) else []
+        if plain and rest:
+            rest = list(set(fresh).difference(plain))
+        before = len(self.memo) + len(self.heads)
+        into.update(zip(plain + rest, range(before, before + len(fresh)), strict=True))
+        self.chars += sum(map(len, fresh))
+        if plain:
+            runs, size = [[]], 0
+            for p in plain:
+                if size > CALL_CHARS:
+                    runs.append([])
+                    size = 0
+                runs[-1].append(p)
+                size += len(p) + 1
+            flat = np.concatenate(self._call([" " + " ".join(r) for r in runs]))
+            first = np.flatnonzero(self.opens[flat])
+            if len(first) != len(plain):  # a tokenizer of another make: piece by piece
+                ids = self._call([" " + p for p in plain])
+                flat, lens = np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids))
+            else:
+                lens = np.diff(first, append=len(flat))
+            self._keep(flat, lens)
+        if rest:
+            ids = self._call(rest if head else [" " + p for p in rest])
+            self._keep(np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)))
 
     def encode(self, texts: Sequence[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each closed by ``end_id``; and the length of each."""
-        if len(self.memo) > MEMO_PIECES or self.chars > MEMO_CHARS:
+        if len(self.memo) + len(self.heads) > MEMO_PIECES or self.chars > MEMO_CHARS:
             self.clear()
-        index, get = self._index, self.memo.get
-        at: list[int] = []
-        counts = np.empty(len(texts), np.int64)
-        for k, text in enumerate(texts):
-            before = len(at)
-            if text:
-                parts = _GAP.split(text) if _WIDE_GAP.search(text) else text.split(" ")
-                at.append(index(parts[0]))
-                rest = [" " + p for p in parts[1:]]
-                found = list(map(get, rest))
-                if None in found:
-                    found = list(map(index, rest))
-                at.extend(found)
-            counts[k] = len(at) - before
-        if self.pending:
-            self._encode_pending()
-        where = np.asarray(at, np.int64)
-        lens = self.lens[where]
+        heads, tails = [], []
+        for text in texts:
+            if not text:
+                continue
+            words = text.split()
+            # Every gap one character wide and none at the ends: any space is a cut.
+            parts = text.split(" ") if len(text) == sum(map(len, words)) + len(words) - 1 else _GAP.split(text)
+            heads.append(parts[0])
+            tails.append(parts[1:])
+        if fresh := set(heads).difference(self.heads):
+            self._learn(list(fresh), True)
+        if fresh := set(itertools.chain.from_iterable(tails)).difference(self.memo):
+            self._learn(list(fresh), False)
+        counts = np.zeros(len(texts), np.int64)
+        counts[[k for k, t in enumerate(texts) if t]] = [len(t) + 1 for t in tails]
         ends = np.cumsum(counts)
+        where = np.empty(int(counts.sum()), np.int64)
+        first = np.cumsum([0, *(len(t) + 1 for t in tails)])[:-1]
+        rest = np.ones(len(where), bool)
+        rest[first] = False
+        where[first] = [self.heads[h] for h in heads]
+        where[rest] = np.fromiter(map(self.memo.__getitem__, itertools.chain.from_iterable(tails)), np.int64,
+                                  len(where) - len(first))
+        lens = self.lens[where]
         total = np.concatenate([[0], np.cumsum(lens)])
         n = total[ends] - total[ends - counts]
         flat = self.flat[np.repeat(self.starts[where] - total[:-1], lens) + np.arange(total[-1])]
