@@ -80,20 +80,25 @@ def test_every_round_counts(spark, monkeypatch):
     assert run(spark, rows) == want
 
 
-def test_order_keeps_the_prefix_guarantee():
+def test_heads_keep_the_prefix_guarantee():
+    """Sets that are similar enough share the promised number of head shingles."""
     rng = np.random.default_rng(0)
-    often = rng.integers(0, 1 << 63, 50).astype(np.uint64)
-    order = J.Order(often, rng.integers(16, 99, 50))
-    for _ in range(300):
-        x = np.unique(np.concatenate([rng.choice(often, 20), rng.integers(0, 1 << 63, 30).astype(np.uint64)]))
-        y = x.copy()
-        rng.shuffle(y)
-        y = np.unique(np.concatenate([y[:len(y) - 3], rng.integers(0, 1 << 63, 2).astype(np.uint64)]))
-        n = len(np.intersect1d(x, y))
-        if 9 * n >= 4 * (len(x) + len(y)):
-            small, large = sorted((x, y), key=len)
-            early = order.head(small)[:J.head_length(len(small), 8, 9)]
-            assert len(np.intersect1d(early, order.head(large)))
+    draw = lambda n: rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2)
+    often, checked = draw(50), 0
+    for k in range(300):
+        n = int(rng.integers(5, 120))
+        x = np.unique(np.concatenate([rng.choice(often, n // 3), draw(n)]))
+        y = np.unique(np.concatenate([rng.permutation(x)[:len(x) - k % 9], draw(k % 5)]))
+        shared = np.zeros(1 << (J.SLOT_BITS - 3), np.uint8)
+        for h in (*np.intersect1d(x, y), *often):
+            slot = int(h) >> (64 - J.SLOT_BITS)
+            shared[slot >> 3] |= 128 >> (slot & 7)
+        order = J.Order(often, rng.integers(16, 99, 50), shared)
+        if 9 * len(np.intersect1d(x, y)) >= 4 * (len(x) + len(y)):
+            checked += 1
+            met = len(np.intersect1d(order.head(x), order.head(y)))
+            assert met >= J.least_meetings(min(len(x), len(y)))
+    assert checked > 100
 
 
 def test_odd_rows(spark):

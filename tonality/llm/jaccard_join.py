@@ -7,12 +7,15 @@ merges the short inverted lists for candidates and only probes the long ones.
 
 1. Sets.  Every text is read once for its set size and a digest of its set; equal sets are
    one item from here on, so a group of exact copies, however large, is one row.  The same
-   pass counts shingles that are frequent within a task; their summed table (bounded: a
-   shingle must reach a fixed share of the documents) is the tail of the order, so passages
-   that many documents share stand in the long lists.
-2. Short lists.  The head of each set, n - ceil(4n/5) + 1 shingles, goes to inverted lists:
-   packed (shingle, set) entries are shuffled by shingle bucket and merged there; lists
-   with one set vanish.
+   pass counts shingles twice over.  A bitmap of fixed size, built from bucket counts of all
+   tasks, tells shingles that certainly occur in one set only: they come first in the order
+   and, being in no list with another set, are never shipped.  A bounded table of shingles
+   that are frequent within tasks is the tail of the order, so passages that many documents
+   share stand in the long lists.
+2. Short lists.  The head of each set, n - ceil(4n/5) + L shingles with L = 1 + n // 25, goes
+   to inverted lists: packed (shingle, set) entries are shuffled by shingle bucket and
+   merged there.  A pair that reaches T shares at least L of its head shingles (the smaller
+   L of the two), so fewer meetings are chance and no candidate.
 3. Candidates.  Of each list first only star pairs (one pivot against the others) are
    verified, over several rounds with other pivots, because linked sets need no second
    proof; then all pairs of a list that are still in different components, so no link
@@ -37,11 +40,13 @@ from .common import ID_BROADCAST_BYTES, prepare, space_words, staged, texts
 from .components import merged
 
 SHINGLE = 5
-#: A shingle is frequent from this many documents, or this share of them.
-FREQUENT, FREQUENT_SHARE = 16, 2000
+#: A shingle is frequent from this count in its tasks; the table holds the most frequent.
+FREQUENT, FREQUENT_TABLE = 4, 1_000_000
 #: Shingles sorted at once to find a task's frequent ones; counts below LOCAL are dropped
 #: (they only place a shingle in the order).
-COUNT_CHUNK, LOCAL = 2_000_000, 4
+COUNT_CHUNK, LOCAL = 2_000_000, 2
+#: Slots of the bitmap (a power of two, one bit each), in ranges that are counted apart.
+SLOT_BITS, RANGE_BITS = 28, 20
 #: Entries per bucket of inverted lists, and the least number of buckets.
 BUCKET_ENTRIES, LEAST_BUCKETS = 500_000, 256
 #: A list longer than this (by the frequent table) is spread over several buckets.
@@ -86,26 +91,43 @@ def digest(shingles: np.ndarray) -> int | None:
     return d - (1 << 64) if d >= 1 << 63 else d
 
 
-def head_length(n: int, over: int = 4, under: int = 5) -> int:
-    """n - ceil(over n / under) + 1"""
-    return n - -(-over * n // under) + 1
+def least_meetings(n: int) -> int:
+    """How many head shingles two sets of this size or more have in common."""
+    return 1 + n // 25
 
 
-def _counts(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    flat = np.sort(np.concatenate(parts))
-    first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-    n = np.diff(first, append=len(flat))
-    return flat[first[n >= LOCAL]], n[n >= LOCAL]
+def head_length(n: int) -> int:
+    return min(n, n - -(-4 * n // 5) + least_meetings(n))
+
+
+def _slots(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
 def _read_sets(rows: DataFrame) -> DataFrame:
-    """kind 0: (doc_id, n, digest) of each row; kind 1: (digest: shingle, n: count)."""
+    """kind 0: (doc_id, n, digest) of each row; kind 1: (digest: shingle, n: count);
+    kind 2: (n: range, slots: sorted slots of the range, one for each occurrence)."""
+    names = ["kind", "doc_id", "n", "digest", "slots"]
 
-    def out(kind: int, ids: list | None, n, d) -> pa.RecordBatch:
-        size = len(n)
+    def out(kind: int, n, ids=None, d=None, slots=None) -> pa.RecordBatch:
+        none = [None] * len(n)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(size, kind, np.int32)), pa.array(ids if ids is not None else [None] * size, pa.int64()),
-             pa.array(n, pa.int64()), pa.array(d, pa.int64())], names=["kind", "doc_id", "n", "digest"])
+            [pa.array(np.full(len(n), kind, np.int32)), pa.array(ids if ids is not None else none, pa.int64()),
+             pa.array(n, pa.int64()), pa.array(d if d is not None else none, pa.int64()),
+             pa.array(slots if slots is not None else none, pa.binary())], names=names)
+
+    def counted(parts: list[np.ndarray]) -> Iterable[pa.RecordBatch]:
+        flat = np.sort(np.concatenate(parts))
+        slots = _slots(flat)
+        which = slots >> RANGE_BITS
+        first = np.flatnonzero(np.diff(which, prepend=-1))
+        inside = (slots & ((1 << RANGE_BITS) - 1)).astype("<u4")
+        # As gaps the sorted slots compress well.
+        gaps = [np.diff(p, prepend=np.uint32(0)).astype("<u4").tobytes() for p in np.split(inside, first[1:])]
+        yield out(2, which[first], slots=gaps)
+        first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+        n = np.diff(first, append=len(flat))
+        yield out(1, n[n >= LOCAL], d=flat[first[n >= LOCAL]].view(np.int64))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         seen: set[int] = set()
@@ -113,75 +135,89 @@ def _read_sets(rows: DataFrame) -> DataFrame:
         for b in it:
             sets = [shingle_set(t) for t in b.column(1).to_pylist()]
             digests = [digest(s) for s in sets]
-            yield out(0, b.column(0).to_pylist(), [len(s) for s in sets], digests)
+            yield out(0, [len(s) for s in sets], b.column(0).to_pylist(), digests)
             for d, s in zip(digests, sets, strict=True):
                 if d is not None and d not in seen:  # a copy says nothing new
                     seen.add(d)
                     held.append(s)
                     size += len(s)
             if size > COUNT_CHUNK:
-                h, n = _counts(held)
-                yield out(1, None, n, h.view(np.int64))
+                yield from counted(held)
                 held, size = [], 0
         if held:
-            h, n = _counts(held)
-            yield out(1, None, n, h.view(np.int64))
+            yield from counted(held)
 
-    return rows.mapInArrow(run, "kind int, doc_id bigint, n bigint, digest bigint")
+    return rows.mapInArrow(run, "kind int, doc_id bigint, n bigint, digest bigint, slots binary")
 
 
-class Order:
-    """The fixed order of shingles: by value, then the frequent ones by count.
+def _shared_slots(read: DataFrame) -> np.ndarray:
+    """Bitmap (packed) of the slots that more than one occurrence fell into."""
+
+    def merge(key: tuple, table: pa.Table) -> pa.Table:
+        hits = np.zeros(1 << RANGE_BITS, np.uint8)  # 0, 1, or 2 for more
+        for raw in table["slots"]:
+            at = np.cumsum(np.frombuffer(raw.as_py(), "<u4"), dtype=np.int64)
+            twice = at[1:][at[1:] == at[:-1]]
+            hits[at] = np.minimum(hits[at] + 1, 2)
+            hits[twice] = 2
+        return pa.table({"range": pa.array([key[0].as_py()], pa.int64()), "bits": [np.packbits(hits > 1).tobytes()]})
+
+    whole = np.zeros(1 << (SLOT_BITS - 3), np.uint8)
+    size = 1 << (RANGE_BITS - 3)
+    ranges = read.where("kind = 2").groupBy("n").applyInArrow(merge, "range bigint, bits binary")
+    for r in ranges.toLocalIterator():  # a fixed number of rows of a fixed size
+        whole[r.range * size:(r.range + 1) * size] = np.frombuffer(r.bits, np.uint8)
+    return whole
 
-    The lowest bit of a shingle is not looked at: the packed lists use it otherwise."""
 
-    def __init__(self, shingles: np.ndarray, counts: np.ndarray):
+class Order:
+    """The fixed order of shingles: those of one set only, then by value, then the frequent
+    ones by count."""
+
+    def __init__(self, shingles: np.ndarray, counts: np.ndarray, shared: np.ndarray):
         by = np.argsort(shingles)
-        self.shingles, self.counts = shingles[by] >> np.uint64(1), counts[by]
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[self._slot(shingles)] = True
+        self.shingles, self.counts, self.shared = shingles[by], counts[by], shared
 
-    @staticmethod
-    def _slot(h: np.ndarray) -> np.ndarray:
-        return (h >> np.uint64(44)).astype(np.int64)
+    def is_shared(self, s: np.ndarray) -> np.ndarray:
+        """False only for shingles that no second set has."""
+        slot = _slots(s)
+        return (self.shared[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 > 0
 
     def frequency(self, s: np.ndarray) -> np.ndarray:
         """Count of frequent shingles, 0 for the others."""
-        out, key = np.zeros(len(s), np.int64), s >> np.uint64(1)
-        at = np.flatnonzero(self.maybe[self._slot(s)])
-        if len(at):
-            k = np.minimum(np.searchsorted(self.shingles, key[at]), len(self.shingles) - 1)
-            out[at] = np.where(self.shingles[k] == key[at], self.counts[k], 0)
-        return out
+        if not len(self.shingles):
+            return np.zeros(len(s), np.int64)
+        k = np.minimum(np.searchsorted(self.shingles, s), len(self.shingles) - 1)
+        return np.where(self.shingles[k] == s, self.counts[k], 0)
 
     def head(self, s: np.ndarray) -> np.ndarray:
-        """The first shingles of a sorted set in this order."""
-        p, f = head_length(len(s)), self.frequency(s)
-        rare = np.flatnonzero(f == 0)
-        if len(rare) >= p:
-            return s[rare[:p]]
-        often = np.flatnonzero(f)
-        often = often[np.lexsort((s[often], f[often]))]
-        return s[np.concatenate([rare, often])[:p]]
+        """The first shingles of a sorted set in this order, without those of one set only."""
+        some = s[self.is_shared(s)]
+        left = head_length(len(s)) - (len(s) - len(some))
+        if left <= 0:
+            return some[:0]
+        f = self.frequency(some)
+        return some[np.lexsort((some, f))[:left]]
 
 
 _ENTRY = np.dtype([("shingle", "<u8"), ("item", "<i8")])
 
 
 def _short_lists(rows: DataFrame, order: Order, buckets: int) -> DataFrame:
-    """(shingle, item, early): entries of the inverted lists that hold several sets.
-
-    The lowest bit of the packed shingle says whether the entry is early enough to be
-    found by a set of at least its size (the head for 8/9 of the shingles)."""
+    """(shingle, item): entries of the inverted lists of several sets."""
     shared = rows.sparkSession.sparkContext.broadcast(order)
 
+    def turns(entry: np.ndarray) -> np.ndarray:
+        """Over how many buckets a very long list is spread."""
+        return shared.value.frequency(entry["shingle"]) // SPLIT_LIST + 1
+
     def pack(it: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        order, seen, held, size = shared.value, set(), [], 0
+        seen, held, size = set(), [], 0
 
         def flush() -> pa.RecordBatch:
             entry = np.concatenate(held)
-            shingle = entry["shingle"] >> np.uint64(1)
-            bucket = ((_mixed(shingle + entry_salt(entry)) >> np.uint64(11)) % np.uint64(buckets)).astype(np.int32)
+            salt = _mixed(entry["item"].view(np.uint64)) % turns(entry).astype(np.uint64)
+            bucket = (_mixed(entry["shingle"] + salt) % np.uint64(buckets)).astype(np.int32)
             by = np.argsort(bucket, kind="stable")
             first = np.flatnonzero(np.diff(bucket[by], prepend=-1))
             parts = np.split(entry[by], first[1:])
@@ -189,11 +225,6 @@ def _short_lists(rows: DataFrame, order: Order, buckets: int) -> DataFrame:
                 [pa.array(bucket[by][first]), pa.array([p.tobytes() for p in parts], pa.binary())],
                 names=["bucket", "entries"])
 
-        def entry_salt(entry: np.ndarray) -> np.ndarray:
-            # Sets of a very long list take turns over several buckets.
-            turns = order.frequency(entry["shingle"]) // SPLIT_LIST + 1
-            return (_mixed(entry["item"].view(np.uint64)) % turns.astype(np.uint64)) << np.uint64(1)
-
         for b in it:
             for t in b.column(1).to_pylist():
                 s = shingle_set(t)
@@ -201,38 +232,29 @@ def _short_lists(rows: DataFrame, order: Order, buckets: int) -> DataFrame:
                 if d is None or d in seen:
                     continue
                 seen.add(d)
-                head = order.head(s)
+                head = shared.value.head(s)
                 e = np.empty(len(head), _ENTRY)
-                early = np.arange(len(head)) < head_length(len(s), 8, 9)
-                e["shingle"] = (head & ~np.uint64(1)) | early
-                e["item"] = d
+                e["shingle"], e["item"] = head, d
                 held.append(e)
                 size += len(e)
             if size > BUCKET_ENTRIES:
                 yield flush()
                 held, size = [], 0
-        if held:
+        if size:
             yield flush()
 
     def merge(key: tuple, table: pa.Table) -> pa.Table:
         """Merge the runs of a bucket into lists; keep lists of several sets."""
         e = np.concatenate([np.frombuffer(x, _ENTRY) for x in table["entries"].to_pylist()])
-        shingle = e["shingle"] >> np.uint64(1)
-        by = np.lexsort((e["item"], shingle))
-        e, shingle = e[by], shingle[by]
-        new = np.concatenate([[True], (shingle[1:] != shingle[:-1]) | (e["item"][1:] != e["item"][:-1])])
-        e, shingle = e[new], shingle[new]
-        first = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
-        size = np.repeat(np.diff(first, append=len(e)), np.diff(first, append=len(e)))
-        some = np.repeat(np.maximum.reduceat(e["shingle"] & np.uint64(1), first), np.diff(first, append=len(e)))
-        split = shared.value.frequency(e["shingle"]) >= SPLIT_LIST
-        keep = ((size > 1) & (some > 0)) | split
-        e = e[keep]
-        return pa.table({"shingle": (e["shingle"] >> np.uint64(1)).view(np.int64), "item": e["item"],
-                         "early": (e["shingle"] & np.uint64(1)).astype(bool)})
+        e = e[np.lexsort((e["item"], e["shingle"]))]
+        e = e[np.concatenate([[True], e[1:] != e[:-1]])]
+        first = np.flatnonzero(np.concatenate([[True], e["shingle"][1:] != e["shingle"][:-1]]))
+        n = np.diff(first, append=len(e))
+        e = e[(np.repeat(n, n) > 1) | (turns(e) > 1)]
+        return pa.table({"shingle": e["shingle"].view(np.int64), "item": e["item"]})
 
     packed = rows.mapInArrow(pack, "bucket int, entries binary")
-    return packed.groupBy("bucket").applyInArrow(merge, "shingle bigint, item bigint, early boolean")
+    return packed.groupBy("bucket").applyInArrow(merge, "shingle bigint, item bigint")
 
 
 def _verified(docs: DataFrame, items: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -301,14 +323,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = texts(docs, id_col, text_col)
     read = staged(_read_sets(rows), "shingle-sets", "kind")
     info = read.where("kind = 0").select("doc_id", "n", "digest")
-    facts = info.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("n") / 5 + 1).alias("heads")).first()
-    least = max(FREQUENT, facts["rows"] // FREQUENT_SHARE)
-    often = (read.where("kind = 1").groupBy("digest").agg(F.sum("n").alias("n"))
-             .where(F.col("n") >= least).toArrow())
-    order = Order(often["digest"].to_numpy().astype(np.int64).view(np.uint64), often["n"].to_numpy().astype(np.int64))
+    heads = info.agg(F.sum(F.col("n") / 4 + 1)).first()[0] or 0
+    often = staged(read.where("kind = 1").groupBy("digest").agg(F.sum("n").alias("n"))
+                   .where(F.col("n") >= FREQUENT), "frequent-shingles")
+    # The smallest count that keeps the table bounded, from the histogram of counts.
+    upto, least = 0, FREQUENT
+    for r in often.groupBy("n").agg(F.count(F.lit(1)).alias("v")).orderBy(F.col("n").desc()).toLocalIterator():
+        upto += r.v
+        if upto > FREQUENT_TABLE:
+            least = r.n + 1
+            break
+    often = often.where(F.col("n") >= least).toArrow()
+    order = Order(often["digest"].to_numpy().astype(np.int64).view(np.uint64), often["n"].to_numpy().astype(np.int64),
+                  _shared_slots(read))
     items = staged(info.where("digest IS NOT NULL").groupBy(F.col("digest").alias("item")).agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n")).where("doc_id IS NOT NULL"), "items")
-    buckets = max(LEAST_BUCKETS, int((facts["heads"] or 0) // BUCKET_ENTRIES) + 1)
+    buckets = max(LEAST_BUCKETS, int(heads // BUCKET_ENTRIES) + 1)
     lists = staged(_short_lists(rows, order, buckets).join(
         items.select("item", "n"), "item"), "short-lists")
 
@@ -329,20 +359,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             band = F.floor(F.log("n") / F.lit(float(np.log(1.25))))
             placed = placed.withColumn("band", band)
             pivot = placed.groupBy("shingle", "band").agg(F.min(F.struct(
-                F.xxhash64("item", F.lit(turn)).alias("h"), "item", "root")).alias("p")).select(
-                "shingle", "band", F.col("p.item").alias("a"), F.col("p.root").alias("p_root"))
+                F.xxhash64("item", F.lit(turn)).alias("h"), "item", "root", "n")).alias("p")).select(
+                "shingle", "band", F.col("p.item").alias("a"), F.col("p.root").alias("p_root"), F.col("p.n").alias("a_n"))
             # A set also meets the pivot of the band below, whose sizes may be near its own.
             meets = pivot.unionByName(pivot.withColumn("band", F.col("band") + 1))
-            pairs = (placed.join(meets, ["shingle", "band"]).where("root <> p_root")
-                     .select("a", F.col("item").alias("b")).distinct())
+            met = (placed.join(meets, ["shingle", "band"]).where("root <> p_root")
+                   .select("a", "a_n", F.col("item").alias("b"), F.col("n").alias("b_n")))
+            share = 0.5  # a list may have had another pivot; what this misses comes last
         else:
-            left, right = [placed.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("item", "root", "n", "early")])
-                           for s in "ab"]
-            # The smaller set of a pair must meet the other within its early head.
-            pairs = left.join(right, "shingle").where(
-                "root_a <> root_b AND (n_a < n_b OR (n_a = n_b AND item_a < item_b)) AND 5 * n_a >= 4 * n_b "
-                "AND early_a"
-            ).select(F.col("item_a").alias("a"), F.col("item_b").alias("b")).distinct()
+            left, right = [placed.select("shingle", F.col("item").alias(x), F.col("root").alias(f"{x}_root"),
+                                         F.col("n").alias(f"{x}_n")) for x in "ab"]
+            met = left.join(right, "shingle").where(
+                "a_root <> b_root AND (a_n < b_n OR (a_n = b_n AND a < b)) AND 5 * a_n >= 4 * b_n")
+            share = 1.0
+        needed = 1 + F.floor(F.least("a_n", "b_n") / 25)
+        pairs = (met.groupBy("a", "b", "a_n", "b_n").agg(F.count(F.lit(1)).alias("meetings"))
+                 .where(F.col("meetings") >= needed * F.lit(share)).select("a", "b"))
         links = _verified(rows, items, pairs)
         if links.limit(1).count():
             labels = merged(labels, links)
