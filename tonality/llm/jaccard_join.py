@@ -54,6 +54,8 @@ SPLIT_LIST = 100_000
 #: Shingles compared with one pivot in one task.
 GROUP_SHINGLES = 20_000
 STAR_ROUNDS = 3
+#: How often sets that cannot reach any partner are dropped from the lists.
+PRUNE_ROUNDS = 2
 
 _C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                0xA0761D6478BD642F], np.uint64)
@@ -310,6 +312,18 @@ def _verified(docs: DataFrame, items: DataFrame, pairs: DataFrame) -> DataFrame:
     return staged(linked, "links")
 
 
+def _reachable(lists: DataFrame) -> DataFrame:
+    """Lists without the sets that stand in too few of them to reach any partner's L, and
+    without lists that this leaves with one set.  Adds ``weight``: lists a set stands in.
+
+    A partner has at least 4/5 of a set's size, so it asks for 1 + floor((4n/5) / 25)."""
+    stands = lists.groupBy("item").agg(F.count(F.lit(1)).alias("weight"), F.first("n").alias("size")).where(
+        "weight >= 1 + floor(4 * size / 125)").select("item", "weight")
+    kept = staged(lists.drop("weight").join(stands, "item"), "short-lists")
+    several = kept.groupBy("shingle").agg(F.min("item").alias("lo"), F.max("item").alias("hi")).where("lo < hi")
+    return staged(kept.join(several.select("shingle"), "shingle", "left_semi"), "short-lists")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs``.
 
@@ -341,6 +355,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     buckets = max(LEAST_BUCKETS, int(heads // BUCKET_ENTRIES) + 1)
     lists = staged(_short_lists(rows, order, buckets).join(
         items.select("item", "n"), "item"), "short-lists")
+    del order  # its tables are not needed on the driver any more
+    for _ in range(PRUNE_ROUNDS):
+        lists = _reachable(lists)
 
     labels = None
     for turn in range(STAR_ROUNDS + 1):
@@ -358,8 +375,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             # One pivot per list and size class (sizes within a factor of 5/4).
             band = F.floor(F.log("n") / F.lit(float(np.log(1.25))))
             placed = placed.withColumn("band", band)
+            # First the set that stands in most lists: of near copies the one changed least,
+            # which is nearest to all.  Then the same among sets not yet linked, then any.
+            first = (F.lit(0) if turn > 1 else -F.col("weight") if not turn else
+                     F.when(F.col("root") == F.col("item"), -F.col("weight")).otherwise(F.lit(0)))
             pivot = placed.groupBy("shingle", "band").agg(F.min(F.struct(
-                F.xxhash64("item", F.lit(turn)).alias("h"), "item", "root", "n")).alias("p")).select(
+                first.cast("long").alias("first"), F.xxhash64("item", F.lit(turn)).alias("h"), "item", "root", "n")
+            ).alias("p")).select(
                 "shingle", "band", F.col("p.item").alias("a"), F.col("p.root").alias("p_root"), F.col("p.n").alias("a_n"))
             # A set also meets the pivot of the band below, whose sizes may be near its own.
             meets = pivot.unionByName(pivot.withColumn("band", F.col("band") + 1))
