@@ -9,7 +9,7 @@ tool's schema and serialised as canonical JSON (sorted keys, no white space).
   pairs all calls with all results of a hot id.
 * ``depth`` is the longest chain of dependencies below a call.  Calls with at most one
   dependency, the bulk, are resolved by pointer doubling (log2 of the longest chain
-  rounds); the rest layer by layer over the contracted graph.  Dependencies on ids that
+  rounds); the rest layer by layer over the contracted graph, one small job a layer.  Dependencies on ids that
   do not occur are reported and carry no order; calls on a cycle, or behind one, have no
   depth and are reported.
 * No conversation is gathered into one row or task: (depth, position) is the topological
@@ -19,6 +19,8 @@ tool's schema and serialised as canonical JSON (sorted keys, no white space).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,11 @@ KEY = ["conv_id", "call_id"]
 BROADCAST_TOOLS = 50_000
 
 
+def _join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Shuffled hash join; ``right`` has one row per key and is the side that is built."""
+    return left.join(right.hint("shuffle_hash"), on, how)
+
+
 def _first(rows: DataFrame, cols: list[str]) -> DataFrame:
     """Per (conversation, id) the row of the smallest position, and how many there are.
 
@@ -44,7 +51,7 @@ def depths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     being nodes.
     """
     fan = edges.groupBy(*KEY).agg(F.count(F.lit(1)).alias("fan"), F.min("parent").alias("parent"))
-    kinds = staged(nodes.join(fan, KEY, "left").select(
+    kinds = staged(_join(nodes, fan, KEY, "left").select(
         *KEY, F.coalesce("fan", F.lit(0)).alias("fan"),
         # A pointer to itself marks the end of a chain: no dependency, or several.
         F.when(F.col("fan") == 1, F.col("parent")).otherwise(F.col("call_id")).alias("top"),
@@ -53,19 +60,20 @@ def depths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     chains = kinds.where("fan = 1").select(*KEY, "top", "hops")
     done = chains.where("false")  # chains that have reached their end
     while True:
-        marked = staged(chains.join(ends, ["conv_id", "top"], "left"), "tool-chains")
+        marked = staged(_join(chains, ends, ["conv_id", "top"], "left"), "tool-chains")
+        there = marked.agg(F.count("end").alias("reached"), F.count(F.lit(1)).alias("all")).first()
         reached = marked.where("end").select(*KEY, "top", "hops")
         left = marked.where("end IS NULL").select(*KEY, "top", "hops")
         # Without any in this round, no longer chain has an end: the rest lies on cycles.
-        if reached.isEmpty():
+        if not there["reached"]:
             break
         done = done.unionByName(reached)
-        if left.isEmpty():
+        if there["reached"] == there["all"]:
             break
         # Follow the pointer of the pointer.
         step = done.unionByName(left).select(
             "conv_id", F.col("call_id").alias("top"), F.col("top").alias("top2"), F.col("hops").alias("hops2"))
-        chains = left.join(step, ["conv_id", "top"]).select(
+        chains = _join(left, step, ["conv_id", "top"]).select(
             *KEY, F.col("top2").alias("top"), (F.col("hops") + F.col("hops2")).alias("hops"))
     done = staged(done, "tool-chains-done")
     # Layers over calls with several dependencies, each dependency replaced by its chain's end.
@@ -74,22 +82,28 @@ def depths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     many = kinds.where("fan > 1").select(*KEY)
     if not many.isEmpty():
         hop = done.select("conv_id", F.col("call_id").alias("parent"), F.col("top").alias("p_top"), "hops")
-        open_edges = staged(
-            edges.join(many, KEY, "left_semi").join(hop, ["conv_id", "parent"], "left").select(
-                *KEY, F.coalesce("p_top", "parent").alias("top"),
-                (F.coalesce("hops", F.lit(0)) + 1).alias("weight")), "tool-edges")
+        # Per open edge the depth it gives, once its end is solved.
+        edges = _join(_join(edges, many, KEY, "left_semi"), hop, ["conv_id", "parent"], "left").select(
+            *KEY, F.coalesce("p_top", "parent").alias("top"),
+            (F.coalesce("hops", F.lit(0)) + 1).alias("weight"), F.lit(None).cast("long").alias("gives"))
+        parts, fresh = [solved], solved
         while True:
-            judged = staged(
-                open_edges.join(solved, ["conv_id", "top"], "left").groupBy(*KEY).agg(
-                    F.max(F.col("depth") + F.col("weight")).alias("depth"),
-                    F.bool_and(F.col("depth").isNotNull()).alias("ready")), "tool-layer")
-            ready = judged.where("ready").select("conv_id", F.col("call_id").alias("top"), "depth")
-            if ready.isEmpty():
+            edges = staged(_join(edges, fresh, ["conv_id", "top"], "left").select(
+                *KEY, "top", "weight", F.coalesce("gives", F.col("depth") + F.col("weight")).alias("gives")), "tool-edges")
+            judged = staged(edges.groupBy(*KEY).agg(F.max("gives").alias("depth"),
+                                                    F.bool_and(F.col("gives").isNotNull()).alias("ready")), "tool-layer")
+            there = judged.agg(F.count_if("ready").alias("ready"), F.count(F.lit(1)).alias("all")).first()
+            if not there["ready"]:
+                break
+            fresh = judged.where("ready").select("conv_id", F.col("call_id").alias("top"), "depth")
+            parts.append(fresh)
+            if len(parts) == 8:  # keeps the final union short
+                parts = [staged(reduce(DataFrame.unionByName, parts), "tool-solved")]
+            if there["ready"] == there["all"]:
                 break
-            solved = staged(solved.unionByName(ready), "tool-solved")
-            open_edges = open_edges.join(
-                judged.where("NOT ready").select(*KEY), KEY, "left_semi")
-    below = done.join(solved, ["conv_id", "top"]).select(
+            edges = _join(edges, judged.where("NOT ready").select(*KEY), KEY, "left_semi")
+        solved = staged(reduce(DataFrame.unionByName, parts), "tool-solved")
+    below = _join(done, solved, ["conv_id", "top"]).select(
         *KEY, (F.col("depth") + F.col("hops")).alias("depth"))
     return solved.select("conv_id", F.col("top").alias("call_id"), "depth").unionByName(below)
 
@@ -99,9 +113,10 @@ def _checked(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     wanted = schemas.groupBy(F.col("tool").alias("s_tool")).agg(
         F.array_sort(F.collect_set(F.struct(
             "param", F.lower("type").alias("type"), "required"))).alias("params"))
-    if wanted.count() <= BROADCAST_TOOLS:
-        wanted = F.broadcast(wanted)
-    rows = calls.join(wanted, F.col("tool") == F.col("s_tool"), "left").drop("s_tool")
+    few = wanted.count() <= BROADCAST_TOOLS
+    rows = calls.join(F.broadcast(wanted) if few else wanted, F.col("tool") == F.col("s_tool"), "left").drop("s_tool")
+    if not few:  # the join has dealt the rows out by tool
+        rows = rows.repartitionByRange("conv_id", "depth", "position", "call_id")
     value = F.try_parse_json("arguments")
     is_object = F.schema_of_variant(value).startswith("OBJECT")
     kinds = F.transform_values(
@@ -162,6 +177,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) ->
     results = results.select(
         F.col("conv_id").cast("string"), F.col("call_id").cast("string"),
         F.col("position").cast("long"), F.col("content").cast("string")).dropna(subset=KEY)
+    calls = staged(calls, "tool-messages")
     named = calls.dropna(subset=KEY)
     cols = ["tool", "arguments", "depends_on"]
     first = staged(_first(named, cols).select(*KEY, "it.*", F.col("n").alias("copies")), "tool-calls")
@@ -171,21 +187,21 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) ->
 
     wanted = first.select(*KEY, F.explode("depends_on").alias("parent"))
     ids = first.select("conv_id", F.col("call_id").alias("parent"), F.lit(True).alias("there"))
-    edges = staged(wanted.join(ids, ["conv_id", "parent"], "left"), "tool-dependencies")
+    edges = staged(_join(wanted, ids, ["conv_id", "parent"], "left"), "tool-dependencies")
     depth = depths(first.select(*KEY), edges.where("there").select(*KEY, "parent"))
     dangling = edges.where("there IS NULL").groupBy(*KEY).agg(
         F.array_sort(F.collect_set(F.concat(F.lit("dangling:"), "parent"))).alias("dangling"))
 
     none = F.array().cast("array<string>")
-    linked = (first.join(found, KEY, "left").join(depth, KEY, "left").join(dangling, KEY, "left")
+    linked = (_join(_join(_join(first, found, KEY, "left"), depth, KEY, "left"), dangling, KEY, "left")
               .withColumn("status", F.when(F.col("depth").isNull(), "cyclic")
                           .when(F.col("n_results").isNull(), "no_result")
                           .when(F.col("r_position") < F.col("position"), "result_before_call")
                           .otherwise("linked")))
     # Further rows of an id: rows that differ from the linked one, and its exact copies.
-    same = first.select(*KEY, *[F.col(c).alias(f"f_{c}") for c in ["position", *cols]])
+    same = first.select(*KEY, "copies", *[F.col(c).alias(f"f_{c}") for c in ["position", *cols]])
     rest = (named.groupBy(*KEY, "position", *cols).agg(F.count(F.lit(1)).alias("n"))
-            .join(first.where("copies > 1").select(*KEY), KEY, "left_semi").join(same, KEY))
+            .join(same.where("copies > 1").hint("shuffle_hash"), KEY))
     is_first = F.lit(True)
     for c in ["position", *cols]:
         is_first = is_first & F.col(c).eqNullSafe(F.col(f"f_{c}"))
@@ -199,7 +215,9 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) ->
     everything = (linked.select(*base, "r_position", "content", "n_results", "depth", "dangling", "status")
                   .unionByName(rest.select(*base, *blank, F.lit("duplicate").alias("status")))
                   .unionByName(bad.select(*base, *blank, F.lit("invalid_id").alias("status"))))
-    checked = _checked(everything, schemas)
+    # Ranges first: their sampling then reads a plain table; the check keeps partitions.
+    order = ["conv_id", "depth", "position", "call_id"]
+    checked = _checked(staged(everything, "tool-linked").repartitionByRange(*order), schemas)
     raw = F.coalesce(F.col("canonical"), F.to_json(F.struct(F.col("arguments").alias("raw"))))
     head = F.to_json(F.struct("call_id", "depends_on", "status", "tool"), {"ignoreNullFields": "false"})
     tail = F.to_json(F.struct(F.col("content").alias("result")), {"ignoreNullFields": "false"})
@@ -208,12 +226,10 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) ->
                     F.regexp_extract(head, r'^\{(.*),"status":"[a-z_]+","tool":', 1), F.lit(","),
                     F.regexp_extract(tail, r"(?s)^\{(.*)\}$", 1), F.lit(","),
                     F.regexp_extract(head, r'("status":"[a-z_]+","tool":.*\})$', 1))
-    return (checked.select("conv_id", "call_id", "position", "tool", "status", "depth",
-                           F.coalesce("n_results", F.lit(0)).alias("n_results"),
-                           F.concat("errors", F.coalesce("dangling", none)).alias("errors"),
-                           text.alias("record"))
-            .repartitionByRange("conv_id", "depth", "position", "call_id")
-            .sortWithinPartitions("conv_id", "depth", "position", "call_id"))
+    return checked.select("conv_id", "call_id", "position", "tool", "status", "depth",
+                          F.coalesce("n_results", F.lit(0)).alias("n_results"),
+                          F.concat("errors", F.coalesce("dangling", none)).alias("errors"),
+                          text.alias("record")).sortWithinPartitions(*order)
 
 
 # --- the query: tool traffic derived from ``conversations`` -----------------------------
