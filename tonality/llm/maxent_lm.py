@@ -66,8 +66,9 @@ class Reader:
 
     def clear(self) -> None:
         self.local: dict[bytes, int] = {}
-        self.keys: list[int] = [END]
-        self.atoms: list[int] = [0]
+        self.keys = np.array([END], np.int64)
+        self.atoms = np.zeros(1, np.int64)
+        self.looked_up: tuple[np.ndarray, ...] = ()
 
     def read(self, batch: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """(numbers of all texts in a row, each closed by the end; length of each)."""
@@ -77,11 +78,11 @@ class Reader:
             self.clear()
         words = [space_words(t) for t in batch]
         local = self.local
-        for w in set().union(*words).difference(local):
-            local[w] = len(self.keys)
-            key = xxh3_64_intdigest(w)
-            self.keys.append(key - (1 << 64) if key >= 1 << 63 else key)
-            self.atoms.append(ending(w))
+        fresh = list(set().union(*words).difference(local))
+        local.update(zip(fresh, range(len(self.keys), len(self.keys) + len(fresh)), strict=True))
+        keys = np.fromiter(map(xxh3_64_intdigest, fresh), np.uint64, len(fresh))
+        self.keys = np.concatenate([self.keys, keys.view(np.int64)])
+        self.atoms = np.concatenate([self.atoms, np.fromiter(map(ending, fresh), np.int64, len(fresh))])
         lens = np.fromiter(map(len, words), np.int64, len(words)) + 1
         out = np.zeros(int(lens.sum()), np.int32)
         stop = np.cumsum(lens) - 1
@@ -91,6 +92,14 @@ class Reader:
         return out, lens
 
 
+    def look_up(self, model: Model) -> tuple[np.ndarray, ...]:
+        """``model.look_up`` of all numbers so far, each word looked up once."""
+        known = len(self.looked_up[0]) if self.looked_up else 0
+        new = model.look_up(self.keys[known:], self.atoms[known:])
+        self.looked_up = tuple(map(np.concatenate, zip(self.looked_up, new, strict=True))) if known else new
+        return self.looked_up
+
+
 def _count_rows(rows: DataFrame) -> DataFrame:
     """kind 0: (word, atom, n); kind 1: (atom pair, -, n); partial sums of tasks."""
 
@@ -109,8 +118,8 @@ def _count_rows(rows: DataFrame) -> DataFrame:
 
         for b in it:
             numbers, lens = reader.read(b.column(1).to_pylist())
-            atom = np.asarray(reader.atoms, np.int32)[numbers]
-            words.append(np.asarray(reader.keys, np.int64)[numbers])
+            atom = reader.atoms[numbers]
+            words.append(reader.keys[numbers])
             atoms.append(atom)
             before = np.concatenate([[0], atom[:-1]])  # the end stands before the first word
             pairs += np.bincount(before * ATOMS + atom, minlength=ATOMS * ATOMS)
@@ -223,7 +232,7 @@ def _train_round(model: Model, rows: DataFrame) -> None:
         w, power, used = model.w.copy(), np.full(ROWS, 1e-6, np.float32), np.zeros(ROWS, np.int64)
         for b in it:
             numbers, lens = reader.read(b.column(1).to_pylist())
-            _, _, cls, feature = model.look_up(np.asarray(reader.keys, np.int64), np.asarray(reader.atoms))
+            _, _, cls, feature = reader.look_up(model)
             rows, want = history(feature[numbers], lens), cls[numbers]
             for lo in range(0, len(want), BATCH):
                 r, y = rows[lo:lo + BATCH], want[lo:lo + BATCH]
@@ -312,8 +321,8 @@ def score_lm(rows: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
 
         for b in it:
             numbers, lens = reader.read(b.column(1).to_pylist())
-            keys = np.asarray(reader.keys, np.int64)
-            hot, log_count, cls, feature = model.look_up(keys, np.asarray(reader.atoms))
+            keys = reader.keys
+            hot, log_count, cls, feature = reader.look_up(model)
             rows, want = history(feature[numbers], lens), cls[numbers]
             log_class = np.empty(len(want))
             for lo in range(0, len(want), BATCH):
