@@ -43,6 +43,8 @@ MEMO_CHARS = 8 << 20
 DATA_SCHEMA = "doc_id bigint, n_tokens bigint, file_offset bigint, tokens array<int>"
 
 _GAP = re.compile(r"(?<=\S) (?=\S)")
+# White space other than the space and the line feed.
+_OTHER = re.compile(r"[^\S \n]")
 #: Characters per call of the library.
 CALL_CHARS = 2000
 
@@ -89,53 +91,51 @@ class PieceEncoder:
         self.flat = np.concatenate([self.flat, flat])
         self.lens = np.concatenate([self.lens, lens])
 
-    def _learn(self, fresh: list[str], head: bool) -> None:
-        """Encode pieces not yet known, in the order of their numbers."""
-        into = self.heads if head else self.memo
-        plain = [] if head else [p for p in fresh if p and " " not in p and p == p.strip()]
-        rest = fresh if len(plain) < len(fresh) else []
-        if plain and rest:
-            rest = list(set(fresh).difference(plain))
+    def _number(self, fresh: list[str], into: dict[str, int]) -> None:
         before = len(self.memo) + len(self.heads)
-        into.update(zip(plain + rest, range(before, before + len(fresh)), strict=True))
+        into.update(zip(fresh, range(before, before + len(fresh)), strict=True))
         self.chars += sum(map(len, fresh))
-        if plain:
-            runs, size = [[]], 0
-            for p in plain:
-                if size > CALL_CHARS:
-                    runs.append([])
-                    size = 0
-                runs[-1].append(p)
-                size += len(p) + 1
-            flat = np.concatenate(self._call([" " + " ".join(r) for r in runs]))
-            first = np.flatnonzero(self.opens[flat])
-            if len(first) != len(plain):  # a tokenizer of another make: piece by piece
-                ids = self._call([" " + p for p in plain])
-                flat, lens = np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids))
-            else:
-                lens = np.diff(first, append=len(flat))
-            self._keep(flat, lens)
-        if rest:
-            ids = self._call(rest if head else [" " + p for p in rest])
-            self._keep(np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)))
+
+    def _learn_alone(self, fresh: list[str], into: dict[str, int], before: str) -> None:
+        """Encode pieces one by one."""
+        self._number(fresh, into)
+        ids = self._call([before + p for p in fresh])
+        self._keep(np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)))
+
+    def _learn_runs(self, fresh: list[str]) -> None:
+        """Encode pieces without white space at their ends or spaces inside, many in a call."""
+        run = max(1, CALL_CHARS * len(fresh) // (sum(map(len, fresh)) + len(fresh)))
+        got = self._call([" " + " ".join(fresh[k:k + run]) for k in range(0, len(fresh), run)])
+        flat = np.concatenate(got)
+        first = np.flatnonzero(self.opens[flat])
+        if len(first) != len(fresh):  # a tokenizer of another make
+            self._learn_alone(fresh, self.memo, " ")
+        else:
+            self._number(fresh, self.memo)
+            self._keep(flat, np.diff(first, append=len(flat)))
 
     def encode(self, texts: Sequence[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each closed by ``end_id``; and the length of each."""
         if len(self.memo) + len(self.heads) > MEMO_PIECES or self.chars > MEMO_CHARS:
             self.clear()
-        heads, tails = [], []
+        heads, tails, odd = [], [], []
         for text in texts:
             if not text:
                 continue
-            words = text.split()
-            # Every gap one character wide and none at the ends: any space is a cut.
-            parts = text.split(" ") if len(text) == sum(map(len, words)) + len(words) - 1 else _GAP.split(text)
+            # Spaces with no other white space beside them are all cuts.
+            if "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or _OTHER.search(text):
+                parts = _GAP.split(text)
+                odd.extend(parts[1:])
+            else:
+                parts = text.split(" ")
             heads.append(parts[0])
             tails.append(parts[1:])
         if fresh := set(heads).difference(self.heads):
-            self._learn(list(fresh), True)
+            self._learn_alone(list(fresh), self.heads, "")
+        if fresh := set(odd).difference(self.memo):
+            self._learn_alone(list(fresh), self.memo, " ")
         if fresh := set(itertools.chain.from_iterable(tails)).difference(self.memo):
-            self._learn(list(fresh), False)
+            self._learn_runs(list(fresh))
         counts = np.zeros(len(texts), np.int64)
         counts[[k for k, t in enumerate(texts) if t]] = [len(t) + 1 for t in tails]
         ends = np.cumsum(counts)
