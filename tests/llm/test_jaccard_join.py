@@ -117,3 +117,15 @@ def test_query(spark):
     got = sorted(tuple(r) for r in J.op6_jaccard_join(spark, sf).collect())
     assert got == brute(docs)
     assert sum(r[0] != r[2] for r in got) > 50
+
+
+def test_sets_without_an_id_are_nodes(spark):
+    """A null-id near copy is linked, and carries the link between two others."""
+    a = ["w%d" % k for k in range(60)]
+    n = [*a[:-5], *("n%d" % k for k in range(5))]
+    b = ["b%d" % k for k in range(5)] + n[5:]
+    assert 9 * len(shingles(" ".join(a)) & shingles(" ".join(b))) < 4 * 112  # A and B alone are no pair
+    rows = [(5, " ".join(a)), (None, " ".join(n)), (None, " ".join(n)), (9, " ".join(b)), (None, "x y z"), (None, "X y z")]
+    got = J.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [(5, 56, 5), (None, 56, 5), (None, 56, 5), (9, 56, 5), (None, 1, None), (None, 1, None)], key=str)

@@ -107,14 +107,15 @@ def _slots(h: np.ndarray) -> np.ndarray:
 
 
 def _read_sets(rows: DataFrame) -> DataFrame:
-    """kind 0: (doc_id, n, digest) of each row; kind 1: (digest: shingle, n: count);
+    """kind 0: (doc_id, text_key, n, digest) of each row; kind 1: (digest: shingle, n: count);
     kind 2: (n: range, slots: sorted slots of the range, one for each occurrence)."""
-    names = ["kind", "doc_id", "n", "digest", "slots"]
+    names = ["kind", "doc_id", "text_key", "n", "digest", "slots"]
 
-    def out(kind: int, n, ids=None, d=None, slots=None) -> pa.RecordBatch:
+    def out(kind: int, n, ids=None, keys=None, d=None, slots=None) -> pa.RecordBatch:
         none = [None] * len(n)
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(n), kind, np.int32)), pa.array(ids if ids is not None else none, pa.int64()),
+             pa.array(keys if keys is not None else none, pa.int64()),
              pa.array(n, pa.int64()), pa.array(d if d is not None else none, pa.int64()),
              pa.array(slots if slots is not None else none, pa.binary())], names=names)
 
@@ -137,7 +138,7 @@ def _read_sets(rows: DataFrame) -> DataFrame:
         for b in it:
             sets = [shingle_set(t) for t in b.column(1).to_pylist()]
             digests = [digest(s) for s in sets]
-            yield out(0, [len(s) for s in sets], b.column(0).to_pylist(), digests)
+            yield out(0, [len(s) for s in sets], b.column(0).to_pylist(), b.column(2).to_pylist(), digests)
             for d, s in zip(digests, sets, strict=True):
                 if d is not None and d not in seen:  # a copy says nothing new
                     seen.add(d)
@@ -149,7 +150,7 @@ def _read_sets(rows: DataFrame) -> DataFrame:
         if held:
             yield from counted(held)
 
-    return rows.mapInArrow(run, "kind int, doc_id bigint, n bigint, digest bigint, slots binary")
+    return rows.mapInArrow(run, "kind int, doc_id bigint, text_key bigint, n bigint, digest bigint, slots binary")
 
 
 def _shared_slots(read: DataFrame) -> np.ndarray:
@@ -262,24 +263,35 @@ def _short_lists(rows: DataFrame, order: Order, buckets: int) -> DataFrame:
 def _verified(docs: DataFrame, items: DataFrame, pairs: DataFrame) -> DataFrame:
     """Links (a, b) among candidate ``pairs`` (a: pivot, b), their texts read again.
 
-    ``items``: (item, doc_id, n).  The rows of a pivot are spread over salts by the number
-    of shingles to be compared."""
-    n_b = items.select(F.col("item").alias("b"), F.col("doc_id").alias("b_doc"), F.col("n").alias("b_n"))
-    n_a = items.select(F.col("item").alias("a"), F.col("doc_id").alias("a_doc"), F.col("n").alias("a_n"))
+    ``docs``: (doc_id, text, text_key); ``items``: (item, doc_id, text_key, n).  The rows of
+    a pivot are spread over salts by the number of shingles to be compared."""
+    n_b = items.select(F.col("item").alias("b"), F.col("doc_id").alias("b_doc"), F.col("text_key").alias("b_key"),
+                       F.col("n").alias("b_n"))
+    n_a = items.select(F.col("item").alias("a"), F.col("doc_id").alias("a_doc"), F.col("text_key").alias("a_key"),
+                       F.col("n").alias("a_n"))
     # Sizes first: 5 min >= 4 max, or the pair cannot reach T.
     sized = staged(pairs.join(n_b, "b").join(n_a, "a").where(
         "5 * least(a_n, b_n) >= 4 * greatest(a_n, b_n)"), "candidates")
-    hubs = sized.groupBy("a").agg(F.first("a_doc").alias("doc_id"), F.ceil(
+    hubs = sized.groupBy("a").agg(F.first("a_doc").alias("doc_id"), F.first("a_key").alias("text_key"), F.ceil(
         F.sum("b_n") / F.lit(float(GROUP_SHINGLES))).cast("int").alias("salts"))
     salt = F.pmod(F.xxhash64("b"), F.col("salts")).cast("int")
     wanted = (sized.join(hubs.select("a", "salts"), "a")
-              .select(F.col("b_doc").alias("doc_id"), "a", salt.alias("salt"), F.col("b").alias("item"))
-              .unionByName(hubs.select("doc_id", "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-                                       F.col("a").alias("item"))))
+              .select(F.col("b_doc").alias("doc_id"), F.col("b_key").alias("text_key"), "a", salt.alias("salt"),
+                      F.col("b").alias("item"))
+              .unionByName(hubs.select("doc_id", "text_key", "a", F.explode(F.sequence(
+                  F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("a").alias("item"))))
     wanted = staged(wanted, "wanted")
-    if wanted.count() * 64 <= ID_BROADCAST_BYTES:
-        wanted = F.broadcast(wanted)
-    rows = docs.join(wanted, "doc_id").select("a", "salt", "item", "text")
+    few = wanted.count() * 64 <= ID_BROADCAST_BYTES
+    at = ["doc_id", "text_key"]
+    rows = docs.join(F.broadcast(wanted) if few else wanted, at).select("a", "salt", "item", "text")
+    nameless = wanted.where("doc_id IS NULL").drop("doc_id")
+    if nameless.limit(1).count():
+        # Sets without any id: one row of each text, however often it stands there.
+        keys = nameless.select("text_key").distinct()
+        once = docs.where("doc_id IS NULL").drop("doc_id").join(
+            F.broadcast(keys) if few else keys, "text_key", "left_semi").dropDuplicates(["text_key"])
+        rows = rows.unionByName(once.join(F.broadcast(nameless) if few else nameless, "text_key").select(
+            "a", "salt", "item", "text"))
 
     def sets(it: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for b in it:
@@ -324,19 +336,15 @@ def _reachable(lists: DataFrame) -> DataFrame:
     return staged(kept.join(several.select("shingle"), "shingle", "left_semi"), "short-lists")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of ``docs``.
-
-    Links: 100 x intersection >= 80 x union of the shingle sets.  Texts without words have
-    no shingle and stand alone.  Rows of equal id and different text are nodes of their
-    own; rows with a null id link and carry others' links, but name no component (alone,
-    their component is null).  Other columns stay out.  An empty table gives no row.
-    """
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Per row of ``docs``: doc_id, text_key (hash of the text), n, digest, component_id, and
+    ``first``: (anonymous, doc_id, text_key) of the smallest row of its component, rows
+    without an id last.  Texts without words have no digest, no component and no first."""
     spark = docs.sparkSession
     prepare(spark)
-    rows = texts(docs, id_col, text_col)
+    rows = texts(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
     read = staged(_read_sets(rows), "shingle-sets", "kind")
-    info = read.where("kind = 0").select("doc_id", "n", "digest")
+    info = read.where("kind = 0").select("doc_id", "text_key", "n", "digest")
     heads = info.agg(F.sum(F.col("n") / 4 + 1)).first()[0] or 0
     often = staged(read.where("kind = 1").groupBy("digest").agg(F.sum("n").alias("n"))
                    .where(F.col("n") >= FREQUENT), "frequent-shingles")
@@ -351,7 +359,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     order = Order(often["digest"].to_numpy().astype(np.int64).view(np.uint64), often["n"].to_numpy().astype(np.int64),
                   _shared_slots(read))
     items = staged(info.where("digest IS NOT NULL").groupBy(F.col("digest").alias("item")).agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n")).where("doc_id IS NOT NULL"), "items")
+        F.min(F.struct(F.col("doc_id").isNull().alias("anonymous"), "doc_id", "text_key")).alias("first"),
+        F.first("n").alias("n")).select("item", "first", "first.doc_id", "first.text_key", "n"), "items")
     buckets = max(LEAST_BUCKETS, int(heads // BUCKET_ENTRIES) + 1)
     lists = staged(_short_lists(rows, order, buckets).join(
         items.select("item", "n"), "item"), "short-lists")
@@ -402,17 +411,38 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             labels = merged(labels, links)
 
     if labels is None:
-        homes = items.select(F.col("item").alias("digest"), F.col("doc_id").alias("component_id"))
+        homes = items.select(F.col("item").alias("digest"), "first")
     else:
         at = labels.select(F.col("node").alias("item"), "root")
         grouped = staged(items.join(at, "item", "left").select(
-            "item", "doc_id", F.coalesce("root", "item").alias("root")), "item-roots")
-        lowest = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-        homes = grouped.join(lowest, "root").select(F.col("item").alias("digest"), "component_id")
+            "item", "first", F.coalesce("root", "item").alias("root")), "item-roots")
+        lowest = grouped.groupBy("root").agg(F.min("first").alias("first"))
+        homes = grouped.drop("first").join(lowest, "root").select(F.col("item").alias("digest"), "first")
     return info.join(homes, "digest", "left").select(
+        "doc_id", "text_key", "n", "digest", F.col("first.doc_id").alias("component_id"), "first")
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row of ``docs``.
+
+    Links: 100 x intersection >= 80 x union of the shingle sets.  Texts without words have
+    no shingle and stand alone.  Rows of equal id and different text are nodes of their
+    own; rows with a null id link and carry others' links, but name no component (alone,
+    their component is null).  Other columns stay out.  An empty table gives no row.
+    """
+    return _grouped(docs, id_col, text_col).select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_key, keeps) per row of ``docs`` that has words: whether it is the row of
+    its component to keep, that of the smallest (doc_id, text_key), null ids last.  Equal
+    rows (same id and text) have the same answer."""
+    found = _grouped(docs, id_col, text_col).where("digest IS NOT NULL")
+    return found.select("doc_id", "text_key", (F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+                                               & (F.col("text_key") == F.col("first.text_key"))).alias("keeps"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of ``documents`` under Jaccard similarity of at least 0.8."""
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
