@@ -6,7 +6,7 @@ never costs more than the stage it worked on.
 
 1. toxicity: the network is fitted on the labelled documents among the input; documents
    scoring 0.7 or more go.
-2. jaccard: of each group of near copies the document of the smallest id stays.
+2. jaccard: of each group of near copies one row, that of the smallest id, stays.
 3. decontaminate: documents with an occurrence of a benchmark window go.
 4. mix: sources are brought towards shares of sqrt(size) by Poisson replication.
 5. tokens: token ids in ORC; the result is read back from the files.
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonality.llm.common import ID_BROADCAST_BYTES, staged
-from tonality.llm.jaccard_join import jaccard_components
+from tonality.llm.jaccard_join import near_copies
 from tonality.llm.poisson_mix import poisson_mix
 from tonality.llm.token_orc import default_tokenizer, read_token_orc, stream_digest, write_token_orc
 from tonality.llm.toxicity import THRESHOLD, score_documents, train_toxicity
@@ -26,15 +26,20 @@ from tonality.llm.wu_manber import find_benchmark
 from tonality.session import fresh_path
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` but the rows of the given (doc_id, text_key); broadcast by measured size."""
-    rejected = staged(rejected.distinct(), "rejected").select(
+def _picked(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined (semi or anti) with (doc_id, text_key); broadcast by measured size."""
+    rows = staged(rows.distinct(), "picked").select(
         F.col("doc_id").alias("r_id"), F.col("text_key").alias("r_key"))
-    if rejected.count() * 64 <= ID_BROADCAST_BYTES:
-        rejected = F.broadcast(rejected)
+    if rows.count() * 64 <= ID_BROADCAST_BYTES:
+        rows = F.broadcast(rows)
     key = F.xxhash64(docs["text"].cast("string").cast("binary"))
     same = docs["doc_id"].cast("long").eqNullSafe(F.col("r_id")) & (key == F.col("r_key"))
-    return docs.join(rejected, same, "left_anti")
+    return docs.join(rows, same, how)
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` but the rows of the given (doc_id, text_key)."""
+    return _picked(docs, rejected, "left_anti")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,19 +50,19 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group: that of the smallest id, once.
-
-    Texts without words are no copies of each other and stay, as do rows without an id
-    that are linked to no document with one."""
-    found = staged(jaccard_components(docs), "components")
-    if found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        # Repeated ids: of rows that are one node (equal id and text) one stays.
-        docs = docs.dropDuplicates(["doc_id", "text"])
-    copies = found.where("doc_id <> component_id").select("doc_id").distinct()
-    copies = staged(copies, "copies")
-    if copies.count() * 64 <= ID_BROADCAST_BYTES:
-        copies = F.broadcast(copies)
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """Keeps exactly one row of each group: that of the smallest (doc_id, text key).
+
+    Texts without words are no copies of each other and stay.  Rows of equal id and
+    different text are rows of their own.  A row without an id stays only where no row of
+    its group has one, and then once."""
+    found = staged(near_copies(docs), "near-copies")
+    kept = _without(docs, found.where("NOT keeps"))
+    again = staged(found.where("keeps").groupBy("doc_id", "text_key").count().where("count > 1"), "equal-rows")
+    if again.limit(1).count():
+        # Rows that are one node (equal id and text): one of them stays.
+        once = _picked(kept, again.select("doc_id", "text_key"), "left_semi").dropDuplicates(["doc_id", "text"])
+        kept = _without(kept, again.select("doc_id", "text_key")).unionByName(once)
+    return kept
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

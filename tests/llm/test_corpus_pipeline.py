@@ -90,3 +90,17 @@ def test_stages_on_empty_tables(spark, odd):
     for _, stage in C.STAGES:
         docs = stage(spark, docs, odd)
         assert docs.count() == 0
+
+
+def test_jaccard_removes_rows_not_ids(spark):
+    """Of every group exactly one row stays, whatever ids repeat or are missing."""
+    long = ["w%d" % k for k in range(40)]
+    near = " ".join([*long[:-1], "other"])
+    rows = [(7, "p q r s t u"), (7, "other words here"), (3, "p q r s t u"),  # one linked, one unlinked text of an id
+            (8, " ".join(long)), (8, near),                                   # near copies under one id
+            (9, "same row"), (9, "same row"), (None, "same row"), (None, "no id"), (None, "no  ID"), (4, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [tuple(r) for r in C.jaccard(spark, docs, "").collect()]
+    fixed = [(3, "p q r s t u"), (7, "other words here"), (9, "same row"), (4, None), (4, "")]
+    assert [got.count(r) for r in fixed] == [1] * 5
+    assert sum(r[0] == 8 for r in got) == 1 and sum(r[0] is None for r in got) == 1 and len(got) == 7
