@@ -96,3 +96,19 @@ def test_query(spark):
     clean = set(got) - set(toxic)
     assert np.mean([got[i].predicted for i in toxic]) > 0.8
     assert np.mean([got[i].predicted for i in clean]) < 0.06
+
+
+def test_long_unspaced_texts_count_to_their_end():
+    """Long words become pieces that leave no n-gram out, and a toxic end counts."""
+    for w in (b"x" * 64, bytes(range(0x61, 0x7B)) * 9, "你好世界ก".encode() * 31, b"\x80" * 99):
+        pieces = T.steps_of(w)
+        assert {w[k:k + 4] for k in range(len(w) - 3)} == {p[k:k + 4] for p in pieces for k in range(len(p) - 3)}
+        assert len(w) <= 64 or max(map(len, pieces)) <= T.PIECE + 3
+    rnd = random.Random(1)
+    sign = lambda: chr(rnd.randrange(0x4E00, 0x4E80))
+    bad = "毒恶臭烂"
+    text = lambda y: "".join(sign() for _ in range(rnd.randrange(40, 200))) + (bad * 3 if y else "")
+    model = T.fit([(k, text(k % 3 == 0).encode(), int(k % 3 == 0)) for k in range(300)])
+    long = "".join(sign() for _ in range(5000))
+    quiet, toxic = T.score_texts(model, [long.encode(), (long + bad * 3).encode()])
+    assert quiet < T.THRESHOLD <= toxic

@@ -45,8 +45,9 @@ THRESHOLD = 0.7
 MAX_TOXIC, MAX_CLEAN, MAX_BYTES = 2000, 2500, 64 << 10
 
 
-#: Longer words count by their first bytes here; as words they stay whole.
-WORD_BYTES = 64
+#: Longer words (texts without spaces) become overlapping pieces of PIECE bytes, a step
+#: each, so no n-gram of them is lost.
+WORD_BYTES, PIECE, PIECE_STEP = 64, 24, 12
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 
 
@@ -55,7 +56,7 @@ def char_slots(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     many each word has."""
     if not words:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    marked = [b"<" + w[:WORD_BYTES] + b">" for w in words]
+    marked = [b"<" + w + b">" for w in words]
     lens = np.fromiter(map(len, marked), np.int64, len(marked))
     flat = np.frombuffer(b"".join(marked) + b"\0\0\0", np.uint8).astype(np.uint32)
     left = np.repeat(np.cumsum(lens), lens) - np.arange(lens.sum())  # bytes to the word's end
@@ -69,6 +70,32 @@ def char_slots(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return grams[fits], np.add.reduceat(fits.sum(1), np.cumsum(lens) - lens)
 
 
+def steps_of(text: bytes | None) -> list[bytes]:
+    """Words of a text; those of more than WORD_BYTES bytes as overlapping pieces, cut
+    between UTF-8 characters."""
+    words = alnum_words(text)
+    if not words or max(map(len, words)) <= WORD_BYTES:
+        return words
+    out = []
+    for w in words:
+        if len(w) <= WORD_BYTES:
+            out.append(w)
+            continue
+        for lo in range(0, len(w) - PIECE + PIECE_STEP, PIECE_STEP):
+            out.append(w[_char_start(w, lo):_char_start(w, lo + PIECE)])
+    return out
+
+
+def _char_start(w: bytes, at: int) -> int:
+    """The last place up to ``at`` where a character starts (at most 3 bytes before)."""
+    if at >= len(w):
+        return len(w)
+    for k in range(at, max(-1, at - 4), -1):
+        if w[k] & 0xC0 != 0x80:
+            return k
+    return at
+
+
 def windows_of(n: int) -> list[int]:
     """Starts of the windows over ``n`` words: every STRIDE, the last one at the end."""
     if n <= LENGTH:
@@ -246,7 +273,7 @@ def _stack(numbers: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray,
 def score_texts(model: BiGru, batch: list[bytes | None]) -> np.ndarray:
     """Score of each text: its highest window; texts without words score 0."""
     coder = Encoder(model.vocabulary)
-    numbers = [coder.numbers(alnum_words(t)) for t in batch]
+    numbers = [coder.numbers(steps_of(t)) for t in batch]
     gates = model.project(model.embed(*coder.inputs(coder.new)))
     doc, idx, mask = _stack(numbers, len(coder.new))
     best = np.full(len(batch), -np.inf)
@@ -273,7 +300,7 @@ def _distinct_texts(docs: list[tuple[int, list[bytes], int]]) -> list[tuple[int,
 
 def fit(sample: list[tuple[int, bytes, int]], seed: int = 0, steps: int = 500, batch: int = 256) -> BiGru | None:
     """Fit on (id, text, label) rows; None without both classes."""
-    docs = [(i, alnum_words(t), y) for i, t, y in sorted(sample)]
+    docs = [(i, steps_of(t), y) for i, t, y in sorted(sample)]
     docs = _distinct_texts([d for d in docs if d[1]])
     toxic, clean = [w for _, w, y in docs if y], [w for _, w, y in docs if not y]
     if not toxic or not clean:
