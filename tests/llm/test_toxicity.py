@@ -112,3 +112,25 @@ def test_long_unspaced_texts_count_to_their_end():
     long = "".join(sign() for _ in range(5000))
     quiet, toxic = T.score_texts(model, [long.encode(), (long + bad * 3).encode()])
     assert quiet < T.THRESHOLD <= toxic
+
+
+def test_every_window_is_scored():
+    """A text scores its highest window of those at every word, wherever a passage falls."""
+    model, rnd = T.BiGru({b"w%d" % k: k + 1 for k in range(20)}, 3), random.Random(5)
+    texts = [b" ".join(b"w%d" % rnd.randrange(40) for _ in range(n)) for n in (1, 5, 15, 16, 17, 40, 300, 5000, 16)]
+    want = []
+    for t in texts:
+        ws = t.split()
+        coder = T.Encoder(model.vocabulary)
+        ids, n = coder.numbers(ws), max(1, len(ws) - T.LENGTH + 1)
+        inside = np.arange(n)[:, None] + np.arange(T.LENGTH)
+        mask = inside < len(ws)
+        idx = np.where(mask, np.append(ids, [len(coder.new)] * T.LENGTH)[inside], len(coder.new))
+        logit = model.forward(model.project(model.embed(*coder.inputs(coder.new))), idx, mask)
+        want.append(float(T._sigmoid(logit.max())))
+    assert np.allclose(T.score_texts(model, [*texts, b"", None]), [*want, 0, 0], atol=1e-5)
+    passage, quiet = b" ".join(b"w%d" % k for k in range(16)), [b"w30"] * 40
+    alone = T.score_texts(model, [passage])[0]
+    for at in range(24):
+        text = b" ".join([*quiet[:at], passage, *quiet[at:]])
+        assert T.score_texts(model, [text])[0] >= alone - 1e-5

@@ -3,14 +3,14 @@
 Input of a step: the embedding of the word (words seen often enough in training; others
 share a zero vector) next to the mean of hashed character n-gram embeddings, so unseen
 spellings still carry information.  A forward and a backward GRU run over windows of
-``LENGTH`` words; attention pools their states; a logistic unit scores the window.  All
-overlapping windows of a text are scored, whatever its length, and the text's score is
-its highest window.
+``LENGTH`` words; attention pools their states; a logistic unit scores the window.  A
+window starts at every word of a text, whatever its length, and the text's score is its
+highest window.
 
 Training: documents carry the label, not windows.  Word statistics over the training
 documents nominate the window of a toxic document that speaks most for its label; the
-network trains on those against windows of clean documents, then nominates windows
-itself, and toxic documents in which neither finds anything (label noise) leave the
+network trains on those against windows of clean documents (of the sample, windows at
+every ``STRIDE`` words are taken), then nominates windows itself, and toxic documents in which neither finds anything (label noise) leave the
 training set.  Clean windows that score high are trained on again.
 
 The fit uses a bounded sample of labelled rows (``max_toxic``, ``max_clean``,
@@ -34,7 +34,9 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import alnum_words, crc_of_id, prepare, texts
 
-LENGTH, STRIDE = 16, 12
+LENGTH = 16
+#: Words between the windows of the training sample; scoring takes every window.
+STRIDE = 12
 HIDDEN, WORD_DIM, CHAR_DIM, ATTEND = 8, 8, 8, 8
 CHAR_BUCKETS = 4096
 VOCABULARY = 4096
@@ -97,7 +99,7 @@ def _char_start(w: bytes, at: int) -> int:
 
 
 def windows_of(n: int) -> list[int]:
-    """Starts of the windows over ``n`` words: every STRIDE, the last one at the end."""
+    """Starts of the training windows over ``n`` words: every STRIDE, the last at the end."""
     if n <= LENGTH:
         return [0] if n else []
     starts = list(range(0, n - LENGTH, STRIDE))
@@ -208,6 +210,53 @@ class BiGru:
             tape.update(kept=kept, s=s, a=a, w=w, c=c)
         return c @ self.p["out"] + self.p["out_b"]
 
+    def slide(self, gates: dict[str, np.ndarray], flat: np.ndarray) -> np.ndarray:
+        """Logit of the window at every place of a row of words (LENGTH or more).
+
+        All windows take one step at once, from one row of gates seen at an offset; of the
+        states only what attention and output need is kept."""
+        n, h_dim = len(flat) - LENGTH + 1, HIDDEN
+        seen = np.zeros((LENGTH, ATTEND + 1, n), np.float32)
+        take = np.concatenate([self.p["attend"], self.p["out"][:, None]], 1).T
+        # Sigmoid and tanh by one exponential each (numpy's own tanh costs several): the signs
+        # and factors they ask for go into the weights.  An overflow gives the limit, 0 or 1.
+        scale = np.full((3 * h_dim, 1), 2, np.float32)
+        scale[:2 * h_dim] = -1
+        for k, way in enumerate("fb"):
+            x = np.ascontiguousarray(gates[way][flat].T) * scale
+            u = np.ascontiguousarray(self.p[f"u{way}"].T) * scale
+            mine = np.ascontiguousarray(take[:, k * h_dim:(k + 1) * h_dim])
+            h = np.zeros((h_dim, n), np.float32)
+            for t in range(LENGTH) if way == "f" else range(LENGTH - 1, -1, -1):
+                g, r = x[:, t:t + n], u @ h
+                zs, new = r[:2 * h_dim], r[2 * h_dim:]
+                zs += g[:2 * h_dim]
+                with np.errstate(over="ignore"):
+                    np.exp(zs, out=zs)
+                    zs += 1
+                    np.reciprocal(zs, out=zs)
+                    new *= zs[h_dim:]
+                    new += g[2 * h_dim:]
+                    np.exp(new, out=new)
+                new += 1
+                np.divide(-2, new, out=new)
+                new += 1
+                h -= new
+                h *= zs[:h_dim]
+                h += new
+                seen[t] += mine @ h
+        a = seen[:, :ATTEND]
+        a += self.p["attend_b"][:, None]
+        a *= 2
+        with np.errstate(over="ignore"):
+            np.exp(a, out=a)
+        a += 1
+        np.divide(-2, a, out=a)
+        a += 1
+        e = np.einsum("tan,a->tn", a, self.p["pick"])
+        w = np.exp(e - e.max(0))
+        return (w * seen[:, ATTEND]).sum(0) / w.sum(0) + self.p["out_b"]
+
     def gradients(self, inputs: tuple, idx: np.ndarray, mask: np.ndarray, y: np.ndarray,
                   weight: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of the weighted mean cross-entropy."""
@@ -255,7 +304,7 @@ class BiGru:
 
 
 def _stack(numbers: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All windows of all documents: document of each window, its word numbers, its mask."""
+    """The training windows of all documents: document of each window, its word numbers, its mask."""
     lens = np.fromiter(map(len, numbers), np.int64, len(numbers))
     if not lens.sum():
         return np.empty(0, np.int64), np.empty((0, LENGTH), np.int64), np.empty((0, LENGTH), bool)
@@ -271,15 +320,27 @@ def _stack(numbers: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def score_texts(model: BiGru, batch: list[bytes | None]) -> np.ndarray:
-    """Score of each text: its highest window; texts without words score 0."""
+    """Score of each text: its highest window, of those at every word; texts without words
+    score 0."""
     coder = Encoder(model.vocabulary)
     numbers = [coder.numbers(steps_of(t)) for t in batch]
     gates = model.project(model.embed(*coder.inputs(coder.new)))
-    doc, idx, mask = _stack(numbers, len(coder.new))
+    lens = np.fromiter(map(len, numbers), np.int64, len(numbers))
     best = np.full(len(batch), -np.inf)
-    for lo in range(0, len(doc), CHUNK):
-        part = slice(lo, lo + CHUNK)
-        np.maximum.at(best, doc[part], model.forward(gates, idx[part], mask[part]))
+    short, long = np.flatnonzero((lens > 0) & (lens < LENGTH)), np.flatnonzero(lens >= LENGTH)
+    _, idx, mask = _stack([numbers[k] for k in short], len(coder.new))
+    for lo in range(0, len(short), CHUNK):
+        best[short[lo:lo + CHUNK]] = model.forward(gates, idx[lo:lo + CHUNK], mask[lo:lo + CHUNK])
+    if len(long):
+        # One row of all long texts; windows that reach into the next text count for none.
+        flat = np.concatenate([numbers[k] for k in long])
+        logit = np.full(len(flat), -np.inf, np.float32)
+        for lo in range(0, len(flat) - LENGTH + 1, CHUNK):
+            part = model.slide(gates, flat[lo:lo + CHUNK + LENGTH - 1])
+            logit[lo:lo + len(part)] = part
+        first = np.cumsum(lens[long]) - lens[long]
+        ends = first + lens[long] - LENGTH + 1
+        best[long] = np.maximum.reduceat(logit, np.stack([first, ends], 1).ravel()[:2 * len(long)])[::2]
     return np.where(np.isfinite(best), _sigmoid(np.where(np.isfinite(best), best, 0)), 0.0)
 
 
