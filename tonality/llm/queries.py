@@ -11,7 +11,10 @@ from .splitters import op9_splitters
 from .token_orc import op1_token_orc
 from .tool_calls import op4_tool_calls
 from .toxicity import op2_toxicity
+from .turn_repair import op12_turn_repair
 from .voronoi_knn import op3_voronoi_knn
+from .weighted_sampling import op13_weighted_sampling
+from .whitening import op11_whitening
 from .wu_manber import op5_wu_manber
 
 QUERIES = {
@@ -25,6 +28,9 @@ QUERIES = {
     "op8_poisson_mix": op8_poisson_mix,
     "op9_splitters": op9_splitters,
     "op10_fuzzy_lines": op10_fuzzy_lines,
+    "op11_whitening": op11_whitening,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_weighted_sampling": op13_weighted_sampling,
 }
 
 SQL: dict[str, str] = {
