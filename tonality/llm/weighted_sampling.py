@@ -35,8 +35,10 @@ from .splitters import range_of
 
 SLOTS = 40
 GROUP = 8
-#: Rows a range aims at, the most ranges, and sampled rows per range (bounds the driver).
-RANGE_ROWS = 2000
+#: Rows a range aims at, ranges a task gets (so that tasks even out), the most ranges, and
+#: sampled rows per range (bounds the driver).
+RANGE_ROWS = 250
+RANGES_PER_TASK = 8
 MAX_RANGES = 65_536
 SAMPLE_PER_RANGE = 16
 
@@ -90,7 +92,7 @@ def as_text(signature: Column) -> Column:
 
 
 def _ranges(keys: DataFrame) -> tuple[list[tuple[int, int]], int]:
-    """Boundaries of (d, h) from a hashed sample, and the number of ranges aimed at."""
+    """Boundaries of (d, h) from a hashed sample, and the number of tasks for the ranges."""
     n = keys.count()
     wanted = max(1, min(MAX_RANGES, math.ceil(n / RANGE_ROWS)))
     if wanted == 1:
@@ -98,7 +100,8 @@ def _ranges(keys: DataFrame) -> tuple[list[tuple[int, int]], int]:
     chance = min(1.0, wanted * SAMPLE_PER_RANGE / n)
     drawn = keys.where(F.pmod(F.xxhash64("d", "h", F.lit(17)), F.lit(1 << 30)) < F.lit(int(chance * (1 << 30))))
     rows = sorted((r.d, r.h) for r in drawn.collect())  # about wanted x SAMPLE_PER_RANGE
-    return sorted({rows[len(rows) * k // wanted] for k in range(1, wanted)}) if rows else [], wanted
+    cuts = sorted({rows[len(rows) * k // wanted] for k in range(1, wanted)}) if rows else []
+    return cuts, min(wanted, math.ceil(n / (RANGE_ROWS * RANGES_PER_TASK)))
 
 
 def with_successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -109,7 +112,7 @@ def with_successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"),
                        F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("d"),
                        F.xxhash64(text).alias("h"))
-    cuts, n_ranges = _ranges(rows.select("d", "h"))
+    cuts, tasks = _ranges(rows.select("d", "h"))
     rows = rows.withColumn("bin", range_of(F.col("d"), F.col("h"), cuts).cast("int"))
     # One row a range: at most MAX_RANGES.  Null ids sort before the smallest id.
     key = F.struct(F.col("doc_id").isNotNull(), "d", "h")
@@ -126,7 +129,7 @@ def with_successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                      F.lit(0).cast("long").alias("d"), F.lit(0).cast("long").alias("h"),
                      F.col("to_bin").alias("bin"), F.lit(True).alias("extra")))
     both = rows.withColumn("extra", F.lit(False)).unionByName(staged(extra, "first-rows"))
-    both = both.repartition(n_ranges, "bin")
+    both = both.repartition(tasks, "bin")
     order = Window.partitionBy("bin").orderBy("extra", F.col("doc_id").isNotNull(), "d", "h", "text")
     return both.select("bin", F.row_number().over(order).cast("long").alias("nth"), "extra", "doc_id", "text",
                        F.lead("text").over(order).alias("successor"))
