@@ -4,7 +4,7 @@
 * ``score_email_csv``    -- e-mail CSV with the declared schema -> one verdict per message
 * ``score_text`` / ``score_folder_stream`` -- free texts, as a frame or as a file stream
 
-Models are stored once and reused (train only when absent).  All results are
+Each scoring program takes a model of any kind (``load_model``).  Models are stored once and reused (train only when absent).  All results are
 DataFrames; nothing is collected except model parameters.
 """
 
@@ -22,7 +22,8 @@ from .operators import evaluate as ev
 from .operators import messages as msg
 from .operators import sequence_model as sm
 from .operators import tensors as tz
-from .operators.scoring import CentroidModel, fit_centroid, pooled_corpus, score_texts
+from .operators.models import KINDS, load_model  # noqa: F401 - load_model is part of the interface
+from .operators.scoring import CentroidModel, TextModel, fit_centroid, pooled_corpus, score_texts
 from .plans import staging
 from .session import fresh_path
 from .sources import corpus as cp
@@ -30,7 +31,7 @@ from .sources import email_csv as ec
 from .sources import vectors as sv
 from .streaming import scores as st
 
-MODEL_KINDS = ("centroid", "logistic", "lstm")
+MODEL_KINDS = tuple(KINDS)
 
 
 def load_vectors(spark: SparkSession, path: str, fmt: str = "auto", dim: int | None = None) -> sv.VectorTable:
@@ -69,7 +70,8 @@ def train_and_evaluate(spark: SparkSession, corpus: DataFrame, vt: sv.VectorTabl
         members = tz.corpus_members(corpus, vt, spark).checkpoint()
         if not staging.is_complete(spark, model_path):
             model, _ = sm.train(spark, members.where(F.col("split") == "train"), vt.dim,
-                                hidden=hidden, epochs=epochs)
+                                hidden=hidden, epochs=epochs,
+                                state_path=model_path.rstrip("/") + "-training")  # a killed fit goes on
             model.save(spark, model_path)
         model = sm.SequenceModel.load(spark, model_path)
         test = members.where(F.col("split") == "test")
@@ -98,14 +100,14 @@ def bucket_documents(spark: SparkSession, docs: DataFrame, n_buckets: int, path:
     return bucketed_documents(spark, docs, path or fresh_path(spark, "documents-bucketed"), n_buckets)
 
 
-def score_email_csv(spark: SparkSession, csv_path: str, vt: sv.VectorTable, model: CentroidModel,
+def score_email_csv(spark: SparkSession, csv_path: str, vt: sv.VectorTable, model: TextModel,
                     header: bool = False) -> DataFrame:
     """The declared 27-column CSV -> (msg_key, raw_email, scores, sentiment, status, output)."""
     return msg.email_sentiment(ec.read_email_csv(spark, csv_path, header=header), vt, model, spark)
 
 
 def score_text(spark: SparkSession, texts: list[str] | DataFrame, vt: sv.VectorTable,
-               model: CentroidModel) -> DataFrame:
+               model: TextModel) -> DataFrame:
     """Free texts -> (doc_id, text, score_pos, score_neg, sentiment, status, output)."""
     if not isinstance(texts, DataFrame):
         texts = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -114,7 +116,7 @@ def score_text(spark: SparkSession, texts: list[str] | DataFrame, vt: sv.VectorT
 
 
 def score_folder_stream(spark: SparkSession, folder: str, vt: sv.VectorTable,
-                        model: CentroidModel) -> DataFrame:
+                        model: TextModel) -> DataFrame:
     """Parquet files of (doc_id, text) arriving in ``folder``; processes what is there."""
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
     return st.run_to_completion(spark, folder, schema, vt, model)

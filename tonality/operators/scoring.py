@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,14 @@ def softmax_pair(z: Column) -> tuple[Column, Column]:
     return 1.0 / (1.0 + F.exp(-z)), 1.0 / (1.0 + F.exp(z))
 
 
+class TextModel(Protocol):
+    """What text, message and stream scoring need of a model, whatever its kind."""
+
+    def score_tokens(self, trunc: DataFrame, vt: VectorTable, spark: SparkSession, id_col: str) -> DataFrame:
+        """Truncated known tokens (id, t, word) -> (id, n_known, score_pos, score_neg, sentiment),
+        one row for each text with a known word."""
+
+
 @dataclass
 class CentroidModel:
     """Linear scorer: w = mean(positive) - mean(negative), bias at the midpoint."""
@@ -57,6 +66,12 @@ class CentroidModel:
                 .withColumn("score_pos", F.round(p, digits))
                 .withColumn("score_neg", F.round(q, digits)))
 
+    def score_tokens(self, trunc: DataFrame, vt: VectorTable, spark: SparkSession, id_col: str) -> DataFrame:
+        """(id, n_known, score_pos, score_neg, sentiment) of every text with a known word."""
+        pooled = pooled_vectors(trunc, vt, spark, id_col)
+        return self.transform(pooled).select(id_col, F.col("n").alias("n_known"), "score_pos", "score_neg",
+                                             F.col("verdict").alias("sentiment"))
+
     # -- persistence (S11/S12): one-row parquet of named parameters
     def save(self, spark: SparkSession, path: str) -> None:
         spark.createDataFrame(
@@ -127,10 +142,10 @@ def stored_centroid(spark: SparkSession, sf_dir: str, vt: VectorTable) -> Centro
 _STORED: dict[str, CentroidModel] = {}
 
 
-def score_texts(df: DataFrame, vt: VectorTable, model: CentroidModel, spark: SparkSession,
+def score_texts(df: DataFrame, vt: VectorTable, model: TextModel, spark: SparkSession,
                 id_col: str = "doc_id", text_col: str = "text",
                 max_len: int | None = MAX_LENGTH, unique_ids: bool = True) -> DataFrame:
-    """Score every row of ``df`` (M5).
+    """Score every row of ``df`` (M5) with a model of any kind (``models.load_model``).
 
     Output: the input columns plus n_known, score_pos, score_neg, sentiment, status,
     output.  A null text or a text with no known word gets the invalid-input status
@@ -154,10 +169,7 @@ def score_texts(df: DataFrame, vt: VectorTable, model: CentroidModel, spark: Spa
     # joined and are appended as invalid input.
     keyed = df.where(F.col(id_col).isNotNull())
     toks = fixtures.tokens_of(keyed.select(id_col, text_col), id_col, text_col)
-    pooled = pooled_vectors(truncated_tokens(toks, vt, spark, max_len, id_col), vt, spark, id_col)
-    scored = model.transform(pooled).select(id_col, F.col("n").alias("n_known"),
-                                            "score_pos", "score_neg",
-                                            F.col("verdict").alias("sentiment"))
+    scored = model.score_tokens(truncated_tokens(toks, vt, spark, max_len, id_col), vt, spark, id_col)
     unkeyed = df.where(F.col(id_col).isNull()).select(
         "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in scored.schema.fields if f.name != id_col])
     out = keyed.join(scored, id_col, "left").unionByName(unkeyed)

@@ -8,8 +8,10 @@ lineage of whatever produced them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_root
@@ -32,19 +34,54 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
+def publish(spark: SparkSession, private: str, target: str) -> bool:
+    """Move the finished folder ``private`` to ``target``; False where another writer's
+    finished copy is there already (then ours is discarded and theirs stays).
+
+    The rename never replaces or enters an existing folder.  A half-written ``target``
+    (no ``_SUCCESS``) is removed first; two writers that both do so still publish once."""
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
+    hadoop = jvm.org.apache.hadoop.fs
+    fs, src = _fs(spark, private)
+    _, dst = _fs(spark, target)
+    for _ in range(3):
+        if is_complete(spark, target):
+            fs.delete(src, True)
+            return False
+        if fs.exists(dst):
+            fs.delete(dst, True)
+        fs.mkdirs(dst.getParent())
+        context = hadoop.FileContext.getFileContext(fs.makeQualified(dst).toUri(), sc._jsc.hadoopConfiguration())
+        none = sc._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+        try:
+            context.rename(fs.makeQualified(src), fs.makeQualified(dst), none)
+            return True
+        except Py4JJavaError:
+            if not fs.exists(src):  # the source is ours alone: moved, whatever was reported
+                return is_complete(spark, target)
+    raise OSError(f"could not publish {private} as {target}")
+
+
 def materialize_once(spark: SparkSession, df_factory: Callable[[], DataFrame], path: str,
                      fmt: str = "parquet", partition_by: Sequence[str] = ()) -> DataFrame:
     """Write the table at ``path`` unless a complete copy is there; return it read back.
 
     * absent               -> write
-    * present, no _SUCCESS -> overwrite (a half-written copy is never trusted)
+    * present, no _SUCCESS -> replace (a half-written copy is never trusted)
     * complete             -> skip the write entirely (``df_factory`` is not evaluated)
+
+    A writer works in a folder of its own and publishes it by one rename, so readers see
+    whole copies only; of several writers the first to finish wins and the others adopt
+    its copy.
     """
+    path = path.rstrip("/")
     if not is_complete(spark, path):
-        writer = df_factory().write.mode("overwrite").format(fmt)
+        private = f"{path}.writing-{uuid.uuid4().hex[:12]}"
+        writer = df_factory().write.format(fmt)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.save(path)
+        writer.save(private)
+        publish(spark, private, path)
     return spark.read.format(fmt).load(path)
 
 

@@ -472,8 +472,8 @@ def q_archive_members(spark, sf):
     return back.select(
         "member",
         F.regexp_extract(path, r"/(\d+)[^/]*$", 1).cast("bigint").alias("doc_id"),
-        F.regexp_extract(path, cp.SPLIT_RX, 1).alias("split"),
-        F.when(F.regexp_extract(path, cp.CLASS_RX, 1) == "pos", F.lit("positive"))
+        F.regexp_extract(path, cp.TREE_RX, 1).alias("split"),
+        F.when(F.regexp_extract(path, cp.TREE_RX, 2) == "pos", F.lit("positive"))
         .otherwise(F.lit("negative")).alias("sentiment"),
         F.decode("content", "UTF-8").alias("text"),
         F.octet_length("content").cast("bigint").alias("n_bytes"))
@@ -583,7 +583,7 @@ def _train_members(spark, sf, vt):
 
 @query("train_sequence_model")
 def q_train_sequence_model(spark, sf):
-    """M2: recurrent model trained by synchronous parameter averaging; loss per round."""
+    """Recurrent model trained by synchronous gradient steps; a row a minibatch."""
     vt = vector_table(spark, sf)
     _, hist = sm.train(spark, _train_members(spark, sf, vt), vt.dim, hidden=SEQ_HIDDEN)
     return hist
@@ -616,6 +616,31 @@ def q_score_sequences(spark, sf):
                                         F.col("verdict").alias("sentiment"))
 
 
+@query("email_sentiment_rnn")
+def q_email_sentiment_rnn(spark, sf):
+    """M4 with the recurrent model: every message of the e-mail table."""
+    vt = vector_table(spark, sf)
+    return msg.email_sentiment(fixtures.messages(spark, sf), vt, stored_sequence_model(spark, sf, vt), spark,
+                               scan_key=fixtures.table_path(sf, "conversations") + "#msg")
+
+
+@query("score_adhoc_rnn")
+def q_score_adhoc_rnn(spark, sf):
+    """M5, S8 with the recurrent model: free texts with status and echoed output."""
+    vt = vector_table(spark, sf)
+    return score_texts(fixtures.documents(spark, sf), vt, stored_sequence_model(spark, sf, vt), spark).select(
+        "doc_id", "text", "n_known", "score_pos", "score_neg", "sentiment", "status", "output")
+
+
+@query("stream_scores_rnn")
+def q_stream_scores_rnn(spark, sf):
+    """M6 with the recurrent model: the documents as a file stream."""
+    vt = vector_table(spark, sf)
+    schema = fixtures.read_table(spark, sf, "documents").select("doc_id", "text").schema
+    out = st.run_to_completion(spark, sf, schema, vt, stored_sequence_model(spark, sf, vt), glob="documents.parquet")
+    return out.select("doc_id", "n_known", "score_pos", "score_neg", "sentiment", "status")
+
+
 @query("sequence_evaluation")
 def q_sequence_evaluation(spark, sf):
     """A4, A5 for M2/M3: the stored recurrent model scored on the test split."""
