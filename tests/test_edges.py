@@ -211,3 +211,25 @@ def test_wide_vectors_pool_through_summarizer(spark, vocab):
     got = np.array(pooled_vectors(tok.truncated_tokens(toks, vt, spark), vt, spark).first().pooled)
     want = np.mean([vecs[w].astype(np.float32) for w in ("a", "b", "b", "c")], axis=0)
     assert got.shape == (dim,) and np.allclose(got, want, atol=1e-6)
+
+
+def test_inference_tensor_lengths_and_fill(spark, vocab):
+    """Texts above and below the maximum, and without a known word, in both ways of filling."""
+    from tonality.operators import tensors as tz
+    from tonality.sources import fixtures
+
+    vt = vocab([("a", [1.0, 2.0]), ("b", [3.0, 4.0])])
+    texts = [(1, "a x b"), (2, "a " * 7), (3, "x y"), (4, ""), (5, None), (6, "x x x x x a")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    toks = fixtures.tokens_of(docs)
+
+    def run(fill):
+        rows = tz.inference_tensors(docs, toks, vt, spark, max_len=4, fill=fill).collect()
+        return {r.doc_id: (r.out_len, r.filled, [v[0] for v in r.tensor]) for r in rows}
+
+    known, every = run("known"), run("all")
+    assert known[1] == (4, 2, [1.0, 3.0, 0.0, 0.0]) and every[1] == (4, 3, [1.0, 0.0, 3.0, 0.0])
+    assert known[2] == (7, 4, [1.0] * 4 + [0.0] * 3) == every[2]
+    assert known[3] == (4, 0, [0.0] * 4) and every[3] == (4, 2, [0.0] * 4)
+    assert known[4] == known[5] == (4, 0, [0.0] * 4)
+    assert known[6] == (4, 1, [1.0, 0.0, 0.0, 0.0]) and every[6] == (4, 4, [0.0] * 4)

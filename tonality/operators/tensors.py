@@ -7,7 +7,7 @@ masks and label tensors are array expressions over that row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import arrays as A
@@ -83,3 +83,33 @@ def inference_shape(counts: DataFrame, max_len: int = tok.MAX_LENGTH) -> DataFra
         "*",
         F.greatest(F.lit(max_len), F.col("n_known")).cast("bigint").alias("out_len"),
         F.least(F.lit(max_len), F.col("n_known")).cast("bigint").alias("filled"))
+
+
+def inference_tensors(docs: DataFrame, toks: DataFrame, vt: VectorTable, spark: SparkSession,
+                      max_len: int = tok.MAX_LENGTH, fill: str = "known", id_col: str = "doc_id") -> DataFrame:
+    """The scoring-time tensor of each text (X7), built text by text without a batch.
+
+    (id, n_tokens, n_known, out_len, filled, tensor): ``out_len`` = greatest(max_len, n_known)
+    steps of the vectors' dimension, zero beyond the filled ones.  ``fill='known'`` puts the
+    first ``max_len`` known words there; ``fill='all'`` lets every token, known or not, take
+    a step (unknown ones stay zero), as the reference's loop counts them (Q1).
+    """
+    if fill not in ("known", "all"):
+        raise ValueError("fill must be 'known' or 'all'")
+    shape = inference_shape(tok.known_counts(docs, toks, vt, spark, id_col), max_len)
+    if fill == "known":
+        steps = tok.truncated_tokens(toks, vt, spark, max_len, id_col)
+    else:
+        order = Window.partitionBy(id_col).orderBy("pos")
+        steps = (toks.withColumn("t", F.row_number().over(order).cast("bigint"))
+                 .where(F.col("t") <= max_len).select(id_col, "pos", "word", "t"))
+        shape = shape.withColumn("filled", F.least(F.lit(max_len), F.col("n_tokens")).cast("bigint"))
+    zero = F.array_repeat(F.lit(0.0).cast("float"), vt.dim)
+    seqs = (vt.join(steps, spark, "left").groupBy(id_col)
+            .agg(F.sort_array(F.collect_list(F.struct("t", F.coalesce("vector", zero).alias("vector")))).alias("_s"))
+            .select(id_col, F.transform("_s", lambda s: s["vector"]).alias("seq")))
+    none = F.array().cast("array<array<float>>")
+    return (shape.join(seqs, id_col, "left").withColumn("seq", F.coalesce("seq", none))
+            # tokens of ``fill='all'`` may outnumber the steps of a text with few known words
+            .withColumn("seq", F.slice("seq", 1, F.col("out_len").cast("int")))
+            .withColumn("tensor", A.pad_sequence("seq", "out_len", vt.dim)).drop("seq"))

@@ -398,3 +398,84 @@ SELECT split, batch_id, count(*) AS n_docs,
        list(f ORDER BY row_in_batch) AS features, list(l ORDER BY row_in_batch) AS labels,
        list(fmask ORDER BY row_in_batch) AS features_mask, list(lmask ORDER BY row_in_batch) AS labels_mask
 FROM docs GROUP BY split, batch_id"""
+
+
+# ---------------------------------------------------------------- scoring-time tensor, training by the configured rule
+
+
+def _inference_sql(steps: str, filled: str) -> str:
+    return with_(*BASE, known_cte("known", "tokens")) + f""",
+c AS (SELECT d.doc_id, coalesce(x.n_tokens, 0) AS n_tokens, coalesce(x.n_known, 0) AS n_known
+      FROM documents d LEFT JOIN (
+        SELECT doc_id, count(*) AS n_tokens,
+               count(*) FILTER (WHERE word IN (SELECT word FROM word_vectors)) AS n_known
+        FROM tokens GROUP BY doc_id) x ON d.doc_id = x.doc_id),
+steps AS ({steps}),
+sums AS (SELECT s.doc_id, s.t, list_sum(list_transform(w.vector, lambda v: CAST(v AS DOUBLE))) AS total
+         FROM steps s JOIN word_vectors w ON s.word = w.word WHERE s.t <= 256),
+grid AS (SELECT doc_id, unnest(range(1, greatest(256, n_known) + 1)) AS t FROM c),
+per AS (SELECT g.doc_id, list(round(coalesce(s.total, 0.0::DOUBLE), 6) ORDER BY g.t) AS step_sums
+        FROM grid g LEFT JOIN sums s ON g.doc_id = s.doc_id AND g.t = s.t GROUP BY g.doc_id)
+SELECT c.doc_id, c.n_known, greatest(256, c.n_known) AS out_len, least(256, {filled}) AS filled,
+       greatest(256, c.n_known) AS n_steps, p.step_sums
+FROM c JOIN per p ON c.doc_id = p.doc_id"""
+
+
+SQL["inference_tensor"] = _inference_sql("SELECT doc_id, t, word FROM known", "c.n_known")
+
+SQL["inference_tensor_all"] = _inference_sql(
+    "SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS t, word FROM tokens", "c.n_tokens")
+
+# Adam with clipping and L2 as a recursion over (step, parameter); parameter 0 is the bias,
+# whose input is 1.  A document's z is a window sum, a parameter's gradient a group mean.
+_ADAM_LR, _ADAM_L2, _ADAM_CLIP, _B1, _B2, _EPS = "0.02", "0.00001", "1.0", "0.9", "0.999", "0.00000001"
+
+
+def _adam_ctes(steps: int) -> str:
+    f = "::DOUBLE"
+    return f"""tr AS (SELECT r.doc_id, CASE WHEN r.label = 0 THEN 1 ELSE 0 END AS pos
+       FROM reviews r JOIN doc_n n ON r.doc_id = n.doc_id WHERE r.split = 'train'),
+x AS MATERIALIZED (SELECT p.doc_id, CAST(p.i AS BIGINT) AS i, p.m AS x, t.pos FROM pooled_long p JOIN tr t ON p.doc_id = t.doc_id
+      UNION ALL SELECT doc_id, 0, 1.0{f}, pos FROM tr),
+adam(step, i, u, m, v, loss, n_docs) AS (
+  SELECT 0, i, 0.0{f}, 0.0{f}, 0.0{f}, 0.0{f}, 0::BIGINT FROM (SELECT DISTINCT i FROM x)
+  UNION ALL
+  SELECT step + 1, i, u - {_ADAM_LR}{f} * (m1 / (1 - {_B1}{f} ** (step + 1))) / (sqrt(v1 / (1 - {_B2}{f} ** (step + 1))) + {_EPS}{f}),
+         m1, v1, loss, n_docs
+  FROM (SELECT step, i, u, {_B1}{f} * m + (1 - {_B1}{f}) * g AS m1, {_B2}{f} * v + (1 - {_B2}{f}) * g * g AS v1, loss, n_docs
+        FROM (SELECT step, i, u, m, v, loss, n_docs, greatest(-{_ADAM_CLIP}{f}, least({_ADAM_CLIP}{f}, g)) AS g
+              FROM (SELECT step, i, u, m, v, count(*) AS n_docs,
+                           avg((1 / (1 + exp(-2 * z)) - pos) * x) + CASE WHEN i > 0 THEN {_ADAM_L2}{f} * u ELSE 0 END AS g,
+                           avg(ln(1 + exp(CASE WHEN pos = 1 THEN -2 * z ELSE 2 * z END))) + {_ADAM_L2}{f} * any_value(uu) AS loss
+                    FROM (SELECT a.step, a.i, a.u, a.m, a.v, x.x, x.pos,
+                                 sum(a.u * x.x) OVER (PARTITION BY x.doc_id) AS z,
+                                 sum(CASE WHEN a.i > 0 THEN a.u * a.u ELSE 0 END) OVER (PARTITION BY x.doc_id) AS uu
+                          FROM adam a JOIN x ON a.i = x.i WHERE a.step < {steps}) q1
+                    GROUP BY step, i, u, m, v) q2) q3) q4)"""
+
+
+ADAM = [*TRUNC, REVIEWS, pooled_cte("trunc")]
+_RECURSIVE = "WITH RECURSIVE " + ",\n".join([*ADAM, _adam_ctes(6)]) + "\n"
+
+SQL["train_adam"] = _RECURSIVE + """
+SELECT CAST(step AS BIGINT) AS iteration, max(n_docs) AS n_docs, round(max(loss), 6) AS loss,
+       round(sum(CASE WHEN i > 0 THEN abs(u) ELSE 0 END), 6) AS weight_sum
+FROM adam WHERE step > 0 GROUP BY step"""
+
+SQL["adam_scores"] = _RECURSIVE + """,
+az AS (SELECT p.doc_id, sum(p.m * a.u) + (SELECT u FROM adam WHERE step = 6 AND i = 0) AS z
+       FROM pooled_long p JOIN adam a ON p.i = a.i WHERE a.step = 6 GROUP BY p.doc_id)
+SELECT r.doc_id, r.split, r.sentiment AS actual, coalesce(n.n, 0) AS n,
+       round(1 / (1 + exp(-2 * z)), 6) AS score_pos,
+       CASE WHEN z IS NULL THEN NULL WHEN z >= 0 THEN 'Positive' ELSE 'Negative' END AS predicted
+FROM reviews r LEFT JOIN az ON r.doc_id = az.doc_id LEFT JOIN doc_n n ON r.doc_id = n.doc_id"""
+
+# ---------------------------------------------------------------- stored models and inputs: what must hold
+
+SQL["inputs_ready"] = "SELECT * FROM (VALUES ('vectors', true), ('corpus', true), ('model', true)) t(input, present)"
+
+SQL["seeded_training"] = """SELECT * FROM (VALUES ('logistic', true), ('centroid', true), ('adam', true), ('lstm', true))
+t(model, identical)"""
+
+SQL["model_roundtrip"] = """SELECT * FROM (VALUES ('logistic', true, false, true, NULL), ('adam', true, false, true, true),
+('lstm', true, false, true, true)) t(model, trained_first, trained_second, reload_equal, resumed_equal)"""

@@ -74,6 +74,13 @@ def materialize_once(spark: SparkSession, df_factory: Callable[[], DataFrame], p
     whole copies only; of several writers the first to finish wins and the others adopt
     its copy.
     """
+    write_once(spark, df_factory, path, fmt, partition_by)
+    return spark.read.format(fmt).load(path)
+
+
+def write_once(spark: SparkSession, df_factory: Callable[[], DataFrame], path: str,
+               fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
+    """The writing half of ``materialize_once``."""
     path = path.rstrip("/")
     if not is_complete(spark, path):
         private = f"{path}.writing-{uuid.uuid4().hex[:12]}"
@@ -82,7 +89,6 @@ def materialize_once(spark: SparkSession, df_factory: Callable[[], DataFrame], p
             writer = writer.partitionBy(*partition_by)
         writer.save(private)
         publish(spark, private, path)
-    return spark.read.format(fmt).load(path)
 
 
 def staged_path(spark: SparkSession, name: str, key: str) -> str:

@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from .functions import arrays as A
 from .functions.text import verdict_text
+from .operators import adam
 from .operators import classifier as clf
 from .operators import dataset as ds
 from .operators import evaluate, tokens as tok, vectors as vec
 from .operators import messages as msg
+from .operators import models
 from .operators import project as pj
 from .operators import sequence_model as sm
 from .operators import tensors as tz
@@ -329,6 +331,26 @@ def q_inference_shape(spark, sf):
     return tz.inference_shape(tok.known_counts(docs, fixtures.tokens_of(docs), vt, spark))
 
 
+def _inference_tensor(spark, sf, fill):
+    vt = vector_table(spark, sf)
+    docs = fixtures.documents(spark, sf)
+    t = tz.inference_tensors(docs, fixtures.tokens_of(docs), vt, spark, fill=fill)
+    return t.select("doc_id", "n_known", "out_len", "filled", F.size("tensor").cast("bigint").alias("n_steps"),
+                    F.transform("tensor", lambda v: F.round(A.array_sum(v), 6)).alias("step_sums"))
+
+
+@query("inference_tensor")
+def q_inference_tensor(spark, sf):
+    """The scoring-time tensor of every document (length and sum of each step)."""
+    return _inference_tensor(spark, sf, "known")
+
+
+@query("inference_tensor_all")
+def q_inference_tensor_all(spark, sf):
+    """X7 with the reference's fill count: unknown tokens take (zero) steps too (Q1)."""
+    return _inference_tensor(spark, sf, "all")
+
+
 @query("last_step")
 def q_last_step(spark, sf):
     """Per-step centroid outputs over the padded sequence; read-out at the padded
@@ -496,7 +518,8 @@ def q_inputs_ready(spark, sf):
     staging.materialize_once(spark, lambda: fixtures.reviews(spark, sf), corpus)
     model_path = fresh_path(spark, "ready-model")
     model.save(spark, model_path)
-    return staging.require_inputs(spark, {"vectors": vt.path, "corpus": corpus, "model": model_path})
+    status = staging.require_inputs(spark, {"vectors": vt.path, "corpus": corpus, "model": model_path})
+    return status.select("input", "present")
 
 
 # ---------------------------------------------------------------- distributed classifier
@@ -529,32 +552,87 @@ def q_loss_history(spark, sf):
     return clf.loss_history(spark, clf.fit_logistic(train, dim=vt.dim))
 
 
+#: Full-batch steps of the registered fits by the configured rule.
+ADAM_STEPS = 6
+
+
+@query("train_adam")
+def q_train_adam(spark, sf):
+    """The configured rule (Adam, clipping, L2) in full-batch steps; a row a step."""
+    vt = vector_table(spark, sf)
+    train, _ = _train_test(spark, sf)
+    _, hist = adam.fit_adam(train, vt.dim, epochs=ADAM_STEPS, max_rounds=1)
+    return hist.select("iteration", "n_docs", F.round("loss", 6).alias("loss"),
+                       F.round("weight_sum", 6).alias("weight_sum"))
+
+
+@query("adam_scores")
+def q_adam_scores(spark, sf):
+    """M1: every labelled document scored by the model fitted by the configured rule."""
+    vt = vector_table(spark, sf)
+    lp = labelled_pooled(spark, sf, vt).checkpoint()
+    model, _ = adam.fit_adam(lp.where(F.col("split") == "train"), vt.dim, epochs=ADAM_STEPS, max_rounds=1)
+    return model.scorer().transform(lp).select(
+        "doc_id", "split", F.col("sentiment").alias("actual"), "n", "score_pos",
+        F.col("verdict").alias("predicted"))
+
+
+# Hidden width of the recurrent fits that are only compared with each other.
+CHECK_HIDDEN = 8
+
+
 @query("model_roundtrip")
 def q_model_roundtrip(spark, sf):
-    """Train once, store, reload; parameters and configuration equal."""
+    """Stored models are trained once, reload equal and go on training alike.
+
+    ``resumed_equal``: two rounds equal one round, a reload of the stored weights and updater
+    state, and one more (bit for bit; the L-BFGS fit keeps no updater state)."""
     vt = vector_table(spark, sf)
     train, _ = _train_test(spark, sf)
     path = fresh_path(spark, "model")
     model, trained_first = clf.fit_or_load(spark, path, train, dim=vt.dim)
     again, trained_second = clf.fit_or_load(spark, path, train, dim=vt.dim)
     _, rt = clf.save_and_verify(model, fresh_path(spark, "model-copy"))
-    return spark.createDataFrame(
-        [(trained_first, trained_second, rt.params_equal, rt.config_equal,
-          clf.params_equal(model, again))],
-        "trained_first boolean, trained_second boolean, params_equal boolean, "
-        "config_equal boolean, reload_equal boolean")
+    rows = [("logistic", trained_first, trained_second,
+             rt.params_equal and rt.config_equal and clf.params_equal(model, again), None)]
+
+    two, _ = adam.fit_adam(train, vt.dim, epochs=2, max_rounds=1)
+    one, _ = adam.fit_adam(train, vt.dim, epochs=1, max_rounds=1)
+    at = fresh_path(spark, "adam")
+    absent = not staging.is_complete(spark, at)
+    one.save(spark, at)
+    back = models.load_model(spark, at)
+    more, _ = adam.fit_adam(train, vt.dim, epochs=1, max_rounds=1, model=back)
+    rows.append(("adam", absent, not staging.is_complete(spark, at), back.same_as(one), more.same_as(two)))
+
+    members = _train_members(spark, sf, vt).checkpoint()
+    state, at = fresh_path(spark, "lstm-fit"), fresh_path(spark, "lstm")
+    whole, _ = sm.train(spark, members, vt.dim, hidden=CHECK_HIDDEN, max_rounds=2)
+    sm.train(spark, members, vt.dim, hidden=CHECK_HIDDEN, max_rounds=2, state_path=state, stop_after=1)
+    resumed, _ = sm.train(spark, members, vt.dim, hidden=CHECK_HIDDEN, max_rounds=2, state_path=state)
+    absent = not staging.is_complete(spark, at)
+    resumed.save(spark, at)
+    rows.append(("lstm", absent, not staging.is_complete(spark, at),
+                 models.load_model(spark, at).same_as(resumed), resumed.same_as(whole)))
+    return spark.createDataFrame(rows, "model string, trained_first boolean, trained_second boolean, "
+                                       "reload_equal boolean, resumed_equal boolean")
 
 
 @query("seeded_training")
 def q_seeded_training(spark, sf):
-    """M8: the same seed and input give the same parameters, for both linear models."""
+    """M8: the same seed and rows give the same parameters, for every kind of model; those of
+    exact sums also when the rows are dealt over other partitions."""
     vt = vector_table(spark, sf)
     train, _ = _train_test(spark, sf)
     a, b = clf.fit_logistic(train, dim=vt.dim), clf.fit_logistic(train, dim=vt.dim)
     c1, c2 = train_centroid(spark, sf, vt), train_centroid(spark, sf, vt)
+    d1, d2 = (adam.fit_adam(train.repartition(p), vt.dim, max_rounds=1)[0] for p in (2, 7))
+    members = _train_members(spark, sf, vt).checkpoint()
+    e1, e2 = (sm.train(spark, members.repartition(p), vt.dim, hidden=CHECK_HIDDEN, max_rounds=1)[0] for p in (2, 7))
     return spark.createDataFrame(
         [("logistic", clf.params_equal(a, b)),
-         ("centroid", c1.weights == c2.weights and c1.bias == c2.bias)],
+         ("centroid", c1.weights == c2.weights and c1.bias == c2.bias),
+         ("adam", d1.same_as(d2)), ("lstm", e1.same_as(e2))],
         "model string, identical boolean")
 
 
