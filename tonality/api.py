@@ -26,6 +26,7 @@ from .operators.models import KINDS, load_model  # noqa: F401 - load_model is pa
 from .operators.scoring import CentroidModel, TextModel, fit_centroid, pooled_corpus, score_texts
 from .plans import staging
 from .session import fresh_path
+from .sources import binary_vectors as bv
 from .sources import corpus as cp
 from .sources import email_csv as ec
 from .sources import vectors as sv
@@ -35,12 +36,15 @@ MODEL_KINDS = tuple(KINDS)
 
 
 def load_vectors(spark: SparkSession, path: str, fmt: str = "auto", dim: int | None = None) -> sv.VectorTable:
-    """Stage a word-vector table (parquet with word/vector, or a text vector file, .gz
-    allowed) in the shared folder and measure it."""
+    """Stage a word-vector table (parquet with word/vector, or a text or binary vector file,
+    .gz allowed) in the shared folder and measure it."""
     if fmt == "auto":
-        fmt = "parquet" if path.rstrip("/").endswith(".parquet") else "text"
+        name = path.rstrip("/")
+        fmt = ("parquet" if name.endswith(".parquet") else "binary" if name.endswith((".bin", ".bin.gz")) else "text")
     if fmt == "parquet":
         df = spark.read.parquet(path).select("word", F.col("vector").cast("array<float>"))
+    elif fmt == "binary":
+        df = bv.read_vector_binary(spark, path)
     else:
         df = sv.read_vector_text(spark, path, dim)
     return sv.stage_vectors(spark, df, fresh_path(spark, "vectors"))

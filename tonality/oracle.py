@@ -364,6 +364,8 @@ SQL["email_csv_scan"] = with_(MESSAGES27) + "SELECT * FROM msgs27"
 
 SQL["gzip_scan"] = with_(*BASE) + "SELECT word, CAST(vector AS DOUBLE[]) AS vector FROM word_vectors"
 
+SQL["binary_vectors"] = SQL["word_vectors"]
+
 SQL["archive_members"] = with_(REVIEWS) + """
 SELECT 'corpus/' || split || '/' || CASE WHEN label = 0 THEN 'pos' ELSE 'neg' END || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS member,
        doc_id, split, sentiment, text, CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes

@@ -29,6 +29,7 @@ from .operators.vectors import round_array
 from .plans import staging
 from .session import fresh_path
 from .sources import archives as ar
+from .sources import binary_vectors as bv
 from .sources import corpus as cp
 from .sources import email_csv as ec
 from .sources import fixtures
@@ -476,6 +477,16 @@ def q_gzip_scan(spark, sf):
     return back.select("word", _vec_double().alias("vector"))
 
 
+@query("binary_vectors")
+def q_binary_vectors(spark, sf):
+    """The word vectors as binary files, split by record and read back with their ranks."""
+    vt = vector_table(spark, sf)
+    path = fresh_path(spark, "vectors-bin")
+    bv.write_vector_binary(vt.frame(spark), path, files=max(1, -(-vt.vector_bytes // bv.SPLIT_BYTES)))
+    return bv.read_vector_binary(spark, path, split_bytes=1 << 16).select(
+        "word", "vec_id", _vec_double().alias("vector"))
+
+
 @query("archive_members")
 def q_archive_members(spark, sf):
     """The labelled corpus packed into tar.gz archives, members read back as rows."""
@@ -488,7 +499,7 @@ def q_archive_members(spark, sf):
         F.concat_ws("/", F.lit("corpus"), F.col("split"), cls,
                     F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))).alias("member"),
         F.encode(F.col("text"), "UTF-8").alias("content"))
-    ar.write_archives(members, root, "bucket").collect()  # one row per archive
+    ar.write_archives(members, root, "bucket", n_arch)
     back = ar.read_archive_members(spark, root)
     path = F.concat(F.lit("/"), F.col("member"))
     return back.select(

@@ -5,7 +5,7 @@ the shared scratch folder, S9) and measures it: row count, dimension and the
 longest word.  Those measured numbers are what the joins use to decide whether
 the word side may be broadcast.
 
-The text form is the usual word-vector text file: one word per line followed by
+Binary files are read by ``binary_vectors.py``.  The text form is the usual word-vector text file: one word per line followed by
 its components separated by single spaces; ``.gz`` files are read by suffix.
 """
 
@@ -148,14 +148,27 @@ def write_vector_text(df: DataFrame, path: str, compression: str | None = None)
 def read_vector_text(spark: SparkSession, path: str, dim: int | None = None) -> DataFrame:
     """word, vector (array<float>) from a text vector file (plain or .gz).
 
-    ``dim`` keeps the first ``dim`` components (the header line of a word2vec text
-    file, two integers, is skipped because it has no float after a word).
+    A line of two whole numbers whose second is the vectors' length is the header and makes
+    no row; empty lines are passed over.  Every other line must hold a word and as many
+    components as the others (``dim``, or the header's, or the commonest number): a line
+    that does not, or holds what is no number, raises with its file and its beginning.
     """
-    parts = F.split(F.col("value"), " ")
-    comps = F.slice(parts, 2, F.size(parts) - 1)
-    if dim is not None:
-        comps = F.slice(parts, 2, dim)
-    out = (spark.read.text(path)
-           .select(F.element_at(parts, 1).alias("word"),
-                   F.transform(comps, lambda x: x.cast("float")).alias("vector")))
-    return out.where(F.size("vector") > 1)
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.split(F.rtrim("value"), " ").alias("parts"))
+    lines = lines.where(F.rtrim("value") != "")
+    n = F.size("parts") - 1
+    two = (n == 1) & F.forall("parts", lambda p: p.rlike("^[0-9]+$"))
+    if dim is None:
+        sizes = lines.groupBy(n.alias("n"), two.alias("two")).agg(
+            F.count(F.lit(1)).alias("k"), F.max(F.element_at("parts", -1)).alias("last")).collect()  # a row a length
+        best = max((r for r in sizes if not r.two), key=lambda r: (r.k, r.n), default=None)
+        heads = [int(r["last"]) for r in sizes if r.two]
+        dim = (heads[0] if len(heads) == 1 and best is not None and any(r.n == heads[0] for r in sizes if not r.two)
+               else best.n if best is not None else 1)
+    header = two & (F.element_at("parts", -1).try_cast("int") == dim) if dim != 1 else F.lit(False)
+    word = F.element_at("parts", 1)
+    comps = F.transform(F.slice("parts", 2, n), lambda x: x.try_cast("float"))
+    wrong = (n != dim) | F.exists(comps, lambda x: x.isNull()) | (word == "")
+    told = F.concat(F.lit(f"not a word and {dim} numbers in "), F.col("file"), F.lit(": "), F.left("value", F.lit(80)))
+    checked = F.when(wrong, F.raise_error(told).cast("array<float>")).otherwise(comps)
+    return lines.where(~header).select(word.alias("word"), checked.alias("vector"))
