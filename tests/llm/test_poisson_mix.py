@@ -74,3 +74,23 @@ def test_odd_rows(spark):
 def test_plan_is_native(spark, sf):
     plan = P.op8_poisson_mix(spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_null_and_repeated_ids_draw_apart(spark):
+    """Half of the rows without an id, some ids repeated, some rows wholly equal."""
+    rows = [(None if i % 2 else i, "s", f"text {i}") for i in range(20_000)]
+    rows += [(7, "s", f"again {i}") for i in range(2_000)] + [(None, "s", "the same")] * 2_000
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    total = None
+    for parts in (3, 8):
+        got = P.poisson_mix(df.repartition(parts)).cache()
+        by = {r.kind: r.n for r in got.groupBy(F.expr(
+            "CASE WHEN text = 'the same' THEN 'same' WHEN text LIKE 'again%' THEN 'again' WHEN doc_id IS NULL THEN 'null' "
+            "ELSE 'id' END").alias("kind")).agg(F.count("*").alias("n")).collect()}
+        for kind, n in (("null", 10_000), ("id", 10_000), ("again", 2_000), ("same", 2_000)):
+            assert abs(by[kind] - n) < 4 * n ** 0.5
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) <= 2 * sum(sizes) / len(sizes)
+        total = got.count() if total is None else total
+        assert got.count() == total  # the draws do not follow the partitions
+        got.unpersist()

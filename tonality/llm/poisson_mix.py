@@ -6,15 +6,17 @@ of its source's rate at a uniform number hashed from (seed, doc_id), is exploded
 count, and all copies are shuffled globally by a hash of (seed, doc_id, copy).
 
 No draw depends on another row, so the result does not change with partitioning, task
-retries or the order of the input; a hot source is only more rows of the same scan.
+retries or the order of the input; a hot source is only more rows of the same scan.  Rows
+whose id is null or occurs more than once draw by (id, hash of the row, number among equal
+rows): each has a draw and a place of its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import ID_BROADCAST_BYTES, staged
 
 #: Rates above this are drawn as a sum of equal parts (a sum of Poisson draws is Poisson).
 PART_RATE = 16.0
@@ -71,6 +73,23 @@ def source_rates(docs: DataFrame, source_col: str = "source", targets: DataFrame
                                           / F.col("n")).alias("rate"))
 
 
+def _own_draws(rows: DataFrame) -> DataFrame:
+    """``rows`` with an ``id`` for every row: its own where that is unique, else the id with
+    the hash of the row and its number among equal rows.  Only such rows are shuffled."""
+    counts = rows.groupBy("id").agg(F.count(F.lit(1)).alias("k"))
+    shared = staged(counts.where("k > 1 OR id IS NULL").select(F.col("id").alias("s_id")), "mix-shared-ids")
+    n = shared.count()
+    if not n:
+        return rows
+    few = F.broadcast(shared) if n * 64 <= ID_BROADCAST_BYTES else shared.hint("merge")
+    same = rows.id.eqNullSafe(F.col("s_id"))
+    odd = rows.join(few, same, "left_semi").withColumn("h", F.xxhash64("row"))
+    nth = F.row_number().over(Window.partitionBy("id", "h").orderBy("h"))
+    odd = odd.withColumn("id", F.concat_ws("|", F.coalesce("id", F.lit("null")), F.col("h").cast("string"),
+                                           nth.cast("string"))).drop("h")
+    return rows.join(few, same, "left_anti").unionByName(odd)
+
+
 def poisson_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
                 targets: DataFrame | None = None, total: int | None = None,
                 temperature: float = 0.5, seed: int = SEED) -> DataFrame:
@@ -79,13 +98,14 @@ def poisson_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     names are replaced.
 
     The order of the result is the order of its partitions, each sorted by the hashed key.
-    Null sources are one source; a null id draws as the text "null"; rows of equal id draw
-    equal counts.  An empty table gives an empty result.
+    Null sources are one source.  Rows without an id, and rows of one id, draw apart from each
+    other, equal rows included.  An empty table gives an empty result.
     """
     keep = [c for c in docs.columns if c not in ("copy", "rate", "shuffle_key")]
     rows = docs.select(
         F.struct(*[docs[c] for c in keep]).alias("row"), docs[source_col].alias("source"),
-        F.coalesce(docs[id_col].cast("string"), F.lit("null")).alias("id"))
+        docs[id_col].cast("string").alias("id"))
+    rows = _own_draws(rows)
     rates = source_rates(docs, source_col, targets, total, temperature)
     parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / F.lit(PART_RATE)).cast("int"))
     rates = rates.select(F.col("source").alias("r_source"), "rate", parts.alias("parts"),
