@@ -73,3 +73,16 @@ def test_written_shards(spark):
     back = spark.read.parquet(path)
     assert sorted((r.doc_id, r.shard) for r in back.collect()) == sorted((r.doc_id, r.shard) for r in placed.collect())
     assert back.count() == 400
+
+
+def test_written_shards_hold_every_row_once(spark):
+    """Repeated ids, null ids, equal rows and rows that differ in another column only."""
+    rows = [(1, "a", 0), (1, "a", 1), (1, "a", 1), (1, "b", 2), (2, "c", 3), (None, "n", 4), (None, "n", 4), (None, None, 5),
+            (3, None, 6)] + [(9, "hot", k) for k in range(60)]
+    df = spark.createDataFrame([(t, i, x, 8) for i, t, x in rows], "text string, doc_id bigint, x int, shard int")
+    path = fresh_path(spark, "written-shards")
+    placed = S.write_shards(df, path, 4)
+    back = spark.read.parquet(path).collect()
+    key = lambda r: tuple((v is not None, v) if not isinstance(v, bool) else v for v in r)
+    assert sorted(((r.doc_id, r.text, r.x) for r in back), key=key) == sorted(rows, key=key)
+    assert sorted((r.shard, r.slot) for r in back) == sorted((r.shard, r.slot) for r in placed.collect())

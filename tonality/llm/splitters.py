@@ -86,6 +86,11 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", te
     checksum 0; null ids sort first; equal rows are neighbours; other columns stay out.
     An empty table gives an empty result.
     """
+    return _placed(docs, shards, id_col, text_col, range_bytes).drop("h", "d")
+
+
+def _placed(docs: DataFrame, shards: int, id_col: str, text_col: str, range_bytes: int) -> DataFrame:
+    """``shard_rows`` with the row key (h, d): equal for rows of equal id and text only."""
     rows = staged(measured(docs, id_col, text_col), "shard-rows")
     total = int(rows.agg(F.sum("size")).first()[0] or 1)
     n_ranges = max(4 * shards, min(MAX_RANGES, math.ceil(total / range_bytes)))
@@ -118,28 +123,34 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", te
     # The middle of a row decides, in whole numbers.
     middle = (F.col("base_bytes") + F.col("upto")) * 2 - F.col("size")
     placed = placed.select(
-        "doc_id", "size", "text_crc32",
+        "doc_id", "size", "text_crc32", "h", "d",
         F.least(F.lit(shards - 1), F.floor(middle * shards / F.lit(2.0 * total))).cast("int").alias("shard"),
         (F.col("base_rows") + F.col("nth") - 1).alias("ordinal"))
     placed = staged(placed, "shard-placed")
     firsts = placed.groupBy("shard").agg(F.min("ordinal").alias("first")).withColumnRenamed("shard", "f_shard")
     return (placed.join(F.broadcast(firsts), F.col("shard") == F.col("f_shard"))  # one row per shard
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-                    (F.col("ordinal") - F.col("first")).cast("long").alias("slot")))
+                    (F.col("ordinal") - F.col("first")).cast("long").alias("slot"), "h", "d"))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """Write ``docs`` as one folder per shard (``shard=k``) and return the placement.
 
-    Ids must be unique here: the rows find their shard by id.
-    """
-    placed = shard_rows(docs, shards, id_col, text_col)
-    at = placed.select(F.col("doc_id").alias("_s_id"), "shard", "slot")
-    (docs.drop("shard", "slot").join(at, docs[id_col].eqNullSafe(F.col("_s_id"))).drop("_s_id")
+    Every row is written once: rows find their place by (id, text hash) and their number
+    among rows of equal id and text, which may take each other's places.  Columns of
+    ``docs`` named shard or slot are replaced."""
+    placed = staged(_placed(docs, shards, id_col, text_col, RANGE_BYTES), "shard-slots")
+    keyed = docs.drop("shard", "slot").select(
+        "*", F.coalesce(docs[id_col].cast("long"), F.lit(-(1 << 63))).alias("_s_d"),
+        F.xxhash64(docs[text_col].cast("string").cast("binary")).alias("_s_h"))
+    keyed = keyed.withColumn("_s_n", F.row_number().over(Window.partitionBy("_s_d", "_s_h").orderBy("_s_d")))
+    at = placed.select(F.col("d").alias("_s_d"), F.col("h").alias("_s_h"), F.row_number().over(
+        Window.partitionBy("d", "h").orderBy("shard", "slot")).alias("_s_n"), "shard", "slot")
+    (keyed.join(at.hint("merge"), ["_s_d", "_s_h", "_s_n"]).drop("_s_d", "_s_h", "_s_n")
      .repartition("shard", F.floor(F.col("slot") / 50_000))
      .sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path))
-    return placed
+    return placed.drop("h", "d")
 
 
 def op9_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
