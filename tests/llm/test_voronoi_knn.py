@@ -53,3 +53,13 @@ def test_odd_rows(spark):
     assert run(spark, [(0, [1.0]), (1, [2.0])]) == [(0, 1, 1, 256 * 512)]
     big = [(0, [1e9, 3.0]), (1, [1e9, 5.0]), (2, [-1e9, 1.0])]
     assert [r[2] for r in run(spark, [(i, [c / 256 for c in v]) for i, v in big])] == [1, 2]
+
+
+def test_products_beyond_doubles_are_exact():
+    import numpy as np
+
+    big = float((1 << 29) + 2)
+    q, x = np.array([[big, 1.0]]), np.array([[big * 2, 1.0], [big * 2, 2.0]])
+    assert V._products(q, x).tolist() == [[int(big) * int(big) * 2 + 1, int(big) * int(big) * 2 + 2]]
+    far = np.array([[2.0 ** 40]])
+    assert V._products(far, np.array([[2.0 ** 40], [-2.0 ** 40]])).tolist() == [[2 ** 63 - 1, -(2 ** 63)]]

@@ -68,9 +68,11 @@ def _matrix(lists: pa.Array, dim: int) -> np.ndarray:
 
 
 def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact integer inner products: float64 while all partial sums stay below 2^53."""
+    """Exact integer inner products: float64 while all partial sums stay below 2^53, Python
+    integers beyond.  Products that exceed a long read as the nearest long."""
     if q.size and x.size and q.shape[1] * np.abs(q).max() * np.abs(x).max() >= 2.0 ** 53:
-        return (q.astype(object) @ x.astype(object).T)
+        whole = np.frompyfunc(int, 1, 1)
+        return np.clip(whole(q) @ whole(x).T, -(1 << 63), (1 << 63) - 1)
     return q @ x.T
 
 
