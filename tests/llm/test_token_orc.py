@@ -70,3 +70,11 @@ def test_query_equals_library(spark, sf, tok):
             spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()]
     got = sorted(tuple(r) for r in T.op1_token_orc(spark, sf).collect())
     assert got == expected(docs, tok)
+
+
+def test_files_follow_by_number_not_by_name(spark):
+    """From 100,000 files on part names no longer sort like part numbers."""
+    from pyspark.sql import functions as F
+    files = spark.range(100_001).select(F.format_string("part-%05d-x.orc", "id").alias("file"), F.lit(2).cast("bigint").alias("n_tokens"))
+    base = {r.file: r.base for r in T.with_bases(files).where("file IN ('part-00001-x.orc', 'part-99999-x.orc', 'part-100000-x.orc')").collect()}
+    assert base == {"part-00001-x.orc": 2, "part-99999-x.orc": 199_998, "part-100000-x.orc": 200_000}

@@ -205,15 +205,20 @@ def _data(spark: SparkSession, path: str) -> DataFrame:
 def _write_manifest(spark: SparkSession, path: str) -> None:
     """One row per file from the two narrow columns; the running sum is over files only.
 
-    Files of equal first id follow each other by name: part numbers ascend with the
-    ranges they were written from."""
+    Files follow each other by their part numbers, which ascend with the ranges they were
+    written from (as numbers: from the 100,000th file on, names do not sort like them)."""
     files = (_data(spark, path)
              .groupBy(F.col("_metadata.file_name").alias("file"))
              .agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"),
                   F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens")))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    (files.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
-     .coalesce(1).write.orc(f"{path}/manifest"))
+    with_bases(files).coalesce(1).write.orc(f"{path}/manifest")
+
+
+def with_bases(files: DataFrame) -> DataFrame:
+    """(file, n_tokens, ...) with ``base``: the ids of all files before it."""
+    part = F.regexp_extract("file", r"part-(\d+)", 1).cast("bigint")
+    before = Window.orderBy(part, "file").rowsBetween(Window.unboundedPreceding, -1)
+    return files.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
