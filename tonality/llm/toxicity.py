@@ -503,7 +503,8 @@ def score_documents(docs: DataFrame, model: BiGru | None, score_col: str = "scor
 
 
 def is_held_out() -> Column:
-    return F.pmod(crc_of_id(F.col("doc_id")), F.lit(3)) == 1
+    """Whether a row is held out by its id; rows without an id are not."""
+    return F.coalesce(F.pmod(crc_of_id(F.col("doc_id")), F.lit(3)) == 1, F.lit(False))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
