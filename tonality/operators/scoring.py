@@ -20,7 +20,7 @@ from ..functions.text import INVALID_INPUT, echo_output, verdict, verdict_text
 from ..sources import fixtures
 from ..sources.vectors import VectorTable
 from .tokens import MAX_LENGTH, truncated_tokens
-from .vectors import mean_vector, pooled_vectors
+from .vectors import pooled_vectors, whole_mean
 
 STATUS_OK = "OK"
 # Bumped whenever training changes, so stored models from older code are not reused.
@@ -91,7 +91,7 @@ def fit_centroid(pooled: DataFrame, dim: int, label_col: str = "label") -> Centr
     One aggregate with a partial phase; the result is two rows (one per class).
     """
     means = (pooled.where(F.col("pooled").isNotNull())
-             .groupBy(label_col).agg(mean_vector("pooled", dim).alias("m"))
+             .groupBy(label_col).agg(whole_mean("pooled").alias("m"))
              .collect())
     by_label = {int(r[label_col]): [float(x) for x in r["m"]] for r in means}
     if 0 not in by_label or 1 not in by_label:

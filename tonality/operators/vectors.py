@@ -28,6 +28,12 @@ def mean_vector(vector_col: str, dim: int):
         # keeps the aggregate under the code generator's field limit.
         n = F.count(F.col(vector_col))
         return F.array(*[F.sum(F.col(vector_col)[i].cast("double")) / n for i in range(dim)])
+    return whole_mean(vector_col)
+
+
+def whole_mean(vector_col: str):
+    """The same by one typed buffer for the whole vector: for few groups of many rows, where
+    generated code with a sum per dimension costs more to compile than to run."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
 
