@@ -134,3 +134,29 @@ def test_every_window_is_scored():
     for at in range(24):
         text = b" ".join([*quiet[:at], passage, *quiet[at:]])
         assert T.score_texts(model, [text])[0] >= alone - 1e-5
+
+
+def test_stems_whose_words_never_repeat():
+    """Toxic words that share a stem only, each in one document: n-grams carry them."""
+    rnd = random.Random(7)
+    syl = ["ta", "re", "mi", "son", "ol", "gra", "pe"]
+    word = lambda lo: "".join(rnd.choice(syl) for _ in range(rnd.randrange(lo, lo + 4)))
+
+    def text(y):
+        words = [word(1) for _ in range(rnd.randrange(20, 120))]
+        for _ in range(3 if y else 0):
+            words[rnd.randrange(len(words))] = "vekq" + word(3)
+        return " ".join(words).encode()
+
+    rows = [(k, text(k % 4 == 0), int(k % 4 == 0)) for k in range(600)]
+    model = T.fit([r for r in rows if r[0] < 400])
+    held = [r for r in rows if r[0] >= 400]
+    said = T.score_texts(model, [t for _, t, _ in held]) >= T.THRESHOLD
+    assert np.mean(said == [bool(y) for *_, y in held]) > 0.95
+
+
+def test_equal_fit_from_rows_in_any_order():
+    rows = corpus(120)
+    one, two = T.fit(rows, steps=20), T.fit(rows[::-1], steps=20)
+    assert one.vocabulary == two.vocabulary
+    assert all(np.array_equal(one.p[k], two.p[k]) for k in one.p)

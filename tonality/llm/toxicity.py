@@ -5,16 +5,19 @@ share a zero vector) next to the mean of hashed character n-gram embeddings, so
 spellings still carry information.  A forward and a backward GRU run over windows of
 ``LENGTH`` words; attention pools their states; a logistic unit scores the window.  A
 window starts at every word of a text, whatever its length, and the text's score is its
-highest window.
+highest window.  Gates and states use x / (1 + |x|) in place of tanh: the recurrence is
+bounded alike, and a step needs no exponential.
 
-Training: documents carry the label, not windows.  Word statistics over the training
-documents nominate the window of a toxic document that speaks most for its label; the
+Training: documents carry the label, not windows.  Statistics of words and of their
+character n-grams (a stem whose endings never repeat shows in these alone) over the
+training documents nominate the window of a toxic document that speaks most for its label; the
 network trains on those against windows of clean documents (of the sample, windows at
 every ``STRIDE`` words are taken), then nominates windows itself, and toxic documents in which neither finds anything (label noise) leave the
 training set.  Clean windows that score high are trained on again.
 
 The fit uses a bounded sample of labelled rows (``max_toxic``, ``max_clean``,
-``max_bytes`` per text): a fixed-size model that learns from a few thousand documents.
+``max_bytes`` per text): a fixed-size model that learns from a few thousand documents, in
+one task of that bounded size; the driver gets the model alone.
 Scoring reads every whole text, once, without a shuffle; a worker projects each distinct
 word of its batch once and all windows share those projections.
 """
@@ -22,8 +25,8 @@ word of its batch once and all windows share those projections.
 from __future__ import annotations
 
 import itertools
+import pickle
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,10 +41,18 @@ LENGTH = 16
 #: Words between the windows of the training sample; scoring takes every window.
 STRIDE = 12
 HIDDEN, WORD_DIM, CHAR_DIM, ATTEND = 8, 8, 8, 8
-CHAR_BUCKETS = 4096
+#: Buckets of the n-gram embeddings, and of the n-gram counts of the fit; as bits of a hash.
+CHAR_BITS, COUNT_BITS = 14, 20
+CHAR_BUCKETS = 1 << CHAR_BITS
 VOCABULARY = 4096
-CHUNK = 4096
+CHUNK = 2048
+#: Weight decay of the embeddings: n-grams that few windows hold are not learned by heart.
+DECAY = 1.0
+#: Distinct words embedded at a time.
+EMBED_WORDS = 8192
 THRESHOLD = 0.7
+#: Deviations no chance maximum over all n-grams reaches: more than this nominates a window.
+SURE = 5.0
 
 #: The bounded sample the classifier is fitted on.
 MAX_TOXIC, MAX_CLEAN, MAX_BYTES = 2000, 2500, 64 << 10
@@ -50,28 +61,37 @@ MAX_TOXIC, MAX_CLEAN, MAX_BYTES = 2000, 2500, 64 << 10
 #: Longer words (texts without spaces) become overlapping pieces of PIECE bytes, a step
 #: each, so no n-gram of them is lost.
 WORD_BYTES, PIECE, PIECE_STEP = 64, 24, 12
-_MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
+_MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1], np.uint32)
+GRAMS = np.array([3, 4, 5])
 
 
-def char_slots(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the 2- to 4-grams of every word with its ends marked, in a row; and how
-    many each word has."""
+def gram_hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the 3- to 5-grams of every word with its ends marked, in a row; and how
+    many each word has (at least one)."""
     if not words:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.uint32), np.empty(0, np.int64)
     marked = [b"<" + w + b">" for w in words]
     lens = np.fromiter(map(len, marked), np.int64, len(marked))
-    flat = np.frombuffer(b"".join(marked) + b"\0\0\0", np.uint8).astype(np.uint32)
+    flat = np.frombuffer(b"".join(marked) + b"\0" * GRAMS[-1], np.uint8).astype(np.uint32)
     left = np.repeat(np.cumsum(lens), lens) - np.arange(lens.sum())  # bytes to the word's end
     size = len(left)
-    grams = np.empty((size, 3), np.int64)
+    grams = np.empty((size, len(GRAMS)), np.uint32)
     h = flat[:size] * _MULTIPLIERS[0]
-    for n in (2, 3, 4):
+    for n in range(2, GRAMS[-1] + 1):
         h = (h ^ flat[n - 1:size + n - 1]) * _MULTIPLIERS[n - 1]
-        grams[:, n - 2] = (h >> np.uint32(20)) % CHAR_BUCKETS
-    fits = left[:, None] >= np.array([2, 3, 4])
+        if n >= GRAMS[0]:
+            grams[:, n - GRAMS[0]] = h ^ (h >> np.uint32(15))
+    grams *= _MULTIPLIERS[0]
+    fits = left[:, None] >= GRAMS
     return grams[fits], np.add.reduceat(fits.sum(1), np.cumsum(lens) - lens)
 
 
+def char_slots(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Embedding buckets of the n-grams of every word, in a row; and how many each word has."""
+    grams, n = gram_hashes(words)
+    return (grams >> np.uint32(32 - CHAR_BITS)).astype(np.int32), n
+
+
 def steps_of(text: bytes | None) -> list[bytes]:
     """Words of a text; those of more than WORD_BYTES bytes as overlapping pieces, cut
     between UTF-8 characters."""
@@ -119,7 +139,7 @@ class Encoder:
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         local = self.local
-        for w in set(words).difference(local):
+        for w in sorted(set(words).difference(local)):
             local[w] = len(local)
             self.new.append(w)
         return np.fromiter(map(local.__getitem__, words), np.int32, len(words))
@@ -134,11 +154,21 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
+def _squash(x: np.ndarray) -> np.ndarray:
+    """x / (1 + |x|), between -1 and 1; its derivative is (1 - |y|)^2 at the value y."""
+    return x / (1 + np.abs(x))
+
+
+def _gate(x: np.ndarray) -> np.ndarray:
+    return 0.5 * (1 + _squash(x))
+
+
 def _sum_rows(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """Sum of the rows of each place."""
     out = np.zeros((n, rows.shape[1]), np.float32)
     if len(at):
-        order = np.argsort(at, kind="stable")
+        # 16-bit keys are sorted by radix, several times as fast.
+        order = np.argsort(at.astype(np.uint16) if n <= 1 << 16 else at, kind="stable")
         first = np.flatnonzero(np.diff(at[order], prepend=-1))
         out[at[order][first]] = np.add.reduceat(rows[order], first, axis=0)
     return out
@@ -166,9 +196,14 @@ class BiGru:
         """Inputs of distinct words: [words, WORD_DIM + CHAR_DIM]."""
         if not len(rows):
             return np.zeros((0, WORD_DIM + CHAR_DIM), np.float32)
-        at = np.cumsum(n) - n
-        chars = np.add.reduceat(self.p["char"][slots], at, axis=0) / n[:, None].astype(np.float32)
-        return np.concatenate([self.p["word"][rows], chars], 1)
+        at, out = np.cumsum(n) - n, np.empty((len(rows), WORD_DIM + CHAR_DIM), self.p["char"].dtype)
+        out[:, :WORD_DIM] = self.p["word"][rows]
+        for lo in range(0, len(rows), EMBED_WORDS):
+            part = slice(lo, lo + EMBED_WORDS)
+            first, end = at[lo], at[part][-1] + n[part][-1]
+            sums = np.add.reduceat(self.p["char"][slots[first:end]], at[part] - first, axis=0)
+            out[part, WORD_DIM:] = sums / n[part, None].astype(np.float32)
+        return out
 
     def project(self, x: np.ndarray) -> dict[str, np.ndarray]:
         """Input part of all gates; the last row stands for padding."""
@@ -183,9 +218,9 @@ class BiGru:
         full = bool(mask.all())
         for t in order:
             g, r = gates[idx[:, t]], h @ u
-            zr = _sigmoid(g[:, :2 * h_dim] + r[:, :2 * h_dim])
+            zr = _gate(g[:, :2 * h_dim] + r[:, :2 * h_dim])
             z, s = zr[:, :h_dim], zr[:, h_dim:]
-            new = np.tanh(g[:, 2 * h_dim:] + s * r[:, 2 * h_dim:])
+            new = _squash(g[:, 2 * h_dim:] + s * r[:, 2 * h_dim:])
             nxt = h + (1 - z) * (new - h)
             if not full:
                 nxt = np.where(mask[:, t, None], nxt, h)
@@ -200,7 +235,7 @@ class BiGru:
         kept: dict = {"f": [], "b": []}
         s = np.concatenate([self._run(w, gates[w], idx, mask, kept[w] if tape is not None else None)
                             for w in "fb"], 2)
-        a = np.tanh(s @ self.p["attend"] + self.p["attend_b"])
+        a = _squash(s @ self.p["attend"] + self.p["attend_b"])
         e = a @ self.p["pick"]
         e = np.where(mask.T, e, -1e9)
         w = np.exp(e - e.max(0))
@@ -218,41 +253,38 @@ class BiGru:
         n, h_dim = len(flat) - LENGTH + 1, HIDDEN
         seen = np.zeros((LENGTH, ATTEND + 1, n), np.float32)
         take = np.concatenate([self.p["attend"], self.p["out"][:, None]], 1).T
-        # Sigmoid and tanh by one exponential each (numpy's own tanh costs several): the signs
-        # and factors they ask for go into the weights.  An overflow gives the limit, 0 or 1.
-        scale = np.full((3 * h_dim, 1), 2, np.float32)
-        scale[:2 * h_dim] = -1
+        # One product a step gives the next step's recurrent part and what is kept of this one.
+        both = np.empty((3 * h_dim + ATTEND + 1, n), np.float32)
+        zs, new, kept = both[:2 * h_dim], both[2 * h_dim:3 * h_dim], both[3 * h_dim:]
+        h, size = np.empty((h_dim, n), np.float32), np.empty((2 * h_dim, n), np.float32)
+        half = np.ones((3 * h_dim, 1), np.float32)
+        half[2 * h_dim:] = 0.5  # the reset gate is half of 1 + y
         for k, way in enumerate("fb"):
-            x = np.ascontiguousarray(gates[way][flat].T) * scale
-            u = np.ascontiguousarray(self.p[f"u{way}"].T) * scale
-            mine = np.ascontiguousarray(take[:, k * h_dim:(k + 1) * h_dim])
-            h = np.zeros((h_dim, n), np.float32)
+            x = np.ascontiguousarray(gates[way][flat].T)
+            w = np.concatenate([self.p[f"u{way}"].T * half, take[:, k * h_dim:(k + 1) * h_dim]])
+            h[:], both[:] = 0, 0
             for t in range(LENGTH) if way == "f" else range(LENGTH - 1, -1, -1):
-                g, r = x[:, t:t + n], u @ h
-                zs, new = r[:2 * h_dim], r[2 * h_dim:]
+                g = x[:, t:t + n]
                 zs += g[:2 * h_dim]
-                with np.errstate(over="ignore"):
-                    np.exp(zs, out=zs)
-                    zs += 1
-                    np.reciprocal(zs, out=zs)
-                    new *= zs[h_dim:]
-                    new += g[2 * h_dim:]
-                    np.exp(new, out=new)
-                new += 1
-                np.divide(-2, new, out=new)
-                new += 1
+                np.abs(zs, out=size)
+                size += 1
+                zs /= size
+                zs += 1
+                new *= zs[h_dim:]
+                new += g[2 * h_dim:]
+                mine = size[:h_dim]
+                np.abs(new, out=mine)
+                mine += 1
+                new /= mine
+                zs[:h_dim] *= 0.5
                 h -= new
                 h *= zs[:h_dim]
                 h += new
-                seen[t] += mine @ h
+                np.matmul(w, h, out=both)
+                seen[t] += kept
         a = seen[:, :ATTEND]
         a += self.p["attend_b"][:, None]
-        a *= 2
-        with np.errstate(over="ignore"):
-            np.exp(a, out=a)
-        a += 1
-        np.divide(-2, a, out=a)
-        a += 1
+        a /= 1 + np.abs(a)
         e = np.einsum("tan,a->tn", a, self.p["pick"])
         w = np.exp(e - e.max(0))
         return (w * seen[:, ATTEND]).sum(0) / w.sum(0) + self.p["out_b"]
@@ -272,7 +304,7 @@ class BiGru:
         dw = (s * dc).sum(2)
         de = w * (dw - (w * dw).sum(0))
         g["pick"] = np.einsum("tna,tn->a", a, de)
-        da = de[:, :, None] * self.p["pick"] * (1 - a ** 2)
+        da = de[:, :, None] * self.p["pick"] * (1 - np.abs(a)) ** 2
         g["attend"], g["attend_b"] = np.einsum("tnh,tna->ha", s, da), da.sum((0, 1))
         ds = ds + da @ self.p["attend"].T
         dx = np.zeros_like(x)
@@ -285,9 +317,9 @@ class BiGru:
                 dh = dh + ds[t][:, k * h_dim:(k + 1) * h_dim]
                 on = mask[:, t, None]
                 dn = np.where(on, dh, 0)
-                d_new = dn * (1 - z) * (1 - new ** 2)
-                d_z = dn * (h - new) * z * (1 - z)
-                d_r = d_new * rec * r * (1 - r)
+                d_new = dn * (1 - z) * (1 - np.abs(new)) ** 2
+                d_z = dn * (h - new) * 0.5 * (1 - np.abs(2 * z - 1)) ** 2
+                d_r = d_new * rec * 0.5 * (1 - np.abs(2 * r - 1)) ** 2
                 dg = np.concatenate([d_z, d_r, d_new], 1)
                 back = np.concatenate([d_z, d_r, d_new * r], 1)
                 steps.append((t, dg))
@@ -341,53 +373,67 @@ def score_texts(model: BiGru, batch: list[bytes | None]) -> np.ndarray:
         first = np.cumsum(lens[long]) - lens[long]
         ends = first + lens[long] - LENGTH + 1
         best[long] = np.maximum.reduceat(logit, np.stack([first, ends], 1).ravel()[:2 * len(long)])[::2]
-    return np.where(np.isfinite(best), _sigmoid(np.where(np.isfinite(best), best, 0)), 0.0)
+    # Six digits: sums of another batch differ in the last bits, equal texts score alike.
+    return np.round(np.where(np.isfinite(best), _sigmoid(np.where(np.isfinite(best), best, 0)), 0.0), 6)
 
 
-def _distinct_texts(docs: list[tuple[int, list[bytes], int]]) -> list[tuple[int, list[bytes], int]]:
-    """Drop exact and near copies from the sample: copies of one document are one witness."""
-    seen: set[tuple[int, int]] = set()
-    out = []
-    for doc_id, words, y in docs:
-        grams = [zlib.crc32(b" ".join(words[k:k + 4])) for k in range(max(1, len(words) - 3))]
-        h = np.asarray(grams, np.uint64)
-        sketch = [(j, int(((h * np.uint64(m)) & np.uint64(0xFFFFFFFF)).min()))
-                  for j, m in enumerate((2654435761, 2246822519, 3266489917, 668265263))]
-        if sum(s in seen for s in sketch) < 2:
-            out.append((doc_id, words, y))
-        seen.update(sketch)
-    return out
+def _is_copy(words: list[bytes], seen: set[tuple[int, int]]) -> bool:
+    """Whether a text is an exact or near copy of one before it: copies are one witness."""
+    grams = [zlib.crc32(b" ".join(words[k:k + 4])) for k in range(max(1, len(words) - 3))]
+    h = np.asarray(grams, np.uint64)
+    sketch = [(j, int(((h * np.uint64(m)) & np.uint64(0xFFFFFFFF)).min()))
+              for j, m in enumerate((2654435761, 2246822519, 3266489917, 668265263))]
+    copy = sum(s in seen for s in sketch) >= 2
+    seen.update(sketch)
+    return copy
+
+
+def _excess(toxic: np.ndarray, clean: np.ndarray, share: float) -> np.ndarray:
+    """How far the toxic documents of a feature exceed its share of all, in deviations."""
+    return (toxic - clean * share) / np.sqrt(toxic + clean + 1)
 
 
 def fit(sample: list[tuple[int, bytes, int]], seed: int = 0, steps: int = 500, batch: int = 256) -> BiGru | None:
     """Fit on (id, text, label) rows; None without both classes."""
-    docs = [(i, steps_of(t), y) for i, t, y in sorted(sample)]
-    docs = _distinct_texts([d for d in docs if d[1]])
-    toxic, clean = [w for _, w, y in docs if y], [w for _, w, y in docs if not y]
+    coder, seen_texts = Encoder({}), set()
+    parts: tuple[list[np.ndarray], list[np.ndarray]] = [], []
+    for _, text, y in sorted(sample):
+        words = steps_of(text)
+        if words and not _is_copy(words, seen_texts):
+            parts[0 if y else 1].append(coder.numbers(words))
+    toxic, clean = parts
     if not toxic or not clean:
         return None
-    in_toxic, in_clean = Counter(), Counter()
-    for words in toxic:
-        in_toxic.update(set(words))
-    for words in clean:
-        in_clean.update(set(words))
-    common = sorted((w for w, n in (in_toxic + in_clean).items() if n >= 5),
-                    key=lambda w: (-in_toxic[w] - in_clean[w], w))
-    # How far a word's toxic documents exceed its share of all documents, in deviations.
+    n_words = len(coder.new)
+    grams, per = gram_hashes(coder.new)
+    grams = (grams >> np.uint32(32 - COUNT_BITS)).astype(np.int32)
+    ends = np.cumsum(per)
+    by_word, by_gram = np.zeros((2, n_words), np.int32), np.zeros((2, 1 << COUNT_BITS), np.int32)
+    for k, rows in enumerate(parts):
+        for numbers in rows:
+            used = np.unique(numbers)
+            by_word[k, used] += 1
+            count = per[used]
+            inside = np.repeat(ends[used] - np.cumsum(count), count) + np.arange(count.sum())
+            by_gram[k, np.unique(grams[inside])] += 1
     share = len(toxic) / len(clean)
-    z = {w: (n - in_clean[w] * share) / (n + in_clean[w] + 1) ** 0.5 for w, n in in_toxic.items()}
-    telling = sorted((w for w in z if z[w] > 1.5), key=lambda w: (-z[w], w))[:VOCABULARY // 2]
+    z = _excess(by_word[0], by_word[1], share)
+    z_gram = _excess(by_gram[0], by_gram[1], share)
+    z_of = np.append(np.maximum(z, np.maximum.reduceat(z_gram[grams], ends - per)), -9.0)  # last: padding
+    del grams, by_gram, z_gram
+    total, names = by_word.sum(0), coder.new
+    telling = sorted(np.flatnonzero((z > 1.5) & (by_word[0] > 0)), key=lambda w: (-z[w], names[w]))[:VOCABULARY // 2]
+    common = sorted(np.flatnonzero(total >= 5), key=lambda w: (-total[w], names[w]))
     vocabulary: dict[bytes, int] = {}
     for w in [*telling, *common]:
         if len(vocabulary) < VOCABULARY:
-            vocabulary.setdefault(w, len(vocabulary) + 1)
+            vocabulary.setdefault(names[w], len(vocabulary) + 1)
     rng = np.random.default_rng(seed)
-    model, coder = BiGru(vocabulary, seed), Encoder(vocabulary)
-    numbers = [coder.numbers(w) for w in [*toxic, *clean]]
+    model = BiGru(vocabulary, seed)
+    coder.vocabulary = vocabulary
     inputs = coder.inputs(coder.new)
-    doc, idx, mask = _stack(numbers, len(coder.new))
+    doc, idx, mask = _stack([*toxic, *clean], n_words)
     is_toxic = doc < len(toxic)
-    z_of = np.array([z.get(w, -9.0) for w in coder.new] + [-9.0])
     speaks = z_of[idx].max(1)
 
     def top(value: np.ndarray) -> np.ndarray:
@@ -415,11 +461,11 @@ def fit(sample: list[tuple[int, bytes, int]], seed: int = 0, steps: int = 500, b
             seen = idx[pick]
             half = seen[:batch // 2]
             other = idx[rng.choice(quiet, len(half))]
-            swap = (rng.random(half.shape) < 0.5) & (other < len(coder.new)) & mask[pick[:len(half)]]
+            swap = (rng.random(half.shape) < 0.5) & (other < n_words) & mask[pick[:len(half)]]
             swap[np.arange(len(half)), z_of[half].argmax(1)] = False
             seen[:len(half)] = np.where(swap, other, half)
             used, local = np.unique(seen, return_inverse=True)
-            used = used[used < len(coder.new)]  # the pad number is the largest
+            used = used[used < n_words]  # the pad number is the largest
             count = n[used]
             take = slots[np.repeat(at[used] - (np.cumsum(count) - count), count) + np.arange(count.sum())]
             y = np.repeat([1.0, 0.0], [batch // 2, len(pick) - batch // 2]).astype(np.float32)
@@ -430,11 +476,13 @@ def fit(sample: list[tuple[int, bytes, int]], seed: int = 0, steps: int = 500, b
                 m, v = state[k]
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
+                if k in ("word", "char"):
+                    model.p[k] *= np.float32(1 - rate * DECAY)
                 model.p[k] -= (rate * (m / (1 - 0.9 ** tick)) / (np.sqrt(v / (1 - 0.999 ** tick)) + 1e-8)).astype(np.float32)
 
     quiet = np.flatnonzero(~is_toxic)
     by_words = top(speaks)
-    limit = max(1.5, float(np.quantile(speaks[by_words], 0.75)) / 2)
+    limit = max(1.5, min(SURE, float(np.quantile(speaks[by_words], 0.75)) / 2))
     sure = by_words[speaks[by_words] >= limit]
     train(sure, quiet, steps, 0.01)
     for _ in range(2):
@@ -449,8 +497,9 @@ def fit(sample: list[tuple[int, bytes, int]], seed: int = 0, steps: int = 500, b
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, keep: Column, max_toxic: int = MAX_TOXIC,
-                    max_clean: int = MAX_CLEAN, max_bytes: int = MAX_BYTES) -> list[tuple[int, bytes, int]]:
-    """Bounded sample for the fit: per class the rows of the smallest hashed ids.
+                    max_clean: int = MAX_CLEAN, max_bytes: int = MAX_BYTES) -> DataFrame | None:
+    """Bounded sample for the fit: per class the rows of the smallest hashed ids,
+    as (doc_id, toxic, text); None if there are no ids.
 
     ``keep``: condition on ``doc_id``.  Ids with contradicting, null or other labels than
     0 and 1 are left out, as are texts above ``max_bytes``."""
@@ -465,18 +514,30 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, keep: Column, max_toxic:
         chosen = part if chosen is None else chosen.unionByName(part)
     ids = [(r.doc_id, r.toxic) for r in chosen.collect()]
     if not ids:
-        return []
+        return None
     spark = docs.sparkSession
     few = F.broadcast(spark.createDataFrame(ids, "doc_id bigint, toxic int"))
     rows = texts(docs).where(F.col("text").isNotNull() & (F.length("text") <= max_bytes)).join(few, "doc_id")
     # A repeated id keeps its smallest text.
-    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    return [(r.doc_id, bytes(r.text), r.toxic) for r in rows.collect()]
+    return rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, keep: Column | None = None, **bounds: int) -> BiGru | None:
-    """Fit on the labelled rows whose ``doc_id`` meets ``keep``."""
-    return fit(labelled_sample(docs, labels, F.lit(True) if keep is None else keep, **bounds))
+    """Fit on the labelled rows whose ``doc_id`` meets ``keep``, in one task (a lost one is
+    fitted again, to the same model); the model is all that the driver gets."""
+    prepare(docs.sparkSession)
+    sample = labelled_sample(docs, labels, F.lit(True) if keep is None else keep, **bounds)
+    if sample is None:
+        return None
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        rows = [r for b in it for r in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "toxic")))]
+        model = fit(rows)
+        if model is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    got = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(got[0].model) if got else None
 
 
 def score_documents(docs: DataFrame, model: BiGru | None, score_col: str = "score") -> DataFrame:
