@@ -1,6 +1,10 @@
 """Toxicity network: gradients, windows, held-out accuracy, whole texts, odd rows."""
 
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -160,3 +164,13 @@ def test_equal_fit_from_rows_in_any_order():
     one, two = T.fit(rows, steps=20), T.fit(rows[::-1], steps=20)
     assert one.vocabulary == two.vocabulary
     assert all(np.array_equal(one.p[k], two.p[k]) for k in one.p)
+
+
+def test_equal_fit_whatever_the_threads():
+    """A task on a machine with other cores fits the same model, bit for bit."""
+    code = ("import hashlib; from tests.llm.test_toxicity import T, corpus; m = T.fit(corpus(200), steps=20); "
+            "print(hashlib.md5(b''.join(m.p[k].tobytes() for k in sorted(m.p))).hexdigest())")
+    root = str(Path(__file__).resolve().parents[2])
+    got = {subprocess.run([sys.executable, "-c", code], cwd=root, check=True, capture_output=True, text=True,
+                          env=os.environ | {"OMP_NUM_THREADS": str(k)}).stdout for k in (1, 4)}
+    assert len(got) == 1 and got.pop().strip()

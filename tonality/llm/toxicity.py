@@ -50,6 +50,8 @@ CHUNK = 2048
 DECAY = 1.0
 #: Distinct words embedded at a time.
 EMBED_WORDS = 8192
+#: Rows of one block of a product; times 16 x 24 it is below the size that a BLAS shares out.
+BLOCK_ROWS = 512
 THRESHOLD = 0.7
 #: Deviations no chance maximum over all n-grams reaches: more than this nominates a window.
 SURE = 5.0
@@ -174,6 +176,24 @@ def _sum_rows(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _product(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """x @ w in blocks too small for the BLAS to share out among threads: the same bits
+    whatever number of threads a machine has."""
+    n = len(x) - len(x) % BLOCK_ROWS
+    out = np.empty((len(x), w.shape[1]), np.result_type(x, w))
+    np.matmul(x[:n].reshape(-1, BLOCK_ROWS, x.shape[1]), w, out=out[:n].reshape(-1, BLOCK_ROWS, w.shape[1]))
+    out[n:] = x[n:] @ w
+    return out
+
+
+def _cross(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """x.T @ y by blocks of rows, added up in their order."""
+    n = len(x) - len(x) % BLOCK_ROWS
+    parts = np.matmul(x[:n].reshape(-1, BLOCK_ROWS, x.shape[1]).transpose(0, 2, 1),
+                      y[:n].reshape(-1, BLOCK_ROWS, y.shape[1]))
+    return parts.sum(0) + x[n:].T @ y[n:]
+
+
 class BiGru:
     """Parameters, forward pass and gradients of the network."""
 
@@ -207,7 +227,7 @@ class BiGru:
 
     def project(self, x: np.ndarray) -> dict[str, np.ndarray]:
         """Input part of all gates; the last row stands for padding."""
-        return {way: np.concatenate([x @ self.p[f"w{way}"] + self.p[f"c{way}"],
+        return {way: np.concatenate([_product(x, self.p[f"w{way}"]) + self.p[f"c{way}"],
                                      np.zeros((1, 3 * HIDDEN), np.float32)]) for way in "fb"}
 
     def _run(self, way: str, gates: np.ndarray, idx: np.ndarray, mask: np.ndarray, keep: list | None) -> np.ndarray:
@@ -327,8 +347,8 @@ class BiGru:
                 dh = np.where(on, dn * z, dh) + back @ u.T
             dg_all = _sum_rows(np.concatenate([idx[:, t] for t, _ in steps]),
                                np.concatenate([dg for _, dg in steps]), len(x) + 1)[:len(x)]
-            g[f"u{way}"], g[f"w{way}"], g[f"c{way}"] = gu, x.T @ dg_all, dg_all.sum(0)
-            dx += dg_all @ self.p[f"w{way}"].T
+            g[f"u{way}"], g[f"w{way}"], g[f"c{way}"] = gu, _cross(x, dg_all), dg_all.sum(0)
+            dx += _product(dg_all, self.p[f"w{way}"].T)
         g["word"] = _sum_rows(rows, dx[:, :WORD_DIM], len(self.p["word"]))
         g["word"][0] = 0
         g["char"] = _sum_rows(slots, np.repeat(dx[:, WORD_DIM:] / n[:, None], n, axis=0), CHAR_BUCKETS)
@@ -444,8 +464,8 @@ def fit(sample: list[tuple[int, bytes, int]], seed: int = 0, steps: int = 500, b
 
     def scores() -> np.ndarray:
         gates = model.project(model.embed(*inputs))
-        return np.concatenate([model.forward(gates, idx[k:k + CHUNK], mask[k:k + CHUNK])
-                               for k in range(0, len(idx), CHUNK)])
+        return np.concatenate([model.forward(gates, idx[k:k + batch], mask[k:k + batch])
+                               for k in range(0, len(idx), batch)])
 
     state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.p.items()}
     tick = 0
