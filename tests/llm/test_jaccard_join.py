@@ -101,6 +101,34 @@ def test_heads_keep_the_prefix_guarantee():
     assert checked > 100
 
 
+def test_signatures_bound_the_difference():
+    rng = np.random.default_rng(3)
+    for k in range(200):
+        x = np.unique(rng.integers(0, 1 << 63, int(rng.integers(1, 900))).astype(np.uint64))
+        y = np.unique(np.concatenate([x[k % 7:], rng.integers(0, 1 << 63, k % 40).astype(np.uint64)]))
+        apart = sum(bin((a ^ b) & (1 << 64) - 1).count("1")
+                    for a, b in zip(J.signature(x), J.signature(y), strict=True))
+        assert apart <= len(np.setxor1d(x, y))
+        assert (len(np.setxor1d(x, y)) - apart) % 2 == 0
+
+
+def test_many_sets_of_one_passage(spark, monkeypatch):
+    """Texts that share most of their shingles but too few for a link are not verified;
+    pivots too many to broadcast are dealt in parts."""
+    passage = ["p%d" % k for k in range(60)]
+    docs = [" ".join([*passage, *("u%d_%d" % (k, j) for j in range(12))]) for k in range(80)]
+    docs += [docs[k] + " more" for k in range(0, 80, 2)]
+    rows, asked = list(enumerate(docs)), []
+    verify = J._verified
+    monkeypatch.setattr(J, "_verified", lambda d, i, p: (asked.append(p.count()), verify(d, i, p))[1])
+    want = brute(rows)
+    assert run(spark, rows) == want
+    assert asked[-1] <= 120
+    monkeypatch.setattr(J, "GROUP_SHINGLES", 150)
+    monkeypatch.setattr(J, "ID_BROADCAST_BYTES", 0)
+    assert run(spark, rows) == want
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A  b"), (6, "a"), (7, "long " * 50_000), (8, "long " * 49_999)]
     assert run(spark, rows) == brute(rows)

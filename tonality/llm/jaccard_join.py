@@ -18,8 +18,9 @@ merges the short inverted lists for candidates and only probes the long ones.
    L of the two), so fewer meetings are chance and no candidate.
 3. Candidates.  Of each list first only star pairs (one pivot against the others) are
    verified, over several rounds with other pivots, because linked sets need no second
-   proof; then all pairs of a list that are still in different components, so no link
-   between components is lost.
+   proof; then those of a list that are still in different components and whose parity
+   signatures (an upper bound of the overlap) allow T, so no link between components is
+   lost and sets that share a passage only are not paired.
 4. Verification.  A candidate's remaining (long-list) shingles are probed by binary search
    in the pivot's sorted set, and the pair is a link if T is reached.
 
@@ -53,6 +54,10 @@ BUCKET_ENTRIES, LEAST_BUCKETS = 500_000, 256
 SPLIT_LIST = 100_000
 #: Shingles compared with one pivot in one task.
 GROUP_SHINGLES = 20_000
+#: Into how many parts the pivots are dealt where they are too many to broadcast.
+HUB_PARTS = 64
+#: Longs of a set's parity signature.
+SIGNATURE = 8
 STAR_ROUNDS = 3
 #: How often sets that cannot reach any partner are dropped from the lists.
 PRUNE_ROUNDS = 2
@@ -93,6 +98,15 @@ def digest(shingles: np.ndarray) -> int | None:
     return d - (1 << 64) if d >= 1 << 63 else d
 
 
+def signature(shingles: np.ndarray) -> list[int]:
+    """Parity of how many shingles fall on each of 64 SIGNATURE bits.
+
+    A shingle of one set only changes one bit, a shared one none: two sets differ in at
+    least as many shingles as their signatures differ in bits."""
+    bits = np.bincount((_mixed(shingles) >> np.uint64(32)) % np.uint64(64 * SIGNATURE), minlength=64 * SIGNATURE)
+    return np.packbits((bits & 1).astype(np.uint8)).view("<i8").tolist()
+
+
 def least_meetings(n: int) -> int:
     """How many head shingles two sets of this size or more have in common."""
     return 1 + n // 25
@@ -107,17 +121,18 @@ def _slots(h: np.ndarray) -> np.ndarray:
 
 
 def _read_sets(rows: DataFrame) -> DataFrame:
-    """kind 0: (doc_id, text_key, n, digest) of each row; kind 1: (digest: shingle, n: count);
+    """kind 0: (doc_id, text_key, n, digest, signature) of each row; kind 1: (digest: shingle, n: count);
     kind 2: (n: range, slots: sorted slots of the range, one for each occurrence)."""
-    names = ["kind", "doc_id", "text_key", "n", "digest", "slots"]
+    names = ["kind", "doc_id", "text_key", "n", "digest", "slots", "signature"]
 
-    def out(kind: int, n, ids=None, keys=None, d=None, slots=None) -> pa.RecordBatch:
+    def out(kind: int, n, ids=None, keys=None, d=None, slots=None, signs=None) -> pa.RecordBatch:
         none = [None] * len(n)
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(n), kind, np.int32)), pa.array(ids if ids is not None else none, pa.int64()),
              pa.array(keys if keys is not None else none, pa.int64()),
              pa.array(n, pa.int64()), pa.array(d if d is not None else none, pa.int64()),
-             pa.array(slots if slots is not None else none, pa.binary())], names=names)
+             pa.array(slots if slots is not None else none, pa.binary()),
+             pa.array(signs if signs is not None else none, pa.list_(pa.int64()))], names=names)
 
     def counted(parts: list[np.ndarray]) -> Iterable[pa.RecordBatch]:
         flat = np.sort(np.concatenate(parts))
@@ -138,7 +153,8 @@ def _read_sets(rows: DataFrame) -> DataFrame:
         for b in it:
             sets = [shingle_set(t) for t in b.column(1).to_pylist()]
             digests = [digest(s) for s in sets]
-            yield out(0, [len(s) for s in sets], b.column(0).to_pylist(), b.column(2).to_pylist(), digests)
+            yield out(0, [len(s) for s in sets], b.column(0).to_pylist(), b.column(2).to_pylist(), digests,
+                      signs=[signature(s) if len(s) else None for s in sets])
             for d, s in zip(digests, sets, strict=True):
                 if d is not None and d not in seen:  # a copy says nothing new
                     seen.add(d)
@@ -150,7 +166,8 @@ def _read_sets(rows: DataFrame) -> DataFrame:
         if held:
             yield from counted(held)
 
-    return rows.mapInArrow(run, "kind int, doc_id bigint, text_key bigint, n bigint, digest bigint, slots binary")
+    return rows.mapInArrow(run, "kind int, doc_id bigint, text_key bigint, n bigint, digest bigint, slots binary, "
+                           "signature array<bigint>")
 
 
 def _shared_slots(read: DataFrame) -> np.ndarray:
@@ -261,23 +278,28 @@ def _short_lists(rows: DataFrame, order: Order, buckets: int) -> DataFrame:
 
 
 def _verified(docs: DataFrame, items: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Links (a, b) among candidate ``pairs`` (a: pivot, b), their texts read again.
+    """Links (a, b) among candidate ``pairs`` (a: pivot, b, a_n, b_n), their texts read again.
 
-    ``docs``: (doc_id, text, text_key); ``items``: (item, doc_id, text_key, n).  The rows of
+    ``docs``: (doc_id, text, text_key); ``items``: (item, doc_id, text_key).  The rows of
     a pivot are spread over salts by the number of shingles to be compared."""
-    n_b = items.select(F.col("item").alias("b"), F.col("doc_id").alias("b_doc"), F.col("text_key").alias("b_key"),
-                       F.col("n").alias("b_n"))
-    n_a = items.select(F.col("item").alias("a"), F.col("doc_id").alias("a_doc"), F.col("text_key").alias("a_key"),
-                       F.col("n").alias("a_n"))
+    n_b = items.select(F.col("item").alias("b"), F.col("doc_id").alias("b_doc"), F.col("text_key").alias("b_key"))
+    of_a = items.select(F.col("item").alias("a"), "doc_id", "text_key")
     # Sizes first: 5 min >= 4 max, or the pair cannot reach T.
-    sized = staged(pairs.join(n_b, "b").join(n_a, "a").where(
-        "5 * least(a_n, b_n) >= 4 * greatest(a_n, b_n)"), "candidates")
-    hubs = sized.groupBy("a").agg(F.first("a_doc").alias("doc_id"), F.first("a_key").alias("text_key"), F.ceil(
-        F.sum("b_n") / F.lit(float(GROUP_SHINGLES))).cast("int").alias("salts"))
-    salt = F.pmod(F.xxhash64("b"), F.col("salts")).cast("int")
-    wanted = (sized.join(hubs.select("a", "salts"), "a")
-              .select(F.col("b_doc").alias("doc_id"), F.col("b_key").alias("text_key"), "a", salt.alias("salt"),
-                      F.col("b").alias("item"))
+    sized = staged(pairs.where("5 * least(a_n, b_n) >= 4 * greatest(a_n, b_n)").join(n_b, "b"), "candidates")
+    hubs = staged(sized.groupBy("a").agg(F.ceil(F.sum("b_n") / F.lit(float(GROUP_SHINGLES))).cast("int").alias(
+        "salts")).join(of_a, "a"), "hubs")
+    # Candidates are not shuffled by their pivot, which may be hot: only pivots of several
+    # salts are looked up, broadcast where their measured number allows, else dealt in parts.
+    heavy = hubs.where("salts > 1").select("a", "salts")
+    if heavy.count() * 64 <= ID_BROADCAST_BYTES:
+        dealt = sized.join(F.broadcast(heavy), "a", "left")
+    else:
+        parts = heavy.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(HUB_PARTS - 1))))
+        dealt = sized.withColumn("part", F.pmod(F.xxhash64("b", F.lit(1)), F.lit(HUB_PARTS)).cast("int")).join(
+            parts, ["a", "part"], "left")
+    salt = F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1))).cast("int")
+    wanted = (dealt.select(F.col("b_doc").alias("doc_id"), F.col("b_key").alias("text_key"), "a", salt.alias("salt"),
+                           F.col("b").alias("item"))
               .unionByName(hubs.select("doc_id", "text_key", "a", F.explode(F.sequence(
                   F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("a").alias("item"))))
     wanted = staged(wanted, "wanted")
@@ -344,7 +366,8 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     prepare(spark)
     rows = texts(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
     read = staged(_read_sets(rows), "shingle-sets", "kind")
-    info = read.where("kind = 0").select("doc_id", "text_key", "n", "digest")
+    sets = read.where("kind = 0")
+    info = sets.select("doc_id", "text_key", "n", "digest")
     heads = info.agg(F.sum(F.col("n") / 4 + 1)).first()[0] or 0
     often = staged(read.where("kind = 1").groupBy("digest").agg(F.sum("n").alias("n"))
                    .where(F.col("n") >= FREQUENT), "frequent-shingles")
@@ -358,9 +381,10 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     often = often.where(F.col("n") >= least).toArrow()
     order = Order(often["digest"].to_numpy().astype(np.int64).view(np.uint64), often["n"].to_numpy().astype(np.int64),
                   _shared_slots(read))
-    items = staged(info.where("digest IS NOT NULL").groupBy(F.col("digest").alias("item")).agg(
+    items = staged(sets.where("digest IS NOT NULL").groupBy(F.col("digest").alias("item")).agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("anonymous"), "doc_id", "text_key")).alias("first"),
-        F.first("n").alias("n")).select("item", "first", "first.doc_id", "first.text_key", "n"), "items")
+        F.first("n").alias("n"), F.first("signature").alias("signature")).select(
+            "item", "first", "first.doc_id", "first.text_key", "n", "signature"), "items")
     buckets = max(LEAST_BUCKETS, int(heads // BUCKET_ENTRIES) + 1)
     lists = staged(_short_lists(rows, order, buckets).join(
         items.select("item", "n"), "item"), "short-lists")
@@ -398,14 +422,20 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                    .select("a", "a_n", F.col("item").alias("b"), F.col("n").alias("b_n")))
             share = 0.5  # a list may have had another pivot; what this misses comes last
         else:
+            # Sets that reach T differ in at most a ninth of both sizes, and so do their
+            # signatures: what shares a passage only is not paired.
+            placed = placed.join(items.select("item", "signature"), "item")
             left, right = [placed.select("shingle", F.col("item").alias(x), F.col("root").alias(f"{x}_root"),
-                                         F.col("n").alias(f"{x}_n")) for x in "ab"]
+                                         F.col("n").alias(f"{x}_n"), F.col("signature").alias(f"{x}_s"))
+                           for x in "ab"]
+            differ = " + ".join(f"bit_count(a_s[{k}] ^ b_s[{k}])" for k in range(SIGNATURE))
             met = left.join(right, "shingle").where(
-                "a_root <> b_root AND (a_n < b_n OR (a_n = b_n AND a < b)) AND 5 * a_n >= 4 * b_n")
+                "a_root <> b_root AND (a_n < b_n OR (a_n = b_n AND a < b)) AND 5 * a_n >= 4 * b_n "
+                f"AND 9 * ({differ}) <= a_n + b_n").select("a", "b", "a_n", "b_n")
             share = 1.0
         needed = 1 + F.floor(F.least("a_n", "b_n") / 25)
         pairs = (met.groupBy("a", "b", "a_n", "b_n").agg(F.count(F.lit(1)).alias("meetings"))
-                 .where(F.col("meetings") >= needed * F.lit(share)).select("a", "b"))
+                 .where(F.col("meetings") >= needed * F.lit(share)).drop("meetings"))
         links = _verified(rows, items, pairs)
         if links.limit(1).count():
             labels = merged(labels, links)
