@@ -71,15 +71,16 @@ def train_and_evaluate(spark: SparkSession, corpus: DataFrame, vt: sv.VectorTabl
     if kind not in MODEL_KINDS:
         raise ValueError(f"kind must be one of {MODEL_KINDS}")
     if kind == "lstm":
-        members = tz.corpus_members(corpus, vt, spark).checkpoint()
+        members = tz.word_members(corpus, vt, spark).checkpoint()
         if not staging.is_complete(spark, model_path):
             model, _ = sm.train(spark, members.where(F.col("split") == "train"), vt.dim,
-                                hidden=hidden, epochs=epochs,
+                                hidden=hidden, epochs=epochs, vt=vt,
                                 state_path=model_path.rstrip("/") + "-training")  # a killed fit goes on
             model.save(spark, model_path)
         model = sm.SequenceModel.load(spark, model_path)
         test = members.where(F.col("split") == "test")
-        scored = sm.score(test.select("doc_id", "seq"), model).join(
+        held = [c for c in ("words", "cold") if c in test.columns]
+        scored = sm.score(test.select("doc_id", *held), model, vt=vt).join(
             test.select("doc_id", "sentiment"), "doc_id")
     else:
         lp = pooled_corpus(corpus, vt, spark).checkpoint()
