@@ -76,3 +76,8 @@ def test_members_are_kept_by_their_words(spark):
     vt = vector_table(spark, SMOKE)
     columns = registry._train_members(spark, SMOKE, vt).columns
     assert "words" in columns and "seq" not in columns
+
+
+@pytest.mark.parametrize("key", ["label_tensor", "sequence_masks"])
+def test_lengths_and_labels_fetch_no_vector(spark, key):
+    assert "MapInArrow" not in E.queries()[key](spark, SMOKE)._jdf.queryExecution().executedPlan().toString()

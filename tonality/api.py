@@ -22,6 +22,7 @@ from .operators import evaluate as ev
 from .operators import messages as msg
 from .operators import sequence_model as sm
 from .operators import tensors as tz
+from .operators.adam import AdamModel, fit_adam
 from .operators.models import KINDS, load_model  # noqa: F401 - load_model is part of the interface
 from .operators.scoring import CentroidModel, TextModel, fit_centroid, pooled_corpus, score_texts
 from .plans import staging
@@ -90,6 +91,10 @@ def train_and_evaluate(spark: SparkSession, corpus: DataFrame, vt: sv.VectorTabl
             if not staging.is_complete(spark, model_path):
                 fit_centroid(train, vt.dim).save(spark, model_path)
             scored = CentroidModel.load(spark, model_path).transform(test)
+        elif kind == "adam":
+            if not staging.is_complete(spark, model_path):
+                fit_adam(train, vt.dim, epochs=epochs)[0].save(spark, model_path)
+            scored = AdamModel.load(spark, model_path).scorer().transform(test)
         else:
             model, _ = clf.fit_or_load(spark, model_path, train, dim=vt.dim)
             scored = clf.score_logistic(model, test)
