@@ -78,3 +78,29 @@ def test_files_follow_by_number_not_by_name(spark):
     files = spark.range(100_001).select(F.format_string("part-%05d-x.orc", "id").alias("file"), F.lit(2).cast("bigint").alias("n_tokens"))
     base = {r.file: r.base for r in T.with_bases(files).where("file IN ('part-00001-x.orc', 'part-99999-x.orc', 'part-100000-x.orc')").collect()}
     assert base == {"part-00001-x.orc": 2, "part-99999-x.orc": 199_998, "part-100000-x.orc": 200_000}
+
+
+def test_words_are_learned_without_marks_and_line_feeds(tok):
+    coder = T.PieceEncoder(T.default_tokenizer())
+    texts = ["a cat, a cat. a cat\ncat", "cat; a cat", "(a). cat's, 3, é, ."]
+    values, lens = coder.encode(texts, 2)
+    want = [tok.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert values.tolist() == [i for w in want for i in w] and lens.tolist() == [len(w) for w in want]
+    assert {" cat", "cat", " a", "\n", ",", ".", ";"} < set(coder.memo)
+    assert not {" cat,", " cat.", " cat\ncat", "cat;"} & set(coder.memo)
+
+
+def test_a_full_memo_keeps_the_words_met_again(tok, monkeypatch):
+    monkeypatch.setattr(T, "MEMO_PIECES", 40)
+    coder = T.PieceEncoder(T.default_tokenizer())
+    for turn in range(6):
+        texts = ["the cat and the dog " + " ".join(f"w{turn}x{k}" for k in range(30)), "the dog"]
+        values, _ = coder.encode(texts, 2)
+        assert values.tolist() == [i for t in texts for i in tok.encode(t, add_special_tokens=False).ids + [2]]
+        assert len(coder.memo) <= 80
+        if turn > 2:
+            assert {" the", " cat", " and", " dog"} <= set(coder.memo) and " w0x1" not in coder.memo
+
+
+def test_the_encoder_goes_on_from_task_to_task():
+    assert T.encoder(T.default_tokenizer()) is T.encoder(T.default_tokenizer())

@@ -28,6 +28,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ from .common import prepare
 
 STRIPE_BYTES = 16 << 20
 ROW_INDEX_STRIDE = 1000
-#: Pieces remembered by one worker, and their characters.
+#: Words remembered by one worker, and their characters.
 MEMO_PIECES = 400_000
 MEMO_CHARS = 8 << 20
 
@@ -45,21 +46,35 @@ DATA_SCHEMA = "doc_id bigint, n_tokens bigint, file_offset bigint, tokens array<
 _GAP = re.compile(r"(?<=\S) (?=\S)")
 # White space other than the space and the line feed.
 _OTHER = re.compile(r"[^\S \n]")
+_SPACES = re.compile(r"\s")
+_OTHER_ASCII = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
+# A word, and words parted by single line feeds, with or without a space before them.
+_PLAIN = re.compile(r" ?\S+")
+_LINES = re.compile(r" ?\S+(?:\n\S+)*")
+#: Marks that are no part of the word before them.
+_MARKS = ".,;:!?"
+#: The usual way of cutting texts into words, by which the finer cuts hold.
+_USUAL = "ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=True)"
 #: Characters per call of the library.
 CALL_CHARS = 2000
 
 
 class PieceEncoder:
-    """Encodes whole texts with the tokenizers library, each distinct piece once.
+    """Encodes whole texts with the tokenizers library, each distinct word once.
 
     A byte-level BPE first cuts a text into words; a single space between two
     non-space characters always begins a new word, so a text may be cut there and the
-    ids of the pieces joined: the result equals encoding the whole text.  Natural text
-    repeats its words, so most pieces come from a (bounded) memo.
+    ids of the pieces joined: the result equals encoding the whole text.  Where the
+    library cuts by the usual rule of byte-level vocabularies, pieces are cut further, so
+    that fewer differ: a single line feed between other characters and the marks that
+    follow a letter or digit at the end of a line are words of their own.
 
-    New pieces go to the library in runs that are texts themselves: " a b c".  As each
-    piece starts with the run's only kind of space, the ids whose token starts with a
-    space part the run again.
+    Natural text repeats its words, so most come from a (bounded) memo; Arrow splits the
+    texts and numbers the pieces, Python sees each distinct piece of a batch once.
+
+    New words go to the library in runs that are texts themselves: " a b c" or, of words
+    without a space, "a\nb\nc".  The ids whose token starts with a space, or those of the
+    line feed, part the run again.
     """
 
     def __init__(self, path: str):
@@ -69,88 +84,192 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
-        space = "\u0120"  # how byte-level vocabularies write the byte 0x20
+        space, feed = "\u0120", "\u010a"  # how byte-level vocabularies write the bytes 0x20 and 0x0A
         self.opens[[i for t, i in vocabulary.items() if t.startswith(space)]] = True
+        self.feed = vocabulary.get(feed, -1)
+        self.cuts = self.tokenizer.normalizer is None and str(self.tokenizer.pre_tokenizer) == _USUAL
         self.clear()
 
     def clear(self) -> None:
-        #: Pieces after a space by their text; pieces at the start of a text in ``heads``.
+        #: Number of each word by its text, the space before it included.
         self.memo: dict[str, int] = {}
-        self.heads: dict[str, int] = {}
         self.chars = 0
         self.flat = np.empty(0, np.int32)
         self.starts = np.empty(0, np.int64)
         self.lens = np.empty(0, np.int64)
+        #: Batches in which each word was met.
+        self.met = np.empty(0, np.int32)
+
+    def _forget(self) -> None:
+        """Keep the words met more than once, or none where they are too many."""
+        kept = np.flatnonzero(self.met > 1)
+        words = list(itertools.compress(self.memo, (self.met > 1).tolist()))
+        flat, lens, chars = _gathered(self.flat, self.starts[kept], self.lens[kept]), self.lens[kept], sum(map(len, words))
+        self.clear()
+        if len(words) <= MEMO_PIECES // 2 and chars <= MEMO_CHARS // 2:
+            self._keep(words, flat, lens)
 
     def _call(self, strings: list[str]) -> list[np.ndarray]:
         got = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
         return [np.asarray(e.ids, np.int32) for e in got]
 
-    def _keep(self, flat: np.ndarray, lens: np.ndarray) -> None:
+    def _keep(self, fresh: list[str], flat: np.ndarray, lens: np.ndarray) -> None:
+        self.memo.update(zip(fresh, range(len(self.memo), len(self.memo) + len(fresh)), strict=True))
+        self.chars += sum(map(len, fresh))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lens) - lens])
         self.flat = np.concatenate([self.flat, flat])
         self.lens = np.concatenate([self.lens, lens])
-
-    def _number(self, fresh: list[str], into: dict[str, int]) -> None:
-        before = len(self.memo) + len(self.heads)
-        into.update(zip(fresh, range(before, before + len(fresh)), strict=True))
-        self.chars += sum(map(len, fresh))
-
-    def _learn_alone(self, fresh: list[str], into: dict[str, int], before: str) -> None:
-        """Encode pieces one by one."""
-        self._number(fresh, into)
-        ids = self._call([before + p for p in fresh])
-        self._keep(np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)))
-
-    def _learn_runs(self, fresh: list[str]) -> None:
-        """Encode pieces without white space at their ends or spaces inside, many in a call."""
+        self.met = np.concatenate([self.met, np.zeros(len(lens), np.int32)])
+
+    def _learn_alone(self, fresh: list[str]) -> None:
+        """Encode words one by one."""
+        if fresh:
+            ids = self._call(fresh)
+            self._keep(fresh, np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)))
+
+    def _learn_runs(self, fresh: list[str], feed: str) -> None:
+        """Encode words, many in a call: those after a space as they are, others after a feed."""
+        if not fresh:
+            return
         run = max(1, CALL_CHARS * len(fresh) // (sum(map(len, fresh)) + len(fresh)))
-        got = self._call([" " + " ".join(fresh[k:k + run]) for k in range(0, len(fresh), run)])
+        got = self._call([feed + feed.join(fresh[k:k + run]) for k in range(0, len(fresh), run)])
         flat = np.concatenate(got)
-        first = np.flatnonzero(self.opens[flat])
+        first = np.flatnonzero(flat == self.feed if feed else self.opens[flat])
         if len(first) != len(fresh):  # a tokenizer of another make
-            self._learn_alone(fresh, self.memo, " ")
+            self._learn_alone(fresh)
+            return
+        lens = np.diff(first, append=len(flat))
+        if feed:
+            flat, lens = np.delete(flat, first), lens - 1
+        self._keep(fresh, flat, lens)
+
+    def _learn(self, words: Iterable[str], inside: bool) -> None:
+        """``inside``: words may hold white space but for the space at their beginning."""
+        fresh = set(words).difference(self.memo)
+        alone = {w for w in fresh if not _PLAIN.fullmatch(w)} if inside else fresh & {"\n"}
+        fresh = fresh - alone if alone else fresh
+        spaced = [w for w in fresh if w[0] == " "]
+        heads = [] if len(spaced) == len(fresh) else [w for w in fresh if w[0] != " "]
+        self._learn_runs(spaced, "")
+        if self.cuts:
+            self._learn_runs(heads, "\n")
+            self._learn_alone(list(alone))
         else:
-            self._number(fresh, self.memo)
-            self._keep(flat, np.diff(first, append=len(flat)))
+            self._learn_alone([*heads, *alone])
+
+    def _words(self, piece: str) -> list[str]:
+        """The words of a piece, which begins with the space before it, if there is one."""
+        if not self.cuts or not _LINES.fullmatch(piece):
+            return [piece]
+        out = []
+        for k, line in enumerate(piece.split("\n")):
+            base = line.rstrip(_MARKS)
+            if not (base and base[-1].isascii() and base[-1].isalnum()):
+                base = line
+            out += ["\n", base] if k else [base]
+            if len(base) < len(line):
+                out.append(line[len(base):])
+        return out
+
+    def _split(self, texts: list[str]) -> tuple[pa.Array, np.ndarray, bool]:
+        """(pieces of all texts, none empty; number of pieces of each; has a piece white space
+        inside).  A line feed cut off is a piece of its own."""
+        odd = [_is_odd(t) for t in texts]
+        if self.cuts:
+            texts = [t if o else t.replace("\n", " \n ") for t, o in zip(texts, odd, strict=True)]
+        if any(odd):
+            found = [_GAP.split(t) if o else t.split(" ") for t, o in zip(texts, odd, strict=True)]
+            counts = np.fromiter(map(len, found), np.int64, len(found))
+            return pa.array(list(itertools.chain.from_iterable(found)), pa.large_string()), counts, True
+        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        return parts.flatten(), np.diff(parts.offsets.to_numpy()), not self.cuts
+
+    def _numbers(self, pieces: pa.Array, inside: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the words of each piece in a row, number of words of each piece)."""
+        sizes = np.ones(len(pieces), np.int64)
+        if not self.cuts:
+            words = _strings(pieces)
+            self._learn(words, inside)
+            return np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words)), sizes
+        bases = pc.ascii_rtrim(pieces, _MARKS)
+        marked = pc.and_(pc.match_substring_regex(bases, r"[0-9A-Za-z]\z"), pc.less(
+            pc.binary_length(bases), pc.binary_length(pieces)))
+        firsts = _strings(pc.if_else(marked, bases, pieces))
+        marked = marked.to_numpy(zero_copy_only=False)
+        sizes[marked] = 2
+        many = {}
+        names = _strings(pieces)
+        if inside:
+            many = {k: self._words(name) for k, name in enumerate(names) if _SPACES.search(name, 1)}
+            for k, found in many.items():
+                sizes[k], marked[k], firsts[k] = len(found), False, found[0]
+        at = np.flatnonzero(marked)
+        marks = [names[k][len(firsts[k]):] for k in at.tolist()]
+        more = [w for found in many.values() for w in found[1:]]
+        self._learn(itertools.chain(firsts, marks, more), inside)
+        number = np.empty(int(sizes.sum()), np.int64)
+        start = np.cumsum(sizes) - sizes
+        number[start] = np.fromiter(map(self.memo.__getitem__, firsts), np.int64, len(firsts))
+        number[start[at] + 1] = np.fromiter(map(self.memo.__getitem__, marks), np.int64, len(marks))
+        for k, found in many.items():
+            number[start[k] + 1:start[k] + len(found)] = [self.memo[w] for w in found[1:]]
+        return number, sizes
 
     def encode(self, texts: Sequence[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each closed by ``end_id``; and the length of each."""
-        if len(self.memo) + len(self.heads) > MEMO_PIECES or self.chars > MEMO_CHARS:
-            self.clear()
-        heads, tails, odd = [], [], []
-        for text in texts:
-            if not text:
-                continue
-            # Spaces with no other white space beside them are all cuts.
-            if "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or _OTHER.search(text):
-                parts = _GAP.split(text)
-                odd.extend(parts[1:])
-            else:
-                parts = text.split(" ")
-            heads.append(parts[0])
-            tails.append(parts[1:])
-        if fresh := set(heads).difference(self.heads):
-            self._learn_alone(list(fresh), self.heads, "")
-        if fresh := set(odd).difference(self.memo):
-            self._learn_alone(list(fresh), self.memo, " ")
-        if fresh := set(itertools.chain.from_iterable(tails)).difference(self.memo):
-            self._learn_runs(list(fresh))
+        if len(self.memo) > MEMO_PIECES or self.chars > MEMO_CHARS:
+            self._forget()
         counts = np.zeros(len(texts), np.int64)
-        counts[[k for k, t in enumerate(texts) if t]] = [len(t) + 1 for t in tails]
+        pieces, counts[[k for k, t in enumerate(texts) if t]], inside = self._split([t for t in texts if t])
+        pieces = pieces.dictionary_encode()
+        which, names = pieces.indices.to_numpy().astype(np.int64), pieces.dictionary
         ends = np.cumsum(counts)
-        where = np.empty(int(counts.sum()), np.int64)
-        first = np.cumsum([0, *(len(t) + 1 for t in tails)])[:-1]
-        rest = np.ones(len(where), bool)
-        rest[first] = False
-        where[first] = [self.heads[h] for h in heads]
-        where[rest] = np.fromiter(map(self.memo.__getitem__, itertools.chain.from_iterable(tails)), np.int64,
-                                  len(where) - len(first))
-        lens = self.lens[where]
+        # Pieces at the start of a text, line feeds and what stands after them follow no space.
+        head = np.zeros(len(which) + 1, bool)
+        head[(ends - counts)[counts > 0]] = True
+        if self.cuts and (feed := pc.index(names, pa.scalar("\n", names.type)).as_py()) >= 0:
+            feeds = np.flatnonzero(which == feed)
+            head[feeds] = head[feeds + 1] = True
+        head = np.flatnonzero(head[:-1])
+        heads, after = np.unique(which[head], return_inverse=True)
+        which[head] = len(names) + after
+        spaced = pc.binary_join_element_wise(pa.scalar(" ", names.type), names, pa.scalar("", names.type))
+        number, sizes = self._numbers(pa.concat_arrays([spaced, names.take(pa.array(heads))]), inside)
+        self.met[number] += 1
+        # Ids of each distinct piece, then of each piece.
+        lens = self.lens[number]
+        flat = _gathered(self.flat, self.starts[number], lens)
+        at = np.concatenate([[0], np.cumsum(lens)])[np.concatenate([[0], np.cumsum(sizes)])]
+        lens = np.diff(at)[which]
         total = np.concatenate([[0], np.cumsum(lens)])
-        n = total[ends] - total[ends - counts]
-        flat = self.flat[np.repeat(self.starts[where] - total[:-1], lens) + np.arange(total[-1])]
-        return np.insert(flat, total[ends], end_id), n + 1
+        flat = _gathered(flat, at[which], lens)
+        return np.insert(flat, total[ends], end_id), total[ends] - total[ends - counts] + 1
+
+
+#: Encoders of this process, which go on from task to task.
+_ENCODERS: dict[str, PieceEncoder] = {}
+
+
+def encoder(path: str) -> PieceEncoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = PieceEncoder(path)
+    return _ENCODERS[path]
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _is_odd(text: str) -> bool:
+    """Has white space at an end, beside other white space, or other than the space and the line feed."""
+    return ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n"
+            or (any(c in text for c in _OTHER_ASCII) if text.isascii() else _OTHER.search(text) is not None))
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The slices ``flat[s:s + n]`` one after the other."""
+    ends = np.cumsum(lens)
+    return flat[np.repeat(starts - ends + lens, lens) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 def _list_array(values: np.ndarray, lens: np.ndarray) -> pa.ListArray:
@@ -174,7 +293,7 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer_path: str, id_col: str
     prepare(spark)
 
     def encode(it: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        coder, offset = PieceEncoder(tokenizer_path), 0
+        coder, offset = encoder(tokenizer_path), 0
         for b in it:
             values, lens = coder.encode(b.column(1).to_pylist(), end_id)
             ends = offset + np.cumsum(lens)
