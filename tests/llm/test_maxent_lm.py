@@ -6,8 +6,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+from xxhash import xxh3_64_intdigest
 
 from tonality.llm import maxent_lm as M
+from tonality.llm.common import space_words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -87,3 +90,30 @@ def test_odd_rows(spark):
     held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 1]
     only = spark.createDataFrame([(i, "a b") for i in held], "doc_id bigint, text string")
     same(M.lm_scores(only).collect(), [(i, "a b") for i in held])
+
+
+def test_reader_numbers_an_arrow_batch_as_words_do():
+    odd = [b" a  B\tc\n", b"", None, b"x", b"\x0b\x0c\rz \x1c q\x85\xa0", "É é ...".encode(), b"a.  b!? .", b" \n ",
+           b"\xff\xfe b", b"!\" ab) a", b"x" * 300]
+    rng = np.random.default_rng(3)
+    odd += [bytes(rng.integers(0, 128, int(n)).astype(np.uint8)) for n in rng.integers(0, 200, 60)]
+    for column in (pa.array(odd, pa.binary()), pa.array([b"q", *odd, b"r"], pa.binary()).slice(1, len(odd))):
+        reader = M.Reader()
+        for _ in range(2):  # the second time all words are known
+            numbers, lens = reader.read(column)
+        words = [space_words(t) for t in odd]
+        assert lens.tolist() == [len(ws) + 1 for ws in words]
+        flat = [w for ws in words for w in [*ws, None]]
+        assert reader.keys[numbers].tolist() == [
+            M.END if w is None else int(np.uint64(xxh3_64_intdigest(w)).astype(np.int64)) for w in flat]
+        assert reader.atoms[numbers].tolist() == [0 if w is None else M.ending(w) for w in flat]
+
+
+def test_counts_where_the_memo_runs_full(spark, monkeypatch):
+    texts = [f"w{k} w{k} common x{k % 7}" for k in range(40)]
+    monkeypatch.setattr(M, "MEMO_WORDS", 5)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = M._count_rows(rows.select("doc_id", rows.text.cast("binary").alias("text"))).where("kind = 0")
+    got = {r.key: r.n for r in found.groupBy("key").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n").collect()}
+    want = Counter(w for t in texts for w in t.encode().split())
+    assert got == {int(np.uint64(xxh3_64_intdigest(w)).astype(np.int64)): n for w, n in want.items()} | {M.END: 40}

@@ -24,17 +24,20 @@ rare by construction, so this join has no hot key.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import math
 import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, prepare, space_words, staged, texts
+from .common import crc_of_id, prepare, staged, texts
 
 SINGLES, CLUSTERS = 31, 16
 CLASSES = 1 + SINGLES + CLUSTERS
@@ -46,7 +49,8 @@ ROWS = 2 * WORD_ROWS + PAIR_ROWS
 #: Words whose counts are broadcast (24 bytes each).
 HOT_WORDS = 500_000
 BATCH, RATE, ROUNDS = 4096, 0.4, 2
-COUNT_CHUNK, MEMO_WORDS = 2_000_000, 400_000
+#: Rows of counts given back at a time; words remembered by a task.
+COUNT_CHUNK, MEMO_WORDS = 100_000, 400_000
 BLOCK_ROWS = 1024
 END = -1  # key of the end token
 
@@ -58,6 +62,37 @@ def ending(word: bytes) -> int:
     return 1 + zlib.crc32((word.rstrip(_TRAIL) or word)[-2:]) % (ATOMS - 1)
 
 
+@functools.cache
+def _atoms_of_bytes() -> tuple[np.ndarray, np.ndarray]:
+    """Atoms of all single bytes and of all pairs of bytes (the first times 256, and the second)."""
+    one = [1 + zlib.crc32(bytes([a])) % (ATOMS - 1) for a in range(256)]
+    two = [1 + zlib.crc32(bytes([a, b])) % (ATOMS - 1) for a in range(256) for b in range(256)]
+    return np.array(one, np.int64), np.array(two, np.int64)
+
+
+def endings(words: pa.Array) -> np.ndarray:
+    """``ending`` of each word of a string array, none null or empty."""
+    bare = pc.ascii_rtrim(words, _TRAIL.decode())
+    bare = pc.if_else(pc.equal(pc.binary_length(bare), 0), words, bare)
+    if not len(bare):
+        return np.zeros(0, np.int64)
+    offsets = np.frombuffer(bare.buffers()[1], np.int32)[bare.offset:bare.offset + len(bare) + 1].astype(np.int64)
+    data = np.frombuffer(bare.buffers()[2], np.uint8)
+    last = data[offsets[1:] - 1].astype(np.int64)
+    one, two = _atoms_of_bytes()
+    pair = np.diff(offsets) > 1
+    return np.where(pair, two[data[np.where(pair, offsets[1:] - 2, 0)].astype(np.int64) * 256 + last], one[last])
+
+
+def _as_strings(column: pa.Array) -> pa.Array:
+    """A binary array under the string type, its bytes unchecked."""
+    return pa.Array.from_buffers(pa.string(), len(column), column.buffers(), column.null_count, column.offset)
+
+
+def _as_bytes(column: pa.Array) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(column), column.buffers(), column.null_count, column.offset)
+
+
 class Reader:
     """Texts as local word numbers; per number the word's hash and atom.  0: the end."""
 
@@ -70,28 +105,51 @@ class Reader:
         self.atoms = np.zeros(1, np.int64)
         self.looked_up: tuple[np.ndarray, ...] = ()
 
-    def read(self, batch: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(numbers of all texts in a row, each closed by the end; length of each)."""
+    def full(self) -> bool:
+        return len(self.keys) > MEMO_WORDS
+
+    def read(self, batch: pa.Array | list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of all texts in a row, each closed by the end; length of each).
+
+        Arrow cuts the texts (binary) into words and numbers them; Python sees each distinct
+        word of a batch once."""
         from xxhash import xxh3_64_intdigest
 
-        if len(self.keys) > MEMO_WORDS:
+        if self.full():
             self.clear()
-        words = [space_words(t) for t in batch]
-        local = self.local
-        fresh = list(set().union(*words).difference(local))
-        local.update(zip(fresh, range(len(self.keys), len(self.keys) + len(fresh)), strict=True))
+        if not isinstance(batch, pa.Array) or batch.type != pa.binary():
+            batch = pa.array(batch, pa.binary()) if not isinstance(batch, pa.Array) else batch.cast(pa.binary())
+        # The kernels go by bytes, so texts need not be valid UTF-8.
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(_as_strings(batch)))
+        sizes = pc.fill_null(pc.list_value_length(parts), 0).to_numpy().astype(np.int64)
+        pieces = parts.flatten().dictionary_encode()
+        which, names = pieces.indices.to_numpy(), pieces.dictionary
+        # White space at an end of a text, and no text, give an empty piece.
+        if (empty := pc.index(names, pa.scalar("", names.type)).as_py()) >= 0:
+            none = np.flatnonzero(which == empty)
+            row = np.searchsorted(np.cumsum(sizes), none, side="right")
+            sizes -= np.bincount(row, minlength=len(sizes))
+            which = np.delete(which, none)
+        words = _as_bytes(names).to_numpy(zero_copy_only=False).tolist()
+        if empty >= 0:
+            words[empty] = None  # stands nowhere any more
+        number = np.fromiter(map(self.local.get, words, itertools.repeat(-1)), np.int32, len(words))
+        if empty >= 0:
+            number[empty] = 0
+        at = np.flatnonzero(number < 0)
+        fresh = [words[k] for k in at.tolist()]
+        number[at] = np.arange(len(self.keys), len(self.keys) + len(fresh))
+        self.local.update(zip(fresh, number[at].tolist(), strict=True))
         keys = np.fromiter(map(xxh3_64_intdigest, fresh), np.uint64, len(fresh))
         self.keys = np.concatenate([self.keys, keys.view(np.int64)])
-        self.atoms = np.concatenate([self.atoms, np.fromiter(map(ending, fresh), np.int64, len(fresh))])
-        lens = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        self.atoms = np.concatenate([self.atoms, endings(names.take(pa.array(at)))])
+        lens = sizes + 1
         out = np.zeros(int(lens.sum()), np.int32)
-        stop = np.cumsum(lens) - 1
         inner = np.ones(len(out), bool)
-        inner[stop] = False
-        out[inner] = np.fromiter((n for ws in words for n in map(local.__getitem__, ws)), np.int32, int(inner.sum()))
+        inner[np.cumsum(lens) - 1] = False
+        out[inner] = number[which]
         return out, lens
 
-
     def look_up(self, model: Model) -> tuple[np.ndarray, ...]:
         """``model.look_up`` of all numbers so far, each word looked up once."""
         known = len(self.looked_up[0]) if self.looked_up else 0
@@ -104,31 +162,32 @@ def _count_rows(rows: DataFrame) -> DataFrame:
     """kind 0: (word, atom, n); kind 1: (atom pair, -, n); partial sums of tasks."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        reader, words, atoms, pairs, size = Reader(), [], [], np.zeros(ATOMS * ATOMS, np.int64), 0
-
-        def flush() -> Iterable[pa.RecordBatch]:
-            key, atom = np.concatenate(words), np.concatenate(atoms)
-            uniq, first, n = np.unique(key, return_index=True, return_counts=True)
-            yield batch(0, uniq, atom[first], n)
+        reader, times, pairs = Reader(), np.zeros(0, np.int64), np.zeros(ATOMS * ATOMS, np.int64)
 
         def batch(kind: int, key, atom, n) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(key), kind, np.int32)), pa.array(np.asarray(key, np.int64)),
                  pa.array(np.asarray(atom, np.int32)), pa.array(np.asarray(n, np.int64))], names=["kind", "key", "atom", "n"])
 
+        def counted() -> Iterable[pa.RecordBatch]:
+            met = np.flatnonzero(times)
+            for lo in range(0, len(met), COUNT_CHUNK):
+                at = met[lo:lo + COUNT_CHUNK]
+                yield batch(0, reader.keys[at], reader.atoms[at], times[at])
+
         for b in it:
-            numbers, lens = reader.read(b.column(1).to_pylist())
+            if reader.full():
+                yield from counted()
+                reader.clear()
+                times = np.zeros(0, np.int64)
+            numbers, lens = reader.read(b.column(1))
             atom = reader.atoms[numbers]
-            words.append(reader.keys[numbers])
-            atoms.append(atom)
+            now = np.bincount(numbers, minlength=len(reader.keys))
+            now[:len(times)] += times
+            times = now
             before = np.concatenate([[0], atom[:-1]])  # the end stands before the first word
             pairs += np.bincount(before * ATOMS + atom, minlength=ATOMS * ATOMS)
-            size += len(numbers)
-            if size > COUNT_CHUNK:
-                yield from flush()
-                words, atoms, size = [], [], 0
-        if words:
-            yield from flush()
+        yield from counted()
         seen = np.flatnonzero(pairs)
         if len(seen):
             yield batch(1, seen, np.zeros(len(seen)), pairs[seen])
@@ -194,7 +253,8 @@ class Model:
 
     def look_up(self, keys: np.ndarray, atoms: np.ndarray):
         """Per word: hot?, log10(count + 0.5) if hot, class, feature."""
-        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+        at, order = np.empty(len(keys), np.int64), np.argsort(keys)  # keys in order are found faster
+        at[order] = np.minimum(np.searchsorted(self.keys, keys[order]), max(0, len(self.keys) - 1))
         hot = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
         other = 1 + SINGLES + self.cluster[atoms]
         if not len(self.keys):
@@ -231,7 +291,7 @@ def _train_round(model: Model, rows: DataFrame) -> None:
         model, reader = shared.value, Reader()
         w, power, used = model.w.copy(), np.full(ROWS, 1e-6, np.float32), np.zeros(ROWS, np.int64)
         for b in it:
-            numbers, lens = reader.read(b.column(1).to_pylist())
+            numbers, lens = reader.read(b.column(1))
             _, _, cls, feature = reader.look_up(model)
             rows, want = history(feature[numbers], lens), cls[numbers]
             for lo in range(0, len(want), BATCH):
@@ -320,7 +380,7 @@ def score_lm(rows: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
                                               names=list(kinds))
 
         for b in it:
-            numbers, lens = reader.read(b.column(1).to_pylist())
+            numbers, lens = reader.read(b.column(1))
             keys = reader.keys
             hot, log_count, cls, feature = reader.look_up(model)
             rows, want = history(feature[numbers], lens), cls[numbers]
