@@ -104,3 +104,15 @@ def test_a_full_memo_keeps_the_words_met_again(tok, monkeypatch):
 
 def test_the_encoder_goes_on_from_task_to_task():
     assert T.encoder(T.default_tokenizer()) is T.encoder(T.default_tokenizer())
+
+
+def test_small_batches_and_memo_give_the_same_files(spark, tok):
+    rows = [(k, t) for k, t in enumerate(ODD * 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    path = T.write_token_orc(docs, fresh_path(spark, "t"), T.default_tokenizer(), batch_rows=3, memo_pieces=4)
+    got = T.stream_digest(T.read_token_orc(spark, path)).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == expected(rows, tok)
+    coder = T.PieceEncoder(T.default_tokenizer(), memo_pieces=4)
+    for k in range(200):
+        coder.encode([f"w{k} w{k + 1}"], 2)
+        assert len(coder.memo) <= 4 + 4

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from .common import prepare
+from .common import BATCH_ROWS, prepare
 
 STRIPE_BYTES = 16 << 20
 ROW_INDEX_STRIDE = 1000
@@ -77,11 +77,12 @@ class PieceEncoder:
     line feed, part the run again.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo_pieces: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.memo_pieces = memo_pieces
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         space, feed = "\u0120", "\u010a"  # how byte-level vocabularies write the bytes 0x20 and 0x0A
@@ -100,13 +101,16 @@ class PieceEncoder:
         #: Batches in which each word was met.
         self.met = np.empty(0, np.int32)
 
+    def most_pieces(self) -> int:
+        return MEMO_PIECES if self.memo_pieces is None else self.memo_pieces
+
     def _forget(self) -> None:
         """Keep the words met more than once, or none where they are too many."""
         kept = np.flatnonzero(self.met > 1)
         words = list(itertools.compress(self.memo, (self.met > 1).tolist()))
         flat, lens, chars = _gathered(self.flat, self.starts[kept], self.lens[kept]), self.lens[kept], sum(map(len, words))
         self.clear()
-        if len(words) <= MEMO_PIECES // 2 and chars <= MEMO_CHARS // 2:
+        if len(words) <= self.most_pieces() // 2 and chars <= MEMO_CHARS // 2:
             self._keep(words, flat, lens)
 
     def _call(self, strings: list[str]) -> list[np.ndarray]:
@@ -217,7 +221,7 @@ class PieceEncoder:
 
     def encode(self, texts: Sequence[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each closed by ``end_id``; and the length of each."""
-        if len(self.memo) > MEMO_PIECES or self.chars > MEMO_CHARS:
+        if len(self.memo) > self.most_pieces() or self.chars > MEMO_CHARS:
             self._forget()
         counts = np.zeros(len(texts), np.int64)
         pieces, counts[[k for k, t in enumerate(texts) if t]], inside = self._split([t for t in texts if t])
@@ -247,13 +251,14 @@ class PieceEncoder:
 
 
 #: Encoders of this process, which go on from task to task.
-_ENCODERS: dict[str, PieceEncoder] = {}
+_ENCODERS: dict[tuple, PieceEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, memo_pieces: int | None = None) -> PieceEncoder:
+    key = path, memo_pieces
+    if key not in _ENCODERS:
+        _ENCODERS[key] = PieceEncoder(path, memo_pieces)
+    return _ENCODERS[key]
 
 
 def _strings(column: pa.Array) -> list[str]:
@@ -278,7 +283,8 @@ def _list_array(values: np.ndarray, lens: np.ndarray) -> pa.ListArray:
 
 
 def write_token_orc(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id",
-                    text_col: str = "text", end_id: int = 2) -> str:
+                    text_col: str = "text", end_id: int = 2, batch_rows: int = BATCH_ROWS,
+                    memo_pieces: int | None = None) -> str:
     """Encode ``docs`` and write the format above under ``path``; returns ``path``.
 
     The raw rows are range-partitioned by id and sorted (one shuffle of ids and texts),
@@ -288,13 +294,16 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer_path: str, id_col: str
     Null text: no ids but the end.  Null id: kept, sorted first.  Rows of equal id: all
     kept, ordered by a hash of their text.  Columns other than id and text are not read.
     An empty table leaves no data file and an empty manifest.
+
+    ``batch_rows`` and ``memo_pieces`` (texts encoded, words remembered at a time) trade
+    memory of a worker for time; the files are the same.
     """
     spark = docs.sparkSession
     prepare(spark)
 
     def encode(it: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        coder, offset = encoder(tokenizer_path), 0
-        for b in it:
+        coder, offset = encoder(tokenizer_path, memo_pieces), 0
+        for b in (whole.slice(at, batch_rows) for whole in it for at in range(0, whole.num_rows, batch_rows)):
             values, lens = coder.encode(b.column(1).to_pylist(), end_id)
             ends = offset + np.cumsum(lens)
             yield pa.RecordBatch.from_arrays(
