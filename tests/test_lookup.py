@@ -5,9 +5,11 @@ import pytest
 
 import __spark_entry__ as E
 from tonality.operators import lstm_math as L
+from tonality.operators import scoring
 from tonality.operators import sequence_model as sm
 from tonality.operators import tensors as tz
 from tonality.operators import tokens as tok
+from tonality.operators import vectors as vec
 from tonality.operators.lookup import doc_words
 from tonality.session import fresh_path
 from tonality.sources import fixtures
@@ -81,3 +83,21 @@ def test_members_are_kept_by_their_words(spark):
 @pytest.mark.parametrize("key", ["label_tensor", "sequence_masks"])
 def test_lengths_and_labels_fetch_no_vector(spark, key):
     assert "MapInArrow" not in E.queries()[key](spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pooling_by_words_equals_pooling_by_vectors(spark, hot):
+    """Bit for bit, with repeats, words given twice, null vectors and texts without a known word."""
+    rng = np.random.default_rng(1)
+    vt = _table(spark, [*((w, k, rng.normal(size=3).astype(np.float32).tolist()) for k, w in enumerate("abcdef")),
+                        ("e", 6, [9.0, 9.5, 1.0]), ("g", 7, None)])
+    docs = spark.createDataFrame(
+        [*((i, " ".join(rng.choice(list("abcdefgz"), 1 + i % 9))) for i in range(60)), (60, None), (61, ""), (62, "z"),
+         (63, "g"), (5, "a b c"), (7, "f a")], "doc_id long, text string")
+    rv = docs.selectExpr("doc_id", "text", "'train' split", "'positive' sentiment", "0 label")
+    trunc = tok.truncated_tokens(fixtures.tokens_of(docs), vt, spark, 4)
+    want = {r.doc_id: (r.n, r.pooled) for r in vec.pooled_vectors(trunc, vt, spark).collect()}
+    lp = scoring.pooled_corpus(rv, vt, spark, 4)
+    plan = lp._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan  # no task sorts tokens
+    got = {r.doc_id: (r.n, r.pooled) for r in lp.collect()}
+    assert {k: v for k, v in got.items() if v[0]} == want and got[60] == got[61] == got[62] == (0, None)
