@@ -86,7 +86,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: its place in the token stream, length and checksum, read from the files."""
     path = write_token_orc(docs, fresh_path(spark, "corpus-tokens"), default_tokenizer(),
                            batch_rows=TOKEN_BATCH_ROWS, memo_pieces=TOKEN_MEMO_PIECES)
-    return stream_digest(read_token_orc(spark, path))
+    return stream_digest(read_token_orc(spark, path), forget=True)
 
 
 STAGES = [("toxicity", toxicity), ("jaccard", jaccard), ("decontaminate", decontaminate), ("mix", mix),

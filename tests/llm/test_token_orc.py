@@ -116,3 +116,11 @@ def test_small_batches_and_memo_give_the_same_files(spark, tok):
     for k in range(200):
         coder.encode([f"w{k} w{k + 1}"], 2)
         assert len(coder.memo) <= 4 + 4
+
+
+def test_a_worker_can_forget_its_encoders():
+    path = T.default_tokenizer()
+    T.encoder(path, 1000).encode(["some words to learn"], 2)
+    assert (path, 1000) in T._ENCODERS
+    T.forget_encoders()
+    assert not T._ENCODERS

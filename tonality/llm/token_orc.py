@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from .common import BATCH_ROWS, prepare
+from .common import BATCH_ROWS, prepare, trim_memory
 
 STRIPE_BYTES = 16 << 20
 ROW_INDEX_STRIDE = 1000
@@ -261,6 +261,12 @@ def encoder(path: str, memo_pieces: int | None = None) -> PieceEncoder:
     return _ENCODERS[key]
 
 
+def forget_encoders() -> None:
+    """Drop this worker's encoders and return their memory: other work follows."""
+    _ENCODERS.clear()
+    trim_memory()
+
+
 def _strings(column: pa.Array) -> list[str]:
     return column.to_numpy(zero_copy_only=False).tolist()
 
@@ -302,6 +308,7 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer_path: str, id_col: str
     prepare(spark)
 
     def encode(it: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        trim_memory()
         coder, offset = encoder(tokenizer_path, memo_pieces), 0
         for b in (whole.slice(at, batch_rows) for whole in it for at in range(0, whole.num_rows, batch_rows)):
             values, lens = coder.encode(b.column(1).to_pylist(), end_id)
@@ -370,12 +377,16 @@ def read_token_orc(spark: SparkSession, path: str,
         "doc_id", (F.col("base") + F.col("file_offset")).alias("start"), "n_tokens", "tokens")
 
 
-def stream_digest(tokens: DataFrame) -> DataFrame:
+def stream_digest(tokens: DataFrame, forget: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of rows of ``read_token_orc``: the crc32 runs
-    over the ids as little-endian unsigned 32-bit integers, computed per stripe."""
+    over the ids as little-endian unsigned 32-bit integers, computed per stripe.
+
+    ``forget``: nothing is encoded any more, the workers' encoders are dropped."""
     prepare(tokens.sparkSession)
 
     def digest(it: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        if forget:
+            forget_encoders()
         for b in it:
             lists = b.column(3)
             raw = np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False), "<u4")

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import alnum_words, crc_of_id, prepare, texts
+from .common import alnum_words, crc_of_id, prepare, texts, trim_memory
 
 LENGTH = 16
 #: Words between the windows of the training sample; scoring takes every window.
@@ -551,8 +551,11 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, keep: Column | None = Non
         return None
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        trim_memory()
         rows = [r for b in it for r in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "toxic")))]
         model = fit(rows)
+        del rows
+        trim_memory()
         if model is not None:
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
@@ -579,6 +582,7 @@ def score_documents(docs: DataFrame, model: BiGru | None, score_col: str = "scor
             text = b.column(at).cast(pa.binary()).to_pylist()
             score = score_texts(shared.value, text)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score)], names=[*keep, score_col])
+        trim_memory()
 
     return base.mapInArrow(run, schema)
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import alnum_words, prepare, texts
+from .common import alnum_words, prepare, texts, trim_memory
 
 WINDOW = 10
 SEGMENT = 256
@@ -164,6 +164,7 @@ def _scan(docs: DataFrame, patterns: Patterns) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(patterns)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        trim_memory()
         for b in it:
             words = [alnum_words(t) for t in b.column(1).to_pylist()]
             found = scan_batch(shared.value, words)
@@ -172,6 +173,7 @@ def _scan(docs: DataFrame, patterns: Patterns) -> DataFrame:
                 [b.column(0), b.column(2), pa.array([len(w) for w in words], pa.int64()),
                  *(pa.array(x, longs) for x in found)],
                 names=["doc_id", "text_key", "n_words", "span_starts", "span_ends", "items"])
+        trim_memory()
 
     return docs.mapInArrow(run, SCHEMA)
 
