@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import LABEL_NAMES
-from .text_files import reachable, write_files
+from .text_files import reachable, read_files, task_folders, write_files
 
 # Fixed path patterns.
 TREE_RX = r"/(?:split=)?(train|test)/(?:sentiment=)?(pos|neg)/(?:doc_id=-?\d+/)?[^/]*$"
@@ -33,8 +33,11 @@ def _doc_id_from_path(path: Column) -> Column:
 
 def read_text_files(spark: SparkSession, root: str, strip_newline: bool = True) -> DataFrame:
     """(path, text): every file under ``root`` as one row."""
-    raw = (spark.read.text(root, wholetext=True, recursiveFileLookup=True)
-           .select(F.col("_metadata.file_path").alias("path"), "value"))
+    folders = task_folders(root)
+    # Spark's own reader lists every file on the driver: for trees that others wrote.
+    raw = read_files(spark, root, folders) if folders else (
+        spark.read.text(root, wholetext=True, recursiveFileLookup=True)
+        .select(F.col("_metadata.file_path").alias("path"), "value"))
     text = strip_final_newline(F.col("value")) if strip_newline else F.col("value")
     return raw.select("path", text.alias("text"))
 

@@ -3,24 +3,29 @@
 ``df.write.format("text_files")``: rows (folder, name, content) become files of their own;
 neighbouring rows of one name share a file, a line each.  A task fills a folder of its own in
 a private place, and the job's commit moves one folder a task, so neither the driver nor the
-commit handles single files.  Spark's text writer with a partition folder a document makes two
+commit handles single files; ``read_files`` gives each folder back to a task.  Spark's text writer with a partition folder a document makes two
 folder levels, a checksum file and a rename for each.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyarrow import fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from ..session import ship_package
+from ..session import is_local_fs, local_path, ship_package
 from .files import FolderCommit, resolve
 
+# Files, and bytes of them, that a task reads before it hands them on.
+READ_FILES, READ_BYTES = 1000, 8 << 20
+
 
 @dataclass
 class FilesWritten(WriterCommitMessage):
@@ -85,6 +90,48 @@ def reachable(root: str) -> bool:
     return True
 
 
+def task_folders(root: str) -> list[str]:
+    """The folders that ``write_files`` left below ``root``, one a task; none where anything
+    else lies there."""
+    if not reachable(root):
+        return []
+    fs, at = resolve(root)
+    if fs.get_file_info(f"{at.rstrip('/')}/_SUCCESS").type == pafs.FileType.NotFound:
+        return []
+    found = [f for f in fs.get_file_info(pafs.FileSelector(at)) if not f.base_name.startswith(("_", "."))]
+    ours = all(f.type == pafs.FileType.Directory and re.fullmatch(r"part-\d{5,}-\d+", f.base_name) for f in found)
+    return sorted(f.path for f in found) if ours else []
+
+
+def read_files(spark: SparkSession, root: str, folders: list[str]) -> DataFrame:
+    """(path, value): the files in ``folders``, as Spark's text reader gives them whole.  Tasks list
+    the folders and open the files, so the driver holds a name a folder and none of a file."""
+    base, at = "file:" + local_path(root) if is_local_fs(root) else root, resolve(root)[1]
+    each = max(1, -(-spark.sparkContext.defaultParallelism // len(folders)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, _ = resolve(root)
+        for task in (k for b in batches for k in b.column(0).to_pylist()):
+            names = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(folders[task // each], recursive=True))
+                           if f.type == pafs.FileType.File)
+            paths, values, size = [], [], 0
+            for name in names[task % each::each]:
+                with fs.open_input_stream(name, compression=None) as file:
+                    values.append(file.read())
+                paths.append(base.rstrip("/") + name[len(at.rstrip("/")):])
+                size += len(values[-1])
+                if size > READ_BYTES or len(paths) >= READ_FILES:
+                    yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(values, pa.binary())], names=["path", "value"])
+                    paths, values, size = [], [], 0
+            if paths:
+                yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(values, pa.binary())], names=["path", "value"])
+
+    ship_package(spark)
+    n = len(folders) * each
+    return spark.range(0, n, 1, n).mapInArrow(run, "path string, value binary").select(
+        "path", F.col("value").cast("string").alias("value"))
+
+
 def write_files(df: DataFrame, folder: Column, name: Column, text: str, root: str) -> None:
     """Each row's ``text`` and a line feed as ``<root>/part-*/<folder>/<name>``."""
     spark = df.sparkSession
